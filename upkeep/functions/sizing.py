@@ -1,0 +1,22 @@
+"""Size-checked broadcast.
+
+``broadcast()`` bypasses Spark's own size estimate, so it is only applied after counting the candidate side
+(bounded: the count stops after ``max_rows + 1`` rows). Beyond the bound the DataFrame is returned unhinted and
+Spark/AQE choose a shuffle join (with AQE skew splitting) instead.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# catalog-sized relations (companies, farms, models, tasks, model rules) stay far below this
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
