@@ -79,7 +79,10 @@ def q_due_stage(spark, sf_dir):
 
 def _snapshot(spark, sf_dir, purge: bool):
     t = _t(spark, sf_dir)
-    old = refresh.refresh_due(t, None, refresh.shifted(PARAMS, PREVIOUS_GAP_DAYS))
+    prev = refresh.shifted(PARAMS, PREVIOUS_GAP_DAYS)
+    # the previous refresh saw only the log history up to its own date
+    then = t.with_(maintenance_log=t.maintenance_log.where(F.col("performed_on") <= F.lit(prev.as_of)))
+    old = refresh.refresh_due(then, None, prev)
     p = refresh.RefreshParams(PARAMS.as_of, PARAMS.computed_at, PARAMS.days_ahead, PARAMS.hours_ahead, PARAMS.km_ahead, purge)
     return t, refresh.refresh_due(t, old, p)
 
@@ -154,7 +157,8 @@ def _snap(select: str, purge: bool = True) -> str:
     prev = refresh.shifted(PARAMS, PREVIOUS_GAP_DAYS)
     return O.with_(
         O.adapter_ctes(),
-        O.procedure_ctes("_old", prev.as_of, prev.computed_at),
+        f"a_log_old AS (SELECT * FROM a_log WHERE performed_on <= DATE '{prev.as_of.isoformat()}')",
+        O.procedure_ctes("_old", prev.as_of, prev.computed_at, log="a_log_old"),
         O.procedure_ctes("_new", PARAMS.as_of, PARAMS.computed_at),
         O.snapshot_ctes(purge),
     ) + "\n" + select
@@ -231,8 +235,12 @@ WHERE r.frequency_type = 'MONTHS' AND ({month_next}) <= DATE '{a}' + {PARAMS.day
 
 
 def queries() -> dict[str, QueryFn]:
-    return dict(SPARK)
+    from upkeep.plans import catalog_ops
+
+    return {**SPARK, **catalog_ops.SPARK}
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracles()
+    from upkeep.plans import catalog_ops
+
+    return {**_oracles(), **catalog_ops.oracles()}

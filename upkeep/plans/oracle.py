@@ -34,19 +34,23 @@ def adapter_ctes() -> str:
 a_company AS (SELECT CAST(r_regionkey AS BIGINT) AS id, r_name AS name, {created} AS created_at FROM region),
 a_farm AS (SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name, CAST(NULL AS VARCHAR) AS location,
                   CAST(n_regionkey AS BIGINT) AS company_id, {created} AS created_at FROM nation),
-a_model AS (SELECT CAST(id AS BIGINT) AS id, 'TPC' AS manufacturer, model_name, model_name AS equipment_type
+a_model AS (SELECT CAST(id AS BIGINT) AS id, 'TPC' AS manufacturer, model_name, model_name AS equipment_type,
+                   CAST(NULL AS VARCHAR) AS description
             FROM (VALUES {models}) v(id, model_name)),
-a_task AS (SELECT CAST(id AS BIGINT) AS id, name FROM (VALUES {tasks}) v(id, name)),
+a_task AS (SELECT CAST(id AS BIGINT) AS id, name, CAST(NULL AS VARCHAR) AS description,
+                  CAST(NULL AS BIGINT) AS default_part_type_id FROM (VALUES {tasks}) v(id, name)),
 a_meter AS (SELECT o_custkey, MAX(CAST(o_totalprice AS DECIMAL(10,2))) AS mx FROM orders GROUP BY o_custkey),
 a_equipment AS (
-  SELECT c.c_custkey AS id, c.c_name AS display_name, m.id AS equipment_model_id,
+  SELECT c.c_custkey AS id, c.c_name AS display_name, CAST(NULL AS VARCHAR) AS serial_number,
+         m.id AS equipment_model_id, CAST(NULL AS DATE) AS acquired_on,
          CAST(c.c_nationkey AS BIGINT) AS farm_id, TRUE AS active,
          CASE WHEN m.id <> {td.NO_HOURS_MODEL} THEN mt.mx END AS engine_hours,
          CASE WHEN m.id <> {td.NO_KM_MODEL} THEN mt.mx END AS odometer_km,
          {created} AS created_at
   FROM customer c JOIN a_model m ON m.model_name = c.c_mktsegment
   LEFT JOIN a_meter mt ON mt.o_custkey = c.c_custkey),
-a_part AS (SELECT p_partkey AS id, p_name AS name, p_type AS category, p_brand AS manufacturer FROM part),
+a_part AS (SELECT p_partkey AS id, p_name AS name, p_type AS category, p_brand AS manufacturer,
+                  CAST(NULL AS VARCHAR) AS model_code, CAST(NULL AS VARCHAR) AS description FROM part),
 a_li AS (
   SELECT l.*, o.o_custkey, row_number() OVER (ORDER BY {order}) AS cid
   FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey),
@@ -112,6 +116,7 @@ def procedure_ctes(
     days: int | None = td.DAYS_AHEAD,
     hours=td.HOURS_AHEAD,
     km=td.KM_AHEAD,
+    log: str = "a_log",
 ) -> str:
     d = f"DATE '{as_of.isoformat()}'"
     ts = f"TIMESTAMP '{computed_at.strftime('%Y-%m-%d %H:%M:%S')}'"
@@ -126,7 +131,7 @@ last_log{sfx} AS (
   SELECT equipment_id, task_id, MAX(performed_on) AS last_date,
          MAX(engine_hours) FILTER (WHERE engine_hours IS NOT NULL) AS last_hours,
          MAX(odometer_km) FILTER (WHERE odometer_km IS NOT NULL) AS last_km
-  FROM a_log GROUP BY equipment_id, task_id),
+  FROM {log} GROUP BY equipment_id, task_id),
 equipment_rules{sfx} AS (
   SELECT e.id AS equipment_id, {attrs}, 1 AS precedence
   FROM a_equipment e JOIN a_rule r ON r.active AND r.equipment_id = e.id
