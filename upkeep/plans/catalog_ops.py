@@ -242,8 +242,25 @@ def q_thresholds_null_negative(spark, sf_dir):
     return quality._union(frames)
 
 
+def q_stream_close_previous(spark, sf_dir):
+    from upkeep.streaming.history_stream import run_close_previous_stream
+
+    t = _t(spark, sf_dir)
+    as_inserted = t.equipment_component.withColumn("removed_at", F.lit(None).cast("timestamp_ntz"))
+    return run_close_previous_stream(spark, as_inserted)
+
+
+def q_stream_auto_detail(spark, sf_dir):
+    from upkeep.streaming.history_stream import run_auto_detail_stream
+
+    t = _t(spark, sf_dir)
+    return run_auto_detail_stream(spark, t.maintenance_log_detail, t.maintenance_log)
+
+
 SPARK = {
     "close_previous": q_close_previous,
+    "stream_close_previous": q_stream_close_previous,
+    "stream_auto_detail": q_stream_auto_detail,
     "close_previous_history": q_close_previous_history,
     "auto_detail": q_auto_detail,
     "insert_if_absent": q_insert_if_absent,
@@ -469,6 +486,9 @@ FROM a_log"""
             ),
         ),
     }
+    # the folded streams must equal the batch triggers
+    out["stream_close_previous"] = out["close_previous"]
+    out["stream_auto_detail"] = out["auto_detail"]
     return out
 
 
