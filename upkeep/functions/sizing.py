@@ -14,8 +14,15 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
+_CHECKED: dict[tuple[str, int, int], bool] = {}
+
+
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows; the answer is remembered per application and plan."""
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _CHECKED[key]
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:

@@ -2,7 +2,8 @@
 
 ``row_number() OVER (ORDER BY k)`` with no PARTITION BY pulls every row into one task. Instead:
 
-1. range-partition on the order keys (sampled boundaries, distributed) and sort inside each partition;
+1. persist the input (so the boundary sampling and the tagging pass do not evaluate the upstream plan twice),
+   range-partition on the order keys (sampled boundaries, distributed) and sort inside each partition;
 2. tag rows with (partition id, position inside the partition) and checkpoint, so the tags are computed exactly
    once and survive executor loss;
 3. count rows per partition -- one row per partition, a proven size bound -- and turn the counts into offsets;
@@ -16,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from upkeep.session import ensure_checkpoint_dir
@@ -34,13 +36,15 @@ def with_sequence(
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     pid = F.spark_partition_id()
+    source = df.persist(StorageLevel.MEMORY_AND_DISK)
     tagged = (
-        df.repartitionByRange(n, *order_cols)
+        source.repartitionByRange(n, *order_cols)
         .sortWithinPartitions(*order_cols)
         .withColumn("_seq_pid", pid)
         .withColumn("_seq_pos", F.monotonically_increasing_id() - pid.cast("bigint") * F.lit(1 << _POS_BITS))
         .checkpoint(eager=True)
     )
+    source.unpersist()
     counts = tagged.groupBy("_seq_pid").agg(F.count(F.lit(1)).alias("_seq_n"))
     before = Window.orderBy("_seq_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_seq_pid", F.coalesce(F.sum("_seq_n").over(before), F.lit(0)).alias("_seq_off"))

@@ -240,12 +240,19 @@ def _done(spark: SparkSession, root: str) -> bool:
         return False
 
 
+_MATERIALIZED: dict[tuple[str, str], str] = {}
+
+
 def materialize(spark: SparkSession, sf_dir: str) -> str:
-    """Write the adapted tables once per (session folder, input) and return their root."""
+    """Write the adapted tables once per (shared folder, input) and return their root."""
+    memo = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if memo in _MATERIALIZED:
+        return _MATERIALIZED[memo]
     root = domain_root(spark, sf_dir)
     if not _done(spark, root):
         write_tables(build_tables(spark, sf_dir), root)
         spark.range(1).write.mode("overwrite").parquet(os.path.join(root, "_done"))
+    _MATERIALIZED[memo] = root
     return root
 
 
