@@ -62,6 +62,20 @@ def test_slot_closing_matches_sequential_loop(spark):
     assert got == want
 
 
+def test_hot_slot_split_path_is_exact(spark):
+    rng = random.Random(11)
+    rows = []
+    for i in range(1, 600):
+        hot = rng.random() < 0.6
+        rem = rng.randint(0, 99) if rng.random() < 0.15 else None
+        rows.append((i, 1 if hot else rng.randint(2, 6), "H" if hot else rng.choice(["A", None]), rng.randint(0, 99), rem))
+    df = spark.createDataFrame(comp_rows(rows), EQUIPMENT_COMPONENT)
+    assert history.hot_slots(df, hot_rows=50, fraction=1.0).count() == 1
+    got = {r.id: r.removed_at for r in history.close_previous(df, hot_rows=50, sample_fraction=1.0).collect()}
+    want = {k: None if v is None else ts(v) for k, v in _sequential(rows).items()}
+    assert got == want
+
+
 def test_incremental_closing_equals_batch(spark):
     rows = [(1, 1, "S", 10, None), (2, 1, "S", 20, None), (3, 2, "S", 5, None), (4, 1, "S", 40, None), (5, 2, "S", 9, None)]
     full = history.close_previous(spark.createDataFrame(comp_rows(rows), EQUIPMENT_COMPONENT))
