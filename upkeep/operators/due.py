@@ -50,6 +50,17 @@ def last_log(logs: DataFrame) -> DataFrame:
     )
 
 
+def merge_last_log(stored: DataFrame, new_logs: DataFrame) -> DataFrame:
+    """Q-G1 kept incrementally: MAX is monotone under inserts, so a stored ``last_log`` absorbs only the new log
+    rows (e.g. the latest ``performed_year`` partitions) instead of re-reading the whole history."""
+    fresh = last_log(new_logs)
+    return stored.unionByName(fresh).groupBy("equipment_id", "task_id").agg(
+        F.max("last_date").alias("last_date"),
+        F.max("last_hours").alias("last_hours"),
+        F.max("last_km").alias("last_km"),
+    )
+
+
 def base(equipment: DataFrame, farm: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Q-G4: equipment with farm/company, creation date and current meters."""
     farms = broadcast_if_small(farm.select(F.col("id").alias("farm_id"), "company_id"))

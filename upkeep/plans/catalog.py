@@ -87,6 +87,22 @@ def _snapshot(spark, sf_dir, purge: bool):
     return t, refresh.refresh_due(t, old, p)
 
 
+def q_due_snapshot_versioned(spark, sf_dir):
+    """Two scheduled runs against a stored snapshot: the earlier date, then today (read back from storage)."""
+    import uuid
+
+    from upkeep.operators import snapshot
+    from upkeep.session import shared_path
+
+    t = _t(spark, sf_dir)
+    root = shared_path(spark, "snapshots", f"due_soon-{uuid.uuid4().hex[:12]}")
+    prev = refresh.shifted(PARAMS, PREVIOUS_GAP_DAYS)
+    then = t.with_(maintenance_log=t.maintenance_log.where(F.col("performed_on") <= F.lit(prev.as_of)))
+    refresh.refresh_job(spark, then, root, prev)
+    refresh.refresh_job(spark, t, root, PARAMS)
+    return snapshot.read_snapshot(spark, root)
+
+
 def q_due_snapshot_purge(spark, sf_dir):
     return _snapshot(spark, sf_dir, True)[1]
 
@@ -133,6 +149,7 @@ SPARK: dict[str, QueryFn] = {
     "due_stage": q_due_stage,
     "due_snapshot_purge": q_due_snapshot_purge,
     "due_snapshot_keep": q_due_snapshot_keep,
+    "due_snapshot_versioned": q_due_snapshot_versioned,
     "due_view": q_due_view,
     "due_summary": q_due_summary,
     "due_ordered": q_due_ordered,
@@ -196,6 +213,7 @@ def _oracles() -> dict[str, str]:
         "due_stage": _proc(f"SELECT {_STAGE_COLS} FROM stage"),
         "due_snapshot_purge": _snap(f"SELECT id, {_STAGE_COLS} FROM snap_new", True),
         "due_snapshot_keep": _snap(f"SELECT id, {_STAGE_COLS} FROM snap_new", False),
+        "due_snapshot_versioned": _snap(f"SELECT id, {_STAGE_COLS} FROM snap_new", True),
         "due_view": _snap(_VIEW_SELECT),
         "due_summary": _snap(
             """SELECT c.name AS company, ds.severity, COUNT(*) AS total

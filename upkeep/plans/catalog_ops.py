@@ -202,6 +202,15 @@ def q_dq_one_active(spark, sf_dir):
 # partitions, date arithmetic, thresholds
 
 
+INCREMENT_FROM = dt.date(2000, 1, 1)  # logs from here on arrive after the stored last_log was computed
+
+
+def q_last_log_incremental(spark, sf_dir):
+    logs = _logs_with_year(spark, sf_dir)
+    stored = due.last_log(_logs_between(logs, hi=INCREMENT_FROM).drop(YEAR_COL))
+    return due.merge_last_log(stored, _logs_between(logs, lo=INCREMENT_FROM).drop(YEAR_COL))
+
+
 def q_yearly_log_counts(spark, sf_dir):
     root = td.materialize(spark, sf_dir)
     logs = read_table(spark, root, "maintenance_log", keep_year=True).groupBy(YEAR_COL).agg(F.count(F.lit(1)).alias("logs"))
@@ -277,6 +286,7 @@ SPARK = {
     "dq_length": q_dq_length,
     "dq_one_active": q_dq_one_active,
     "yearly_log_counts": q_yearly_log_counts,
+    "last_log_incremental": q_last_log_incremental,
     "date_rule_fractions": q_date_rule_fractions,
     "thresholds_null_negative": q_thresholds_null_negative,
 }
@@ -486,6 +496,10 @@ FROM a_log"""
             ),
         ),
     }
+    # incremental maintenance must equal the full recomputation
+    from upkeep.plans.catalog import _proc
+
+    out["last_log_incremental"] = _proc("SELECT * FROM last_log")
     # the folded streams must equal the batch triggers
     out["stream_close_previous"] = out["close_previous"]
     out["stream_auto_detail"] = out["auto_detail"]
