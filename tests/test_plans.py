@@ -56,9 +56,27 @@ def test_no_unbounded_single_partition_window(plans):
         assert not bad, (name, bad)
 
 
-def test_pick_is_pre_limited_before_shuffle(spark):
+def test_pick_and_last_log_join_share_one_clustering(spark):
     t = td.load(spark, SF)
-    p = refresh.picked(t)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = refresh.due_values(t)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "WindowGroupLimit" in p
+    # the window and the last_log join reuse the (equipment_id, task_id) clustering: no (e, t, frequency) exchange
+    assert "hashpartitioning(equipment_id" in p
+    assert not any("frequency_type" in line for line in p.splitlines() if "Exchange hashpartitioning" in line)
+
+
+def test_keep_first_is_pre_limited_before_shuffle(spark):
+    from upkeep.operators import load
+
+    logs = td.load(spark, SF).maintenance_log.select("id", "equipment_id", "task_id")
+    df = load.insert_if_absent(logs.limit(0), logs, ["equipment_id", "task_id"])
+    p = df._jdf.queryExecution().executedPlan().toString()
     assert p.count("WindowGroupLimit") >= 2  # partial (map side) + final
 
 

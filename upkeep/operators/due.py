@@ -8,8 +8,11 @@ Plan shape (see ``plans/refresh.py``):
   the rules once per scope and carried through the union, so the reference's three later ``JOIN base`` disappear.
   Model rules are a catalog (size-checked broadcast, no shuffle of equipment); part rules meet the *active*
   components (broadcast when small), are de-duplicated on two narrow columns, then meet equipment.
-* pick: ``row_number() = 1`` per (equipment, task, frequency); Spark plans a partial ``WindowGroupLimit`` before the
-  shuffle, so per-key top-1 is pre-computed map-side.
+* pick: the matches are hash-clustered once on (equipment, task); that one exchange satisfies both the
+  ``row_number() = 1`` window per (equipment, task, frequency) and the later join with ``last_log`` on
+  (equipment, task), which is already clustered the same way by its aggregation (one exchange fewer than letting
+  each operator shuffle for itself). Rows per key are bounded by the rule catalog, so no map-side pre-limit is lost
+  that would matter.
 * due values: one pass over the picked rules with ``when`` columns instead of three UNION ALL branches (the branch
   filters on ``frequency_type`` are disjoint).
 """
@@ -126,7 +129,8 @@ def equipment_rules(equipment_base: DataFrame, rules: DataFrame, components: Dat
 def picked_rules(matched: DataFrame) -> DataFrame:
     """Q-G3: one rule per (equipment, task, frequency) -- lowest precedence, then lowest rule id (tie-break)."""
     w = Window.partitionBy("equipment_id", "task_id", "frequency_type").orderBy("precedence", "rule_id")
-    return matched.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    clustered = matched.repartition("equipment_id", "task_id")
+    return clustered.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def _dec(v) -> Column:
