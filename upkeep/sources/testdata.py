@@ -44,7 +44,7 @@ from upkeep.sources.schemas import (
 )
 from upkeep.sources.tables import Tables, read_tables, write_tables
 
-ADAPTER_VERSION = "3"
+ADAPTER_VERSION = "4"
 
 # ---------------------------------------------------------------------------------------------------------------
 # Fixed values of the adapter (they define the test scenario and must match the DuckDB oracle text).
@@ -232,26 +232,35 @@ def domain_root(spark: SparkSession, sf_dir: str) -> str:
     return shared_path(spark, "domain", f"v{ADAPTER_VERSION}", tag)
 
 
-def _done(spark: SparkSession, root: str) -> bool:
+def _published(spark: SparkSession, base: str) -> str | None:
     try:
-        spark.read.parquet(os.path.join(root, "_done")).limit(1).count()
-        return True
+        row = spark.read.parquet(os.path.join(base, "_current")).first()
     except AnalysisException:
-        return False
+        return None
+    return None if row is None else row["path"]
 
 
 _MATERIALIZED: dict[tuple[str, str], str] = {}
 
 
 def materialize(spark: SparkSession, sf_dir: str) -> str:
-    """Write the adapted tables once per (shared folder, input) and return their root."""
+    """Write the adapted tables once per (shared folder, input) and return their root.
+
+    Each application builds into its own directory and then publishes it through a one-row pointer, so two
+    applications materializing at the same time never write into the same files; readers only ever see a
+    complete directory.
+    """
     memo = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     if memo in _MATERIALIZED:
         return _MATERIALIZED[memo]
-    root = domain_root(spark, sf_dir)
-    if not _done(spark, root):
+    base = domain_root(spark, sf_dir)
+    root = _published(spark, base)
+    if root is None:
+        root = os.path.join(base, "build-" + spark.sparkContext.applicationId.replace("/", "_"))
         write_tables(build_tables(spark, sf_dir), root)
-        spark.range(1).write.mode("overwrite").parquet(os.path.join(root, "_done"))
+        spark.createDataFrame([(root,)], "path STRING").coalesce(1).write.mode("overwrite").parquet(
+            os.path.join(base, "_current")
+        )
     _MATERIALIZED[memo] = root
     return root
 
