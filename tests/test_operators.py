@@ -175,6 +175,9 @@ def test_insert_if_absent_keep_first(spark):
     batch = spark.createDataFrame([(3, 10, 1), (5, 11, 1), (4, 11, 1), (6, 12, 2)], "id long, equipment_id long, task_id long")
     got = sorted(r.id for r in load.insert_if_absent(existing, batch, ["equipment_id", "task_id"]).collect())
     assert got == [1, 4, 6]
+    nulls = spark.createDataFrame([(7, None, 1), (8, None, 1)], "id long, equipment_id long, task_id long")
+    got = sorted(r.id for r in load.insert_if_absent(existing, nulls, ["equipment_id", "task_id"]).collect())
+    assert got == [1, 7, 8]  # NULL keys never match, so both pass the guard
 
 
 def test_lookup_rejects_duplicate_natural_key(spark):

@@ -49,8 +49,10 @@ def insert_if_absent(existing: DataFrame, batch: DataFrame, key: Sequence[str],
     known = existing.select(*key).where(complete).distinct()
     fresh = batch.join(known, key, "left_anti")
     first = Window.partitionBy(*key).orderBy(arrival)
-    inserted = fresh.withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") == 1).drop("_rn")
-    return existing.unionByName(inserted.select(*existing.columns))
+    keyed = fresh.where(complete).withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") == 1).drop("_rn")
+    # a key with a NULL part never equals anything, so every such row passes its guard
+    unkeyed = fresh.where(~complete)
+    return existing.unionByName(keyed.select(*existing.columns)).unionByName(unkeyed.select(*existing.columns))
 
 
 def lookup_id(
