@@ -39,17 +39,24 @@ def picked(t: Tables) -> DataFrame:
     return due.picked_rules(matched_rules(t))
 
 
-def due_values(t: Tables) -> DataFrame:
-    return due.due_values(picked(t), due.last_log(t.maintenance_log))
+def due_values(t: Tables, picked_rules: DataFrame | None = None) -> DataFrame:
+    chosen = picked(t) if picked_rules is None else picked_rules
+    return due.due_values(chosen, due.last_log(t.maintenance_log))
 
 
-def due_stage(t: Tables, p: RefreshParams) -> DataFrame:
-    return due.stage(due_values(t), p.as_of, p.computed_at, p.days_ahead, p.hours_ahead, p.km_ahead)
+def due_stage(t: Tables, p: RefreshParams, picked_rules: DataFrame | None = None) -> DataFrame:
+    return due.stage(due_values(t, picked_rules), p.as_of, p.computed_at, p.days_ahead, p.hours_ahead, p.km_ahead)
 
 
-def refresh_due(t: Tables, old_snapshot: DataFrame | None, p: RefreshParams) -> DataFrame:
-    """The ``due_soon`` table after the procedure: stage upserted into ``old_snapshot`` (purged if asked)."""
-    stage = due_stage(t, p)
+def refresh_due(
+    t: Tables, old_snapshot: DataFrame | None, p: RefreshParams, picked_rules: DataFrame | None = None
+) -> DataFrame:
+    """The ``due_soon`` table after the procedure: stage upserted into ``old_snapshot`` (purged if asked).
+
+    ``picked_rules`` may be passed in when several dates are refreshed from the same equipment/rule/component
+    state: rule matching and the precedence pick depend on neither the date nor the log history.
+    """
+    stage = due_stage(t, p, picked_rules)
     if old_snapshot is None:
         return snapshot.initial_snapshot(stage)
     return snapshot.upsert(old_snapshot, stage, p.purge)
