@@ -265,6 +265,17 @@ def materialize(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+_LOADED: dict[tuple[str, str], Tables] = {}
+
+
 def load(spark: SparkSession, sf_dir: str) -> Tables:
-    """The domain tables for ``sf_dir`` (materialized on first use), read with fixed schemas."""
-    return read_tables(spark, materialize(spark, sf_dir))
+    """The domain tables for ``sf_dir`` (materialized on first use), read with fixed schemas.
+
+    The returned DataFrames are immutable plan definitions, so one ``Tables`` value is reused per application
+    (file listing and schema resolution happen once).
+    """
+    root = materialize(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, root)
+    if key not in _LOADED:
+        _LOADED[key] = read_tables(spark, root)
+    return _LOADED[key]
