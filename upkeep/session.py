@@ -12,10 +12,15 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "upkeep") -> SparkSession:
+def build_session(
+    master: str = "local[8]", shuffle_partitions: int = 8, app: str = "upkeep", extra: dict[str, str] | None = None
+) -> SparkSession:
     """Local session for tests and the bench (UI off, UTC, AQE on)."""
+    builder = SparkSession.builder
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = (
-        SparkSession.builder.master(master)
+        builder.master(master)
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
