@@ -14,8 +14,8 @@
 | equipment_component | lineitem x orders, slot = line number, arrival id = order of 7 line columns,  |
 |                   | ``removed_at`` by the slot-closing trigger                                     |
 | maintenance_log_detail | lineitem (action by return flag)                                           |
-| maintenance_rule  | model x task cycle; one MONTHS rule for every 7th customer; one DAYS rule for   |
-|                   | every 20th part (rule *assignment*: every row of every table is still read)     |
+| maintenance_rule  | model x task cycle; an individual MONTHS rule for units whose account is in     |
+|                   | arrears (negative balance); a global DAYS rule for small parts (size <= 2)      |
 
 Everything is a Spark job over the whole input; the result is written once as Parquet into the shared folder
 and read back with fixed schemas, like production tables at rest.
@@ -44,7 +44,7 @@ from upkeep.sources.schemas import (
 )
 from upkeep.sources.tables import Tables, read_tables, write_tables
 
-ADAPTER_VERSION = "4"
+ADAPTER_VERSION = "5"
 
 # ---------------------------------------------------------------------------------------------------------------
 # Fixed values of the adapter (they define the test scenario and must match the DuckDB oracle text).
@@ -54,8 +54,8 @@ PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]  # m
 NO_HOURS_MODEL = 5  # MACHINERY units have no engine-hour meter
 NO_KM_MODEL = 3  # FURNITURE units have no odometer
 RULE_CYCLE = [("DAYS", 900), ("WEEKS", 100), ("MONTHS", 18), ("YEARS", 2), ("HOURS", 50000), ("KM", 100000)]
-EQUIPMENT_RULE_EVERY, EQUIPMENT_RULE = 7, ("MONTHS", 24)
-PART_RULE_EVERY, PART_RULE = 20, ("DAYS", 700)
+EQUIPMENT_RULE = ("MONTHS", 24)  # individual rule for units whose account balance is negative; task = model id
+SMALL_PART_SIZE, PART_RULE = 2, ("DAYS", 700)  # global rule for parts of size <= 2; task = 1 + size
 RETURNFLAG_ACTION = {"R": "REPLACE", "A": "REPAIR", "N": "INSPECT"}
 COMPONENT_ORDER = [
     "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
@@ -197,18 +197,20 @@ def build_tables(spark: SparkSession, sf_dir: str) -> Tables:
             F.lit(True).alias("is_default"),
         )
     )
-    equipment_rules = customer.where(F.col("c_custkey") % EQUIPMENT_RULE_EVERY == 0).select(
+    equipment_rules = (
+        customer.where(F.col("c_acctbal") < 0).join(seg_model, customer.c_mktsegment == seg_model.model_name)
+    ).select(
         equipment_rule_id(F.col("c_custkey")).alias("id"),
-        (F.lit(1) + F.col("c_custkey") % len(PRIORITIES)).alias("task_id"),
+        F.col("equipment_model_id").alias("task_id"),
         F.col("c_custkey").alias("equipment_id"),
         F.lit(EQUIPMENT_RULE[0]).alias("frequency_type"),
         F.lit(EQUIPMENT_RULE[1]).cast(METER).alias("value_numeric"),
         F.lit(True).alias("active"),
         F.lit(False).alias("is_default"),
     )
-    part_rules = part.where(F.col("p_partkey") % PART_RULE_EVERY == 0).select(
+    part_rules = part.where(F.col("p_size") <= SMALL_PART_SIZE).select(
         part_rule_id(F.col("p_partkey")).alias("id"),
-        (F.lit(1) + F.col("p_partkey") % len(PRIORITIES)).alias("task_id"),
+        (F.lit(1) + F.col("p_size")).alias("task_id"),
         F.col("p_partkey").alias("part_type_id"),
         F.lit(PART_RULE[0]).alias("frequency_type"),
         F.lit(PART_RULE[1]).cast(METER).alias("value_numeric"),
