@@ -1,9 +1,10 @@
 """Structured Streaming forms of the two row triggers (T-01, T-02).
 
-T-01 slot closing: components arrive as files; the stream is keyed by (equipment, slot) and keeps **one open row
-per slot** in the state store (``applyInPandasWithState``). Within a micro-batch a group's rows are sorted by
-arrival id and closed by their successor (pandas ``shift``); the first row also closes the slot's open row from
-state. The sink is an append-only changelog: every component once as inserted (resolved as far as the batch
+T-01 slot closing: components arrive as files; the stream is keyed by unit and keeps **one open row per slot** of
+that unit in the state store (``applyInPandasWithState``). Within a micro-batch a unit's rows are sorted by
+(slot, arrival id) and each is closed by its successor in the same slot (numpy, vectorized); the first arrival of a
+slot also closes that slot's open row from state. Keying by unit rather than by (unit, slot) gives far fewer,
+larger groups per micro-batch (the per-group cost of the pandas state API dominates otherwise). The sink is an append-only changelog: every component once as inserted (resolved as far as the batch
 knows) plus one "closed" event for a row that was still open at the end of an earlier batch; folding the changelog
 by ``id`` gives exactly the batch ``close_previous`` table. Rows without a slot bypass the state (never closed).
 
@@ -28,52 +29,81 @@ from upkeep.session import shared_path, ship_package
 from upkeep.sources.schemas import EQUIPMENT_COMPONENT, MAINTENANCE_LOG, MAINTENANCE_LOG_DETAIL, conform
 
 STATE_SCHEMA = (
-    "open_id LONG, part_type_id LONG, serial_number STRING, installed_at TIMESTAMP_NTZ, notes STRING"
+    "slots ARRAY<STRING>, ids ARRAY<LONG>, parts ARRAY<LONG>, serials ARRAY<STRING>, "
+    "installed ARRAY<TIMESTAMP_NTZ>, notes ARRAY<STRING>"
 )
 EVENT_SCHEMA = EQUIPMENT_COMPONENT
+_NAT = np.array(["NaT"], dtype="datetime64[ns]")
 
 
-def _close_group(key, frames, state):
+def _close_unit(key, frames, state):
+    """One unit's arrivals in this micro-batch; state = the unit's open row per slot."""
     frames = list(frames)
     rows = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-    order = np.argsort(rows["id"].to_numpy(), kind="stable")
-    ids = rows["id"].to_numpy()[order]
-    part = rows["part_type_id"].to_numpy()[order]
-    serial = rows["serial_number"].to_numpy(dtype=object)[order]
-    notes = rows["notes"].to_numpy(dtype=object)[order]
-    installed = rows["installed_at"].to_numpy(dtype="datetime64[ns]")[order]
-    given = pd.to_datetime(rows["removed_at"]).to_numpy(dtype="datetime64[ns]")[order]
-    successor = np.concatenate([installed[1:], np.array(["NaT"], dtype="datetime64[ns]")])
+    rows = rows.sort_values(["slot_label", "id"], kind="stable")
+    slots = rows["slot_label"].to_numpy(dtype=object)
+    ids = rows["id"].to_numpy()
+    part = rows["part_type_id"].to_numpy()
+    serial = rows["serial_number"].to_numpy(dtype=object)
+    notes = rows["notes"].to_numpy(dtype=object)
+    installed = rows["installed_at"].to_numpy(dtype="datetime64[ns]")
+    given = pd.to_datetime(rows["removed_at"]).to_numpy(dtype="datetime64[ns]")
+    n = len(ids)
+    same_next = np.zeros(n, dtype=bool)
+    same_next[:-1] = slots[1:] == slots[:-1]
+    successor = np.where(same_next, np.concatenate([installed[1:], _NAT]), _NAT)
     removed = np.where(np.isnat(given), successor, given)
-    last_open = bool(np.isnat(given[-1]))
+
+    open_rows = {}
     if state.exists:
-        # the first arrival of this batch closes the slot's open row (state holds the whole open row)
-        o_id, o_part, o_serial, o_installed, o_notes = state.get
-        ids = np.concatenate([[o_id], ids])
-        part = np.concatenate([[o_part], part])
-        serial = np.concatenate([np.array([o_serial], dtype=object), serial])
-        notes = np.concatenate([np.array([o_notes], dtype=object), notes])
-        removed = np.concatenate([installed[:1], removed])
-        installed = np.concatenate([np.array([pd.Timestamp(o_installed)], dtype="datetime64[ns]"), installed])
-    if last_open:
-        state.update((int(ids[-1]), int(part[-1]), serial[-1], pd.Timestamp(installed[-1]), notes[-1]))
+        s_slots, s_ids, s_parts, s_serials, s_installed, s_notes = state.get
+        open_rows = {
+            sl: (i, p, se, pd.Timestamp(ins), no)
+            for sl, i, p, se, ins, no in zip(s_slots, s_ids, s_parts, s_serials, s_installed, s_notes)
+        }
+    events = []
+    first_of_slot = np.ones(n, dtype=bool)
+    first_of_slot[1:] = slots[1:] != slots[:-1]
+    for pos in np.flatnonzero(first_of_slot):
+        sl = slots[pos]
+        if sl in open_rows:  # the first arrival closes the slot's open row from earlier batches
+            i, p, se, ins, no = open_rows.pop(sl)
+            events.append((i, p, se, ins, installed[pos], no, sl))
+    last_of_slot = ~same_next
+    for pos in np.flatnonzero(last_of_slot):
+        if np.isnat(given[pos]):
+            open_rows[slots[pos]] = (int(ids[pos]), int(part[pos]), serial[pos], pd.Timestamp(installed[pos]), notes[pos])
+    if open_rows:
+        keys = sorted(open_rows)
+        vals = [open_rows[k] for k in keys]
+        state.update((keys, [v[0] for v in vals], [v[1] for v in vals], [v[2] for v in vals],
+                      [v[3] for v in vals], [v[4] for v in vals]))
     elif state.exists:
         state.remove()
-    n = len(ids)
+
+    if events:
+        e_ids, e_part, e_serial, e_inst, e_rem, e_notes, e_slots = map(list, zip(*events))
+        ids = np.concatenate([np.array(e_ids, dtype="int64"), ids])
+        part = np.concatenate([np.array(e_part, dtype="int64"), part])
+        serial = np.concatenate([np.array(e_serial, dtype=object), serial])
+        notes = np.concatenate([np.array(e_notes, dtype=object), notes])
+        slots = np.concatenate([np.array(e_slots, dtype=object), slots])
+        installed = np.concatenate([np.array(e_inst, dtype="datetime64[ns]"), installed])
+        removed = np.concatenate([np.array(e_rem, dtype="datetime64[ns]"), removed])
     yield pd.DataFrame(
         {
-            "id": ids, "equipment_id": np.full(n, key[0], dtype="int64"), "part_type_id": part,
-            "slot_label": np.full(n, key[1], dtype=object), "serial_number": serial,
-            "installed_at": installed, "removed_at": removed, "notes": notes,
+            "id": ids, "equipment_id": np.full(len(ids), key[0], dtype="int64"), "part_type_id": part,
+            "slot_label": slots, "serial_number": serial, "installed_at": installed, "removed_at": removed,
+            "notes": notes,
         }
     )
 
 
 def close_previous_stream(components: DataFrame) -> DataFrame:
-    """Streaming slot closing: a changelog DataFrame (append mode)."""
+    """Streaming slot closing: a changelog DataFrame (append mode), state keyed by unit."""
     keyed = components.where(F.col("slot_label").isNotNull())
-    closed = keyed.groupBy("equipment_id", "slot_label").applyInPandasWithState(
-        _close_group, EVENT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+    closed = keyed.groupBy("equipment_id").applyInPandasWithState(
+        _close_unit, EVENT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
     )
     return closed.unionByName(components.where(F.col("slot_label").isNull()))
 
