@@ -33,8 +33,6 @@ RULE_COLS = [
     "equipment_id", "rule_id", "task_id", "frequency_type", "value_numeric",
     "interval_text", "pattern", "condition_note", "precedence",
 ]
-BASE_COLS = ["equipment_id", "farm_id", "company_id", "equip_created", "engine_hours", "odometer_km"]
-STAGE_KEY = ["equipment_id", "task_id", "rule_id"]
 
 # Fixed values of the reference procedure.
 DEFAULT_DAYS_AHEAD = 30

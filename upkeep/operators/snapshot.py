@@ -21,10 +21,9 @@ from pyspark.sql.utils import AnalysisException
 
 from upkeep.functions.sizing import broadcast_if_small
 from upkeep.operators.ids import with_sequence
-from upkeep.sources.schemas import DUE_SOON, DUE_STAGE, conform
+from upkeep.sources.schemas import DUE_SOON, conform
 
 KEY = ["equipment_id", "task_id", "rule_id"]
-VALUE_COLS = [c for c in DUE_STAGE.fieldNames() if c not in KEY]
 
 
 def max_id(df: DataFrame) -> int:

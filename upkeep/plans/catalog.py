@@ -6,7 +6,6 @@ All queries run over the whole adapted tables of ``sf_dir`` with the scenario pa
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession

@@ -11,7 +11,6 @@ from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from upkeep.operators import due, snapshot
 from upkeep.sources.tables import Tables
@@ -75,7 +74,3 @@ def shifted(p: RefreshParams, days: int) -> RefreshParams:
         p.as_of - dt.timedelta(days=days), p.computed_at - dt.timedelta(days=days),
         p.days_ahead, p.hours_ahead, p.km_ahead, p.purge,
     )
-
-
-def stage_columns_only(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(c) for c in df.columns if c != "id"])

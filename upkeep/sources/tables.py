@@ -81,7 +81,3 @@ def read_table(spark: SparkSession, root: str, name: str, keep_year: bool = Fals
 
 def read_tables(spark: SparkSession, root: str) -> Tables:
     return Tables(**{n: read_table(spark, root, n) for n in SCHEMAS if n != "due_soon"})
-
-
-def tables_from_frames(frames: dict[str, DataFrame]) -> Tables:
-    return Tables(**{n: conform(frames[n], SCHEMAS[n]) for n in SCHEMAS if n != "due_soon"})
