@@ -92,3 +92,13 @@ def test_scan_reads_only_needed_columns(spark):
     df = t.maintenance_log.groupBy("equipment_id", "task_id").agg(F.max("performed_on"))
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<equipment_id:bigint,task_id:bigint,performed_on:date>" in text
+
+
+def test_single_unit_lookup_pushes_the_key_into_the_scans(spark):
+    from upkeep.plans import views
+
+    t = td.load(spark, SF)
+    text = views.maintenance_timeline(t, 7)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(equipment_id), EqualTo(equipment_id,7)" in text
+    text = views.current_components(t, 7)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(equipment_id,7)" in text and "IsNull(removed_at)" in text

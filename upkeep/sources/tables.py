@@ -18,6 +18,14 @@ from upkeep.sources.schemas import SCHEMAS, conform
 
 YEAR_PARTITIONED = ("maintenance_log", "maintenance_log_detail")
 YEAR_COL = "performed_year"
+# lookup key each large table is sorted by inside its files: Parquet min/max statistics then let a pushed-down
+# equality (e.g. Query A/B for one unit) skip most row groups
+SORT_WITHIN = {
+    "equipment": ["id"],
+    "equipment_component": ["equipment_id", "slot_label", "id"],
+    "maintenance_log": [YEAR_COL, "equipment_id", "performed_on"],
+    "maintenance_log_detail": [YEAR_COL, "maintenance_log_id"],
+}
 
 
 @dataclass(frozen=True)
@@ -60,14 +68,16 @@ def write_tables(tables: Tables, root: str, log_year: DataFrame | None = None) -
         path = os.path.join(root, name)
         out = conform(df, SCHEMAS[name])
         if name == "maintenance_log":
-            out = out.withColumn(YEAR_COL, F.year("performed_on"))
+            out = out.withColumn(YEAR_COL, F.year("performed_on")).sortWithinPartitions(*SORT_WITHIN[name])
             out.write.mode("overwrite").partitionBy(YEAR_COL).parquet(path)
         elif name == "maintenance_log_detail":
             years = log_year if log_year is not None else tables.maintenance_log.select(
                 F.col("id").alias("maintenance_log_id"), F.year("performed_on").alias(YEAR_COL)
             )
             out = out.join(years, "maintenance_log_id", "left").select(*SCHEMAS[name].fieldNames(), YEAR_COL)
-            out.write.mode("overwrite").partitionBy(YEAR_COL).parquet(path)
+            out.sortWithinPartitions(*SORT_WITHIN[name]).write.mode("overwrite").partitionBy(YEAR_COL).parquet(path)
+        elif name in SORT_WITHIN:
+            out.sortWithinPartitions(*SORT_WITHIN[name]).write.mode("overwrite").parquet(path)
         else:
             out.write.mode("overwrite").parquet(path)
 

@@ -44,7 +44,7 @@ from upkeep.sources.schemas import (
 )
 from upkeep.sources.tables import Tables, read_tables, write_tables
 
-ADAPTER_VERSION = "5"
+ADAPTER_VERSION = "6"
 
 # ---------------------------------------------------------------------------------------------------------------
 # Fixed values of the adapter (they define the test scenario and must match the DuckDB oracle text).
