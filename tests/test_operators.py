@@ -94,6 +94,13 @@ def test_with_sequence_equals_row_number(spark):
     assert sorted(map(tuple, got.select("k", "seq").collect())) == sorted(map(tuple, want.select("k", "seq").collect()))
 
 
+def test_with_sequence_small_input_path(spark):
+    df = spark.range(0, 3000).select((F.col("id") * 7919 % 3001).alias("k"))
+    got = with_sequence(df, ["k"], "seq", start_after=5)  # proven small: one sorted partition
+    want = df.withColumn("seq", F.row_number().over(Window.orderBy("k")) + 5)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
 @pytest.mark.parametrize(
     "value, expected",
     [
