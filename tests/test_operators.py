@@ -204,3 +204,18 @@ def test_snapshot_versions(spark, tmp_path):
     v2 = snapshot.commit_snapshot(spark, refresh.refresh_due(t, old, p), root)
     assert (v1, v2) == (1, 2)
     assert snapshot.read_snapshot(spark, root).count() == 5
+
+
+@pytest.mark.parametrize("trigger_on, expected", [(True, [(2, "INSPECT")]), (False, [(2, "REPLACE")])])
+def test_seed_detail_lines_follow_trigger_and_guard(spark, trigger_on, expected):
+    from upkeep.sources.schemas import MAINTENANCE_LOG_DETAIL
+
+    t = seed_tables(spark, dt.date(2026, 2, 10))
+    empty = spark.createDataFrame([], MAINTENANCE_LOG_DETAIL)
+    details = history.insert_logs_with_trigger(empty, t.maintenance_log) if trigger_on else empty
+    start = details.count()
+    replace_line = spark.createDataFrame(
+        [(start + 1, 2, 1, "REPLACE", 1, 2, Decimal("1"), "Upgraded to Type B")], MAINTENANCE_LOG_DETAIL
+    )
+    out = load.insert_if_absent(details, replace_line, load.NATURAL_KEYS["maintenance_log_detail"])
+    assert sorted((r.maintenance_log_id, r.action) for r in out.collect()) == expected
