@@ -219,3 +219,36 @@ def test_seed_detail_lines_follow_trigger_and_guard(spark, trigger_on, expected)
     )
     out = load.insert_if_absent(details, replace_line, load.NATURAL_KEYS["maintenance_log_detail"])
     assert sorted((r.maintenance_log_id, r.action) for r in out.collect()) == expected
+
+
+def test_scope_resolution_and_per_frequency_precedence(spark):
+    """G-13: a unit rule ignores its model/part columns; a model rule ignores its part column.
+    G-14: a unit MONTHS rule does not hide a model HOURS rule of the same task."""
+    d = dt.date(2026, 2, 10)
+    t = seed_tables(spark, d)
+    extra = [
+        (20, 1, 2, 1, 3, "MONTHS", Decimal("1"), None, None, None, True, False),  # unit 1, names model 2 / part 3
+        (21, 3, 1, None, 5, "DAYS", Decimal("1"), None, None, None, True, False),  # model 1, part 5 never installed
+    ]
+    t = _with_rules(spark, t, extra)
+    matched = {(r.equipment_id, r.rule_id): r.precedence for r in refresh.matched_rules(t).collect()}
+    assert matched[(1, 20)] == 1 and (2, 20) not in matched  # only its unit, whatever the model column says
+    assert matched[(1, 21)] == 2  # model scope applies although part 5 is not installed
+    picked = {(r.equipment_id, r.task_id, r.frequency_type): r.rule_id for r in refresh.picked(t).collect()}
+    assert picked[(1, 1, "MONTHS")] == 20 and picked[(1, 1, "HOURS")] == 1
+
+
+def test_views_use_current_farm_and_group_by_company_name(spark):
+    """G-20: farm/company come from the unit's current farm. G-21: the summary groups by company *name*."""
+    d = dt.date(2026, 2, 10)
+    t = seed_tables(spark, d)
+    p = refresh.RefreshParams(d, dt.datetime(2026, 2, 10, 2, 5), 30, 25, 500)
+    snap = refresh.refresh_due(t, None, p)
+    moved = t.with_(equipment=t.equipment.withColumn("farm_id", F.when(F.col("id") == 3, F.lit(3)).otherwise(F.col("farm_id"))))
+    from upkeep.plans import views
+
+    truck = {(r.farm, r.company) for r in views.due_view(moved, snap).collect() if r.equipment_id == 3}
+    assert truck == {("Valley Farm", "GreenFields Co.")}  # stored snapshot ids say South Farm / Acme
+    renamed = t.with_(company=t.company.withColumn("name", F.lit("Same Name")))
+    summary = {(r.company, r.severity): r.total for r in views.due_summary(renamed, snap).collect()}
+    assert summary == {("Same Name", "DUE_SOON"): 3, ("Same Name", "OVERDUE"): 2}
