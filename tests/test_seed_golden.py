@@ -121,3 +121,18 @@ def test_purge_off_keeps_stale_rows(spark):
     assert (3, 4, 4) not in pk and (3, 4, 4) in kk
     old_ids = {(r.equipment_id, r.task_id, r.rule_id): r.id for r in old.collect()}
     assert all(kk[k] == old_ids[k] for k in old_ids)  # ids survive the upsert
+
+
+def test_results_do_not_depend_on_the_session_time_zone(spark):
+    d = dt.date(2026, 2, 10)
+
+    def run():
+        t, snap = _refresh(spark, d)
+        return sorted(map(repr, snap.collect())), sorted(map(repr, views.current_components(t).collect()))
+
+    utc = run()
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        assert run() == utc
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
