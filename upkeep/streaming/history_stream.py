@@ -8,6 +8,9 @@ larger groups per micro-batch (the per-group cost of the pandas state API domina
 knows) plus one "closed" event for a row that was still open at the end of an earlier batch; folding the changelog
 by ``id`` gives exactly the batch ``close_previous`` table. Rows without a slot bypass the state (never closed).
 
+Replays (``run_*_stream``) deliver the input as arrivals written with full parallelism and drain each one with an
+``availableNow`` run against the same checkpoint, so state and sink carry over exactly as across restarts.
+
 T-02 auto detail: a stateless projection of the log stream; ``foreachBatch`` assigns ``bigserial`` ids after
 the current maximum and writes each micro-batch into its own ``batch=<id>`` directory with overwrite, so a
 replayed batch rewrites the same files (idempotent sink).
@@ -114,17 +117,26 @@ def fold_changelog(events: DataFrame) -> DataFrame:
     return conform(events.groupBy("id").agg(*[F.max(c).alias(c) for c in cols]), EQUIPMENT_COMPONENT)
 
 
-def write_arrivals(df: DataFrame, path: str, order_col: str, batches: int) -> None:
-    """Split ``df`` into ``batches`` arrival files in ``order_col`` order (one write per arrival)."""
+def arrival_ranges(df: DataFrame, order_col: str, batches: int) -> list[tuple[int, int]]:
+    """``batches`` consecutive [lo, hi) ranges of ``order_col`` covering ``df`` (arrival order)."""
     bounds = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
     lo, hi = int(bounds["lo"]), int(bounds["hi"])
     step = max(1, (hi - lo + batches) // batches)
-    for k in range(batches):
-        a, b = lo + k * step, lo + (k + 1) * step
-        # one file per arrival: the file source replays arrivals in write order, one per micro-batch
-        df.where((F.col(order_col) >= a) & (F.col(order_col) < b)).coalesce(1).write.mode("overwrite").parquet(
-            os.path.join(path, f"arrival={k:05d}")
+    return [(lo + k * step, lo + (k + 1) * step) for k in range(batches)]
+
+
+def replay(df: DataFrame, src: str, order_col: str, batches: int, run_once) -> None:
+    """Deliver ``df`` to the file source ``src`` in arrival order, one arrival at a time.
+
+    Each arrival is written with full parallelism; ``run_once`` then drains it (``availableNow``, no file cap, so
+    one arrival = one micro-batch, ordered inside by the operator) against the same checkpoint, so the state store
+    and the sink carry over between arrivals exactly as after a restart.
+    """
+    for k, (a, b) in enumerate(arrival_ranges(df, order_col, batches)):
+        df.where((F.col(order_col) >= a) & (F.col(order_col) < b)).write.mode("overwrite").parquet(
+            os.path.join(src, f"arrival={k:05d}")
         )
+        run_once()
 
 
 def _stream_dir(spark: SparkSession, name: str) -> str:
@@ -136,16 +148,16 @@ def run_close_previous_stream(spark: SparkSession, components: DataFrame, batche
     ship_package(spark)
     base = _stream_dir(spark, "components")
     src, sink, ckpt = (os.path.join(base, p) for p in ("source", "sink", "checkpoint"))
-    write_arrivals(conform(components, EQUIPMENT_COMPONENT), src, "id", batches)
-    stream = (
-        spark.readStream.schema(EQUIPMENT_COMPONENT).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
-        .parquet(src)
-    )
-    q = (
-        close_previous_stream(stream).writeStream.format("parquet").option("checkpointLocation", ckpt)
-        .outputMode("append").trigger(availableNow=True).start(sink)
-    )
-    q.awaitTermination()
+
+    def run_once() -> None:
+        stream = spark.readStream.schema(EQUIPMENT_COMPONENT).option("recursiveFileLookup", "true").parquet(src)
+        q = (
+            close_previous_stream(stream).writeStream.format("parquet").option("checkpointLocation", ckpt)
+            .outputMode("append").trigger(availableNow=True).start(sink)
+        )
+        q.awaitTermination()
+
+    replay(conform(components, EQUIPMENT_COMPONENT), src, "id", batches, run_once)
     return fold_changelog(spark.read.schema(EVENT_SCHEMA).parquet(sink))
 
 
@@ -153,7 +165,6 @@ def run_auto_detail_stream(spark: SparkSession, details: DataFrame, logs: DataFr
     """Replay ``logs`` through the streaming auto-detail trigger on top of ``details``; return the detail table."""
     base = _stream_dir(spark, "logs")
     src, sink, ckpt = (os.path.join(base, p) for p in ("source", "sink", "checkpoint"))
-    write_arrivals(conform(logs, MAINTENANCE_LOG), src, "id", batches)
     conform(details, MAINTENANCE_LOG_DETAIL).write.mode("overwrite").parquet(os.path.join(sink, "batch=initial"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -162,10 +173,10 @@ def run_auto_detail_stream(spark: SparkSession, details: DataFrame, logs: DataFr
         start = existing.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
         auto_detail(batch, int(start)).write.mode("overwrite").parquet(target)
 
-    stream = (
-        spark.readStream.schema(MAINTENANCE_LOG).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
-        .parquet(src)
-    )
-    q = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
-    q.awaitTermination()
+    def run_once() -> None:
+        stream = spark.readStream.schema(MAINTENANCE_LOG).option("recursiveFileLookup", "true").parquet(src)
+        q = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt).trigger(availableNow=True)
+        q.start().awaitTermination()
+
+    replay(conform(logs, MAINTENANCE_LOG), src, "id", batches, run_once)
     return spark.read.schema(MAINTENANCE_LOG_DETAIL).parquet(sink).select(*MAINTENANCE_LOG_DETAIL.fieldNames())
