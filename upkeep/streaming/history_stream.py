@@ -12,8 +12,8 @@ Replays (``run_*_stream``) deliver the input as arrivals written with full paral
 ``availableNow`` run against the same checkpoint, so state and sink carry over exactly as across restarts.
 
 T-02 auto detail: a stateless projection of the log stream; ``foreachBatch`` assigns ``bigserial`` ids after
-the current maximum and writes each micro-batch into its own ``batch=<id>`` directory with overwrite, so a
-replayed batch rewrites the same files (idempotent sink).
+a high-water mark kept per micro-batch and writes each micro-batch into its own ``batch=<id>`` directory with
+overwrite, so a replayed batch rewrites the same files (idempotent sink).
 """
 
 from __future__ import annotations
@@ -162,16 +162,28 @@ def run_close_previous_stream(spark: SparkSession, components: DataFrame, batche
 
 
 def run_auto_detail_stream(spark: SparkSession, details: DataFrame, logs: DataFrame, batches: int = 4) -> DataFrame:
-    """Replay ``logs`` through the streaming auto-detail trigger on top of ``details``; return the detail table."""
+    """Replay ``logs`` through the streaming auto-detail trigger on top of ``details``; return the detail table.
+
+    Ids continue ``bigserial``-style from a high-water-mark table (one row per micro-batch), so a batch reads one
+    tiny row per earlier batch instead of scanning the detail table; a replayed batch ignores marks of itself and
+    of later batches and rewrites its own directory, so replays are idempotent.
+    """
     base = _stream_dir(spark, "logs")
-    src, sink, ckpt = (os.path.join(base, p) for p in ("source", "sink", "checkpoint"))
-    conform(details, MAINTENANCE_LOG_DETAIL).write.mode("overwrite").parquet(os.path.join(sink, "batch=initial"))
+    src, sink, marks, ckpt = (os.path.join(base, p) for p in ("source", "sink", "marks", "checkpoint"))
+    initial = conform(details, MAINTENANCE_LOG_DETAIL)
+    initial.write.mode("overwrite").parquet(os.path.join(sink, "batch=-1"))
+    initial.agg(F.coalesce(F.max("id"), F.lit(0)).alias("hwm")).write.mode("overwrite").parquet(
+        os.path.join(marks, "batch=-1")
+    )
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        target = os.path.join(sink, f"batch={batch_id:08d}")
-        existing = spark.read.schema(MAINTENANCE_LOG_DETAIL).parquet(sink).where(F.col("batch") != f"{batch_id:08d}")
-        start = existing.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
-        auto_detail(batch, int(start)).write.mode("overwrite").parquet(target)
+        earlier = spark.read.parquet(marks).where(F.col("batch") < batch_id)
+        start = int(earlier.agg(F.max("hwm").alias("m")).first()["m"])
+        lines = auto_detail(batch, start)
+        lines.write.mode("overwrite").parquet(os.path.join(sink, f"batch={batch_id}"))
+        lines.agg(F.coalesce(F.max("id"), F.lit(start)).alias("hwm")).write.mode("overwrite").parquet(
+            os.path.join(marks, f"batch={batch_id}")
+        )
 
     def run_once() -> None:
         stream = spark.readStream.schema(MAINTENANCE_LOG).option("recursiveFileLookup", "true").parquet(src)
