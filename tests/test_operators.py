@@ -252,3 +252,12 @@ def test_views_use_current_farm_and_group_by_company_name(spark):
     renamed = t.with_(company=t.company.withColumn("name", F.lit("Same Name")))
     summary = {(r.company, r.severity): r.total for r in views.due_summary(renamed, snap).collect()}
     assert summary == {("Same Name", "DUE_SOON"): 3, ("Same Name", "OVERDUE"): 2}
+
+
+def test_unit_without_farm_matches_rules_but_is_never_due(spark):
+    d = dt.date(2026, 2, 10)
+    t = seed_tables(spark, d)
+    t = t.with_(equipment=t.equipment.withColumn("farm_id", F.when(F.col("id") == 1, F.lit(99)).otherwise(F.col("farm_id"))))
+    matched = {(r.equipment_id, r.rule_id) for r in refresh.matched_rules(t).collect()}
+    assert {(1, 1), (1, 2), (1, 4)} <= matched  # rule matching reads equipment itself
+    assert all(k[0] != 1 for k in _stage(spark, t, d))  # the due branches join base (farm required)

@@ -62,10 +62,15 @@ def merge_last_log(stored: DataFrame, new_logs: DataFrame) -> DataFrame:
     )
 
 
-def base(equipment: DataFrame, farm: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Q-G4: equipment with farm/company, creation date and current meters."""
-    farms = broadcast_if_small(farm.select(F.col("id").alias("farm_id"), "company_id"))
-    return equipment.join(farms, "farm_id").select(
+def base(equipment: DataFrame, farm: DataFrame, extra: tuple[str, ...] = (), keep_unmatched: bool = False) -> DataFrame:
+    """Q-G4: equipment with farm/company, creation date and current meters.
+
+    ``keep_unmatched`` keeps units whose farm row is missing (left join, ``has_farm`` = false): rule matching in the
+    reference reads ``equipment`` itself, and only the due branches join ``base`` (dropping such units).
+    """
+    farms = broadcast_if_small(farm.select(F.col("id").alias("farm_id"), "company_id", F.lit(True).alias("has_farm")))
+    joined = equipment.join(farms, "farm_id", "left" if keep_unmatched else "inner")
+    return joined.select(
         F.col("id").alias("equipment_id"),
         "farm_id",
         "company_id",
@@ -73,6 +78,7 @@ def base(equipment: DataFrame, farm: DataFrame, extra: tuple[str, ...] = ()) ->
         "engine_hours",
         "odometer_km",
         *extra,
+        *([F.coalesce(F.col("has_farm"), F.lit(False)).alias("has_farm")] if keep_unmatched else []),
     )
 
 
@@ -138,6 +144,8 @@ def _dec(v) -> Column:
 def due_values(picked: DataFrame, last: DataFrame) -> DataFrame:
     """Q-G5..Q-G7 in one pass: next due date (time rules) or next due meter and remaining (usage rules)."""
     j = picked.join(last, ["equipment_id", "task_id"], "left")
+    if "has_farm" in j.columns:  # the due branches inner-join base: units without a farm row drop out here
+        j = j.where(F.col("has_farm")).drop("has_farm")
     freq, value = F.col("frequency_type"), F.col("value_numeric")
     zero = F.lit(0).cast(METER)
     baseline = F.coalesce(F.col("last_date"), F.col("equip_created"))

@@ -27,7 +27,7 @@ class RefreshParams:
 
 
 def equipment_base(t: Tables) -> DataFrame:
-    return due.base(t.equipment, t.farm, extra=("equipment_model_id",))
+    return due.base(t.equipment, t.farm, extra=("equipment_model_id",), keep_unmatched=True)
 
 
 def matched_rules(t: Tables) -> DataFrame:
