@@ -1,6 +1,8 @@
 """Physical-plan properties of the registered queries (scale guards), checked on the sf0.001 tables."""
 
+import datetime as dt
 import os
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -102,3 +104,17 @@ def test_single_unit_lookup_pushes_the_key_into_the_scans(spark):
     assert "PushedFilters: [IsNotNull(equipment_id), EqualTo(equipment_id,7)" in text
     text = views.current_components(t, 7)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(equipment_id,7)" in text and "IsNull(removed_at)" in text
+
+
+def test_ordered_queries_come_back_in_order(spark):
+    rows = entry.queries()["due_ordered"](spark, SF).collect()
+    far = dt.date.max
+
+    def key(r):
+        big = Decimal("1e30")
+        return (r.severity, r.next_due_date or far, r.hours_remaining if r.hours_remaining is not None else big,
+                r.km_remaining if r.km_remaining is not None else big)
+
+    assert rows and [key(r) for r in rows] == sorted(key(r) for r in rows)
+    dates = [r.performed_on for r in entry.queries()["maintenance_timeline"](spark, SF).collect()]
+    assert dates and all(a >= b for a, b in zip(dates, dates[1:]))
