@@ -261,3 +261,21 @@ def test_unit_without_farm_matches_rules_but_is_never_due(spark):
     matched = {(r.equipment_id, r.rule_id) for r in refresh.matched_rules(t).collect()}
     assert {(1, 1), (1, 2), (1, 4)} <= matched  # rule matching reads equipment itself
     assert all(k[0] != 1 for k in _stage(spark, t, d))  # the due branches join base (farm required)
+
+
+def test_last_log_store_folds_new_arrivals(spark, tmp_path):
+    from upkeep.sources.schemas import MAINTENANCE_LOG
+
+    t = seed_tables(spark, dt.date(2026, 2, 10))
+    root = str(tmp_path / "last_log")
+    first, wm1 = due.update_last_log_store(spark, t.maintenance_log.where("id <= 2"), root)
+    assert wm1 == 2 and first.count() == 2
+    late = spark.createDataFrame(  # arrives later but is back-dated, with a higher meter
+        [(9, 1, 1, dt.date(2025, 1, 1), Decimal("400"), None, None, None, None, None)], MAINTENANCE_LOG
+    )
+    logs = t.maintenance_log.unionByName(late)
+    got, wm2 = due.update_last_log_store(spark, logs, root)
+    assert wm2 == 9
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, due.last_log(logs).collect()))
+    again, wm3 = due.update_last_log_store(spark, logs, root)  # nothing new: unchanged
+    assert wm3 == 9 and sorted(map(tuple, again.collect())) == sorted(map(tuple, got.collect()))

@@ -211,3 +211,50 @@ def stage(
     # W-07: keep only actionable severities (a no-op given the filters above, kept as in the reference)
     out = out.where(F.col("severity").isin(*ACTIONABLE))
     return out.select(*[F.col(f.name).cast(f.dataType) for f in DUE_STAGE.fields])
+
+
+# --------------------------------------------------------------------------------------------------------------
+# stored last_log (incremental daily upkeep)
+
+
+def _store_pointer(root: str) -> str:
+    import os
+
+    return os.path.join(root, "_current")
+
+
+def read_last_log_store(spark, root: str):
+    """(last_log DataFrame, id watermark) of the current store version, or (None, None)."""
+    import os
+
+    from pyspark.sql.utils import AnalysisException
+
+    try:
+        row = spark.read.parquet(_store_pointer(root)).first()
+    except AnalysisException:
+        return None, None
+    return spark.read.parquet(os.path.join(root, f"version={row['version']:06d}")), int(row["watermark"])
+
+
+def update_last_log_store(spark, logs: DataFrame, root: str) -> tuple[DataFrame, int]:
+    """Fold the logs that arrived since the stored watermark (log ids are arrival-ordered) into the stored
+    ``last_log`` and commit it as the next version; a back-dated log is still picked up because the watermark is
+    on arrival ids, not dates. Returns (last_log, new watermark)."""
+    import os
+
+    stored, watermark = read_last_log_store(spark, root)
+    if stored is None:
+        fresh, version = logs, 1
+        merged = last_log(fresh)
+    else:
+        fresh = logs.where(F.col("id") > F.lit(watermark))
+        prev = spark.read.parquet(_store_pointer(root)).first()["version"]
+        version = prev + 1
+        merged = merge_last_log(stored, fresh)
+    top = fresh.agg(F.max("id").alias("m")).first()["m"]
+    new_watermark = max(watermark or 0, int(top)) if top is not None else (watermark or 0)
+    merged.write.mode("errorifexists").parquet(os.path.join(root, f"version={version:06d}"))
+    spark.createDataFrame([(version, new_watermark)], "version INT, watermark LONG").coalesce(1).write.mode(
+        "overwrite"
+    ).parquet(_store_pointer(root))
+    return read_last_log_store(spark, root)

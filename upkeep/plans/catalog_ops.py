@@ -202,13 +202,20 @@ def q_dq_one_active(spark, sf_dir):
 # partitions, date arithmetic, thresholds
 
 
-INCREMENT_FROM = dt.date(2000, 1, 1)  # logs from here on arrive after the stored last_log was computed
+def q_last_log_incremental(spark, sf_dir):
+    """Stored last_log kept up to date by arrival watermark: the store is built when the first half of the
+    arrival-id range had arrived, then the later arrivals are folded in; must equal the full aggregation."""
+    import uuid
 
+    from upkeep.session import shared_path
 
-def q_last_log_incremental(spark, sf_dir):
-    logs = _logs_with_year(spark, sf_dir)
-    stored = due.last_log(_logs_between(logs, hi=INCREMENT_FROM).drop(YEAR_COL))
-    return due.merge_last_log(stored, _logs_between(logs, lo=INCREMENT_FROM).drop(YEAR_COL))
+    logs = _t(spark, sf_dir).maintenance_log
+    bounds = logs.agg(F.min("id").alias("lo"), F.max("id").alias("hi")).first()
+    first_half = logs.where(F.col("id") <= F.lit((int(bounds["lo"]) + int(bounds["hi"])) // 2))
+    root = shared_path(spark, "last_log", f"store-{uuid.uuid4().hex[:12]}")
+    due.update_last_log_store(spark, first_half, root)
+    last, _ = due.update_last_log_store(spark, logs, root)
+    return last
 
 
 def q_yearly_log_counts(spark, sf_dir):

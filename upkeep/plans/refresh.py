@@ -38,9 +38,10 @@ def picked(t: Tables) -> DataFrame:
     return due.picked_rules(matched_rules(t))
 
 
-def due_values(t: Tables, picked_rules: DataFrame | None = None) -> DataFrame:
+def due_values(t: Tables, picked_rules: DataFrame | None = None, last: DataFrame | None = None) -> DataFrame:
+    """``last`` may be a stored, incrementally maintained ``last_log`` (``due.update_last_log_store``)."""
     chosen = picked(t) if picked_rules is None else picked_rules
-    return due.due_values(chosen, due.last_log(t.maintenance_log))
+    return due.due_values(chosen, due.last_log(t.maintenance_log) if last is None else last)
 
 
 def due_stage(t: Tables, p: RefreshParams, picked_rules: DataFrame | None = None) -> DataFrame:
