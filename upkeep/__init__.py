@@ -1,0 +1,11 @@
+"""upkeep -- equipment-maintenance analytics on Spark.
+
+Entry points (all take and return DataFrames; nothing is collected):
+
+* ``plans.refresh.refresh_due`` / ``refresh_job``  -- the due-soon refresh (stage, upsert, purge, versioned commit)
+* ``plans.views``                               -- current components, timeline, month rules due, dashboard views
+* ``operators.history``                         -- slot closing and automatic detail lines (batch)
+* ``streaming.history_stream``                  -- the same two triggers in Structured Streaming
+* ``operators.load`` / ``operators.quality``     -- idempotent loading and integrity checks
+* ``sources.testdata.load``                     -- the driver's test tables adapted to the domain tables
+"""
