@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -82,14 +83,27 @@ class Hasher:
             self.up = powers(n)
             self.down = powers(n, self.inverse_base)
 
-    def ranges(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Hash of ``data[s:e]`` for each range; equal bytes give equal hashes wherever they stand."""
+    def sums(self, data: np.ndarray) -> np.ndarray:
         self._reserve(len(data) + 1)
         sums = np.empty(len(data) + 1, dtype=np.uint64)
         sums[0] = 0
         np.cumsum(self.codes[data] * self.up[: len(data)], out=sums[1:])
+        return sums
+
+    def between(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hash of ``data[s:e]`` for each range; equal bytes give equal hashes wherever they stand."""
         return mix((sums[ends] - sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
 
+    def ranges(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return self.between(self.sums(data), starts, ends)
+
+    def windows(self, sums: np.ndarray, size: int) -> np.ndarray:
+        """Hash of every ``size`` consecutive bytes, the same as ``between`` gives for each."""
+        n = len(sums) - size
+        if n <= 0:
+            return np.empty(0, dtype=np.uint64)
+        return mix((sums[size:] - sums[:n]) * self.down[:n] + np.uint64(size))
+
 
 class Chunk:
     """Some consecutive rows of a batch: their text bytes in one array, ``bounds[i]:bounds[i+1]`` of row ``i``."""
@@ -159,3 +173,9 @@ def list_array(values: pa.Array, sizes: np.ndarray) -> pa.Array:
     offsets = np.zeros(len(sizes) + 1, dtype=np.int32)
     np.cumsum(sizes, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), values)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of finished steps whose results are written tables."""
+    gc.collect()
+    spark._jvm.System.gc()

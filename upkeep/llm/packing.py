@@ -23,12 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from upkeep.llm.bpe import Merger, runs_of_texts, split_pattern
+
 CAPACITY = 4096
-DOCS_PER_BUCKET = 2048
+DOCS_PER_BUCKET = 512
 CACHE_ENTRIES = 400_000
 
-# the split pattern of the word-end BPE (fixed value)
-PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# the split pattern of the word-end BPE (fixed value), the commonest alternative first; see split_pattern
+PRE_TOKEN = "[<L>]+|'(?:s|t|re|ve|m|ll|d)|[<N>]|[^<S><L><N>]+"
 # characters that NFC keeps, that both libraries class alike and that lower-case one by one
 AGREED = "\x00-ʯЀ-ҁҊ-ԯ‐-‧‰-⁞一-鿿"
 OTHER = f"[^{AGREED}]"
@@ -37,7 +39,7 @@ PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_toke
 
 
 class Encoder:
-    """Token ids of texts; each distinct pre-token is encoded once by the tokenizer library and remembered.
+    """Token ids of texts; each distinct pre-token is merged once by the tokenizer library and remembered.
 
     Texts with characters outside ``AGREED`` or with an added special token are encoded by the library as a whole.
     """
@@ -50,24 +52,31 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.split = regex.compile(PRE_TOKEN)
+        self.merger = Merger(tokenizer_path)
+        self.split = split_pattern(AGREED, PRE_TOKEN)
         self.other = regex.compile(OTHER)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
 
-    def encode(self, text: str) -> np.ndarray:
-        if any(s in text for s in self.special) or self.other.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype)
-        pieces = self.split.findall(text.lower())
-        known = self.known
-        rest = list({p for p in pieces if p not in known})
-        if rest:
-            if len(known) + len(rest) > CACHE_ENTRIES:
-                known = self.known = {}
-                rest = list(set(pieces))
-            encoded = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
-            known.update((p, np.array(e.ids, dtype=self.dtype).tobytes()) for p, e in zip(rest, encoded))
-        return np.frombuffer(b"".join(map(known.__getitem__, pieces)), dtype=self.dtype)
+    def _whole(self, text: str) -> bool:
+        return any(s in text for s in self.special) or self.other.search(text) is not None
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        pieces = [None if self._whole(t) else self.split.findall(t.lower()) for t in texts]
+        rest = list(set().union(*(p for p in pieces if p is not None)).difference(self.known))
+        if len(self.known) + len(rest) > CACHE_ENTRIES:
+            self.known = {}
+            rest = list(set().union(*(p for p in pieces if p is not None)))
+        ids, counts = self.merger.encode(rest)
+        raw, ends = ids.astype(self.dtype).tobytes(), (np.cumsum(counts) * self.dtype.itemsize).tolist()
+        self.known.update(zip(rest, (raw[a:b] for a, b in zip([0, *ends], ends))))
+        known = self.known.__getitem__
+        return [
+            np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, dtype=self.dtype)
+            if p is None
+            else np.frombuffer(b"".join(map(known, p)), dtype=self.dtype)
+            for t, p in zip(texts, pieces)
+        ]
 
 
 def crc32(ids: np.ndarray) -> int:
@@ -175,13 +184,16 @@ def pack(
         schema = pa.schema([("bucket", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("ids", pa.binary())])
         for batch in batches:
             rows = []
-            for bucket, doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                ids = np.append(encoder.encode(text.as_py() or ""), np.array(end_id, dtype=encoder.dtype))
+            texts = batch.column(2).fill_null("").to_pylist()
+            encoded = (ids for part in runs_of_texts(texts) for ids in encoder.encode(texts[part]))
+            end = np.array([end_id], dtype=encoder.dtype)
+            for bucket, doc, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), encoded):
+                ids = np.concatenate([ids, end])
                 whole = len(ids) // capacity * capacity
                 for s in range(0, whole, capacity):
                     rows.append((bucket, doc, s, capacity, crc32(ids[s : s + capacity]), len(ids), None))
                 if whole < len(ids):
-                    rows.append((bucket, doc, whole, len(ids) - whole, None, len(ids), ids[whole:].astype("<u4" if encoder.dtype.itemsize == 4 else "<u2").tobytes()))
+                    rows.append((bucket, doc, whole, len(ids) - whole, None, len(ids), ids[whole:].tobytes()))
             for at in range(0, len(rows), 4096):
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[at : at + 4096]), schema)], schema=schema)
 

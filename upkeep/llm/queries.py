@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upkeep.llm import decontaminate, language, ngram_join, packing, quality, token_counts
+from upkeep.llm import decontaminate, language, ngram_join, packing, quality, span_dedup, token_counts
 from upkeep.llm.common import read_table
 
 
@@ -45,6 +45,11 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = span_dedup.span_report(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -56,6 +61,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_decontamination": op4_decontamination,
         "op7_quality": op7_quality,
         "op8_language": op8_language,
+        "op9_suffix_dedup": op9_suffix_dedup,
         "op10_token_counts": op10_token_counts,
     }
 

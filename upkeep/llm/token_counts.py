@@ -5,7 +5,7 @@ proved once, on the driver, by encoding every vocabulary string (``whole_tokens`
 vocabulary). Counting then splits a text into pre-tokens, counts those found in the set as one token each, and gives
 only the remaining distinct pre-tokens to the merging library.
 
-The split pattern runs in the ``regex`` library, whose character tables agree with the tokenizer library's for the
+The split pattern runs in Python, whose character tables agree with the tokenizer library's for the
 characters of ``AGREED`` (``tests/llm`` compares them one by one). Texts with other characters, and texts that contain
 an added special token, are encoded by the tokenizer library as a whole.
 
@@ -22,8 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# the split pattern of byte-level BPE (fixed value)
-PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+from upkeep.llm.bpe import Merger, runs_of_texts, split_pattern
+
+# the split pattern of byte-level BPE (fixed value), the commonest alternative first; see split_pattern
+PRE_TOKEN = " ?[<L>]+|'(?:s|t|re|ve|m|ll|d)| ?[<N>]+| ?[^<S><L><N>]+|[<S>]+(?![^<S>])|[<S>]+"
 # characters whose classes are the same in both libraries
 AGREED = "\x00-՗‐-‧‰-⁞ぁ-ゖァ-ヺ一-鿿가-힣"
 OTHER = f"[^{AGREED}]"
@@ -34,27 +36,17 @@ PIECES = 1 << 17
 
 def whole_tokens(tokenizer_path: str) -> frozenset[str]:
     """Vocabulary strings that encode alone as exactly one token, themselves one pre-token (proved by encoding)."""
-    import regex
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path)
     special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
     texts = [tokenizer.decode([i]) for i in range(tokenizer.get_vocab_size())]
     texts = sorted({t for t in texts if t and "�" not in t and t not in special})
-    split = regex.compile(PRE_TOKEN)
+    split = split_pattern(AGREED, PRE_TOKEN)
     encoded = tokenizer.encode_batch(texts, add_special_tokens=False)
     return frozenset(t for t, e in zip(texts, encoded) if len(e.ids) == 1 and split.fullmatch(t))
 
 
-def _pieces(split, text: str) -> Iterator[list[str]]:
-    if len(text) <= LONG_TEXT:
-        yield split.findall(text)
-        return
-    found = (m.group() for m in split.finditer(text))
-    while part := list(islice(found, PIECES)):
-        yield part
-
-
 class Counter:
     """Counts tokens of texts; pre-tokens outside the whole-token set are merged once and remembered."""
 
@@ -66,26 +58,39 @@ class Counter:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.whole = whole
-        self.split = regex.compile(PRE_TOKEN)
+        self.merger = Merger(tokenizer_path)
+        self.split = split_pattern(AGREED, PRE_TOKEN)
         self.other = regex.compile(OTHER)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known = dict.fromkeys(whole, 1)
 
-    def count(self, text: str) -> int:
-        if any(s in text for s in self.special) or self.other.search(text):
-            return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        total = 0
-        for pieces in _pieces(self.split, text):
-            known = self.known
-            rest = list({p for p in pieces if p not in known})
-            if rest:
-                if len(known) + len(rest) > CACHE_ENTRIES + len(self.whole):
-                    known = self.known = dict.fromkeys(self.whole, 1)
-                    rest = list({p for p in pieces if p not in known})
-                encoded = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
-                known.update(zip(rest, (len(e.ids) for e in encoded)))
-            total += sum(map(known.__getitem__, pieces))
-        return total
+    def _learn(self, pieces: Iterator[list[str]]) -> None:
+        """Merge the pre-tokens that are neither whole tokens nor known yet."""
+        pieces = list(pieces)
+        rest = list(set().union(*pieces).difference(self.known))
+        if len(self.known) + len(rest) > CACHE_ENTRIES + len(self.whole):
+            self.known = dict.fromkeys(self.whole, 1)
+            rest = list(set().union(*pieces).difference(self.known))
+        self.known.update(zip(rest, self.merger.encode(rest)[1].tolist()))
+
+    def count(self, texts: list[str]) -> list[int]:
+        out = [0] * len(texts)
+        split = {}
+        for i, text in enumerate(texts):
+            if any(s in text for s in self.special) or self.other.search(text):
+                out[i] = len(self.tokenizer.encode(text, add_special_tokens=False).ids)
+            elif len(text) > LONG_TEXT:
+                found = (m.group() for m in self.split.finditer(text))
+                while part := list(islice(found, PIECES)):
+                    self._learn([part])
+                    out[i] += sum(map(self.known.__getitem__, part))
+            else:
+                split[i] = self.split.findall(text)
+        self._learn(split.values())
+        known = self.known.__getitem__
+        for i, pieces in split.items():
+            out[i] = sum(map(known, pieces))
+        return out
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 1024) -> DataFrame:
@@ -98,7 +103,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 1024) -> Dat
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         counter = Counter(tokenizer_path, whole.value)
         for batch in batches:
-            n = [counter.count(t.as_py()) if t.is_valid else 0 for t in batch.column(1)]
+            texts = batch.column(1).fill_null("").to_pylist()
+            n = [c for part in runs_of_texts(texts) for c in counter.count(texts[part])]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     rows = docs.select(
