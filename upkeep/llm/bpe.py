@@ -45,7 +45,7 @@ class Merger:
         """All ids and, for each piece, how many are its."""
         if not pieces:
             return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-        out = self.tokenizer.encode_batch_fast([pieces], is_pretokenized=True, add_special_tokens=False)[0]
+        out = self.tokenizer.encode_batch([pieces], is_pretokenized=True, add_special_tokens=False)[0]
         return np.array(out.ids), np.bincount(np.array(out.word_ids, dtype=np.int64), minlength=len(pieces))
 
 

@@ -27,7 +27,7 @@ from upkeep.llm.common import LOWER, Chunk, chunks
 
 BUCKETS = 1 << 16
 DIMENSIONS = 16
-PER_LANGUAGE = 1200
+PER_LANGUAGE = 1000  # the largest limit that Spark applies before the shuffle (windowGroupLimitThreshold)
 HELD_OUT_MODULUS = 3
 HELD_OUT_REMAINDER = 1
 UNDETERMINED = "und"
