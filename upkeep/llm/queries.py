@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upkeep.llm import decontaminate, language, ngram_join, packing, quality, span_dedup, token_counts
+from upkeep.llm import decontaminate, language, licenses, ngram_join, packing, quality, span_dedup, token_counts
 from upkeep.llm.common import read_table
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(read_table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -56,6 +60,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_licenses": op1_licenses,
         "op2_packing": op2_packing,
         "op3_ngram_join": op3_ngram_join,
         "op4_decontamination": op4_decontamination,
