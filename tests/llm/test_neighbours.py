@@ -1,0 +1,84 @@
+"""Nearest neighbours against brute force."""
+
+import numpy as np
+import pytest
+
+from upkeep.llm import neighbours, queries
+
+
+def brute(rows, every=50, k=5):
+    ids = np.array([r[0] for r in rows])
+    x = np.array([r[1] for r in rows], dtype=np.float64)
+    norm = np.sqrt((x * x).sum(axis=1))
+    out = {}
+    for i in np.flatnonzero(ids % every == 0):
+        score = (x * x[i]).sum(axis=1) / (norm * norm[i])
+        out[int(ids[i])] = [(int(ids[j]), float(score[j])) for j in np.lexsort((ids, -score)) if j != i][:k]
+    return out
+
+
+def got(df):
+    out = {}
+    for r in sorted(df.collect(), key=lambda r: (r.query_id, r["rank"])):
+        out.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert len(out[r.query_id]) == r["rank"]
+    return out
+
+
+def recall(found, want):
+    return np.mean([len({v for v, _ in found.get(q, [])} & {v for v, _ in w}) / len(w) for q, w in want.items()])
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.1"])
+def test_query(spark, sf):
+    path = f"/root/testdata/{sf}"
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{path}/embeddings.parquet").collect()]
+    want, found = brute(rows), got(queries.op6_neighbours(spark, path))
+    assert set(found) == set(want) and all(len(v) == 5 for v in found.values())
+    assert recall(found, want) >= 0.95
+    exact = {q: dict(w) for q, w in brute(rows, k=len(rows)).items()}
+    assert all(abs(exact[q][v] - s) < 1e-12 for q, pairs in found.items() for v, s in pairs)
+
+
+def test_ties_copies_and_odd_rows(spark):
+    """One vector in a third of the rows, scaled copies, and vectors that take no part."""
+    random = np.random.default_rng(3)
+    hot = random.normal(size=8).round(2).tolist()
+    rows = []
+    for i in range(900):
+        v = hot if i % 3 == 0 else random.normal(size=8).round(2).tolist()
+        rows.append((i, [float(np.float32(x)) for x in v]))
+    bad = [(900, None), (950, [0.0] * 8), (1000, [1.0] * 7 + [float("nan")]), (1050, [1.0] * 7 + [None]), (1100, [float("inf")] * 8), (None, hot), (1150, []), (1200, [1.0, 2.0])]
+    order = random.permutation(len(rows))
+    df = spark.createDataFrame([rows[i] for i in order] + bad + rows[:60:6], "vec_id bigint, embedding array<float>").withColumnRenamed("label", "h")
+    assert got(neighbours.nearest(df)) == brute(rows)
+
+
+def test_blocks_and_lists(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "LIST_SIZE", 30)
+    monkeypatch.setattr(neighbours, "BLOCK", 16)
+    random = np.random.default_rng(5)
+    centres = random.normal(size=(12, 16))
+    rows = [(i, (centres[i % 12] + 0.3 * random.normal(size=16)).astype(np.float32).tolist()) for i in range(1500)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    assert recall(got(neighbours.nearest(df)), brute(rows)) >= 0.95
+
+
+def test_few_and_none(spark):
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (50, [1.0, 1.0]), (7, [0.0, 2.0])], "vec_id bigint, embedding array<float>")
+    found = got(neighbours.nearest(df))
+    assert [v for v, _ in found[0]] == [50, 7] and [v for v, _ in found[50]] == [0, 7]
+    assert neighbours.nearest(df.limit(0)).collect() == []
+
+
+def test_graph_reaches_every_centroid():
+    random = np.random.default_rng(1)
+    points = random.normal(size=(3000, 12))
+    graph = neighbours.fit_graph(points, 60)
+    sizes = np.bincount((neighbours.unit(points) @ graph.centroids.T).argmax(axis=1), minlength=60)
+    assert sizes.max() < 4 * 3000 / 60
+    ids, _ = graph.search(neighbours.unit(points[:50]), 60)
+    assert all(len(set(r.tolist())) == 60 for r in ids)
+    near, _ = graph.search(neighbours.unit(points), 8)
+    want = np.argsort(-(neighbours.unit(points) @ graph.centroids.T), axis=1)[:, :8]
+    assert np.mean([len(set(a) & set(b)) / 8 for a, b in zip(near.tolist(), want.tolist())]) > 0.9

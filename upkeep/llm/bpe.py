@@ -29,15 +29,23 @@ def split_pattern(agreed: str, template: str) -> re.Pattern:
     return re.compile(template)
 
 
+def whole_tokenizer(tokenizer_path: str):
+    """The tokenizer as its file has it, but that it neither cuts nor pads."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
 class Merger:
     """Encodes pre-tokens alone: the tokenizer's model and byte mapping without its normalizer and split pattern."""
 
     def __init__(self, tokenizer_path: str) -> None:
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import normalizers, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.tokenizer = whole_tokenizer(tokenizer_path)
         self.tokenizer.normalizer = normalizers.Sequence([])
         self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
 

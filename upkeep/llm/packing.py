@@ -17,13 +17,14 @@ from __future__ import annotations
 import heapq
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upkeep.llm.bpe import Merger, runs_of_texts, split_pattern
+from upkeep.llm.bpe import Merger, runs_of_texts, split_pattern, whole_tokenizer
 
 CAPACITY = 4096
 DOCS_PER_BUCKET = 512
@@ -46,18 +47,19 @@ class Encoder:
 
     def __init__(self, tokenizer_path: str) -> None:
         import regex
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.path = tokenizer_path
         self.merger = Merger(tokenizer_path)
+        self.dtype = np.dtype("<u2" if self.merger.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.split = split_pattern(AGREED, PRE_TOKEN)
         self.other = regex.compile(OTHER)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [t.content for t in self.merger.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
 
+    @cached_property
+    def tokenizer(self):
+        return whole_tokenizer(self.path)
+
     def _whole(self, text: str) -> bool:
         return any(s in text for s in self.special) or self.other.search(text) is not None
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upkeep.llm import decontaminate, language, licenses, ngram_join, packing, quality, span_dedup, token_counts
+from upkeep.llm import decontaminate, language, licenses, neighbours, ngram_join, packing, quality, span_dedup, token_counts, url_filter
 from upkeep.llm.common import read_table
 
 
@@ -36,6 +36,17 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    rules = spark.createDataFrame(url_filter.RULES, "verdict string, host string, path string")
+    found = url_filter.filter_urls(pages, rules, url_filter.unsafe_hosts(pages))
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     trees = quality.fit_quality(docs, read_table(spark, sf_dir, "labels"))
@@ -58,12 +69,47 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+URL_FILTER_SQL = """
+with parts as (
+  select page_id,
+    case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest
+  from pages
+), split as (
+  select page_id, regexp_extract(rest, '^[^/?#]*') as raw, rest from parts
+), named as (
+  select page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') as path
+  from split
+), judged as (
+  select *,
+    case
+      when (host = 'example.org' or host like '%.example.org') and path like '/en/1%' then 'example.org/en/1'
+      when (host = 'example.org' or host like '%.example.org') and path like '/es/%' then 'example.org/es/'
+      when (host = 'com' or host like '%.com') and path like '/fr/%' then 'com/fr/'
+      when (host = 'com' or host like '%.com') and path like '/de/%' then 'com/de/'
+      when (host = 'org' or host like '%.org') and path like '/%' then 'org/'
+    end as rule,
+    (select min(h.host) from named h
+     where (named.host = h.host or ends_with(named.host, '.' || h.host))
+       and list_has_any(regexp_split_to_array(h.host, '[.-]'),
+         ['ads', 'adult', 'bets', 'casino', 'malware', 'phishing', 'pills', 'poker', 'porn', 'spam', 'viagra', 'xxx'])
+    ) is not null as listed
+  from named
+)
+select page_id, host, path, rule,
+  case when rule in ('org/', 'com/fr/') then 'allow' when rule is not null or listed then 'block' else 'allow' end as verdict
+from judged
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_licenses": op1_licenses,
         "op2_packing": op2_packing,
         "op3_ngram_join": op3_ngram_join,
         "op4_decontamination": op4_decontamination,
+        "op5_url_filter": op5_url_filter,
+        "op6_neighbours": op6_neighbours,
         "op7_quality": op7_quality,
         "op8_language": op8_language,
         "op9_suffix_dedup": op9_suffix_dedup,
@@ -72,4 +118,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_url_filter": URL_FILTER_SQL}

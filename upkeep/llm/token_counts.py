@@ -16,13 +16,14 @@ cut. Extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upkeep.llm.bpe import Merger, runs_of_texts, split_pattern
+from upkeep.llm.bpe import Merger, runs_of_texts, split_pattern, whole_tokenizer
 
 # the split pattern of byte-level BPE (fixed value), the commonest alternative first; see split_pattern
 PRE_TOKEN = " ?[<L>]+|'(?:s|t|re|ve|m|ll|d)| ?[<N>]+| ?[^<S><L><N>]+|[<S>]+(?![^<S>])|[<S>]+"
@@ -52,18 +53,19 @@ class Counter:
 
     def __init__(self, tokenizer_path: str, whole: frozenset[str]) -> None:
         import regex
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.path = tokenizer_path
         self.whole = whole
         self.merger = Merger(tokenizer_path)
         self.split = split_pattern(AGREED, PRE_TOKEN)
         self.other = regex.compile(OTHER)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [t.content for t in self.merger.tokenizer.get_added_tokens_decoder().values()]
         self.known = dict.fromkeys(whole, 1)
 
+    @cached_property
+    def tokenizer(self):
+        return whole_tokenizer(self.path)
+
     def _learn(self, pieces: Iterator[list[str]]) -> None:
         """Merge the pre-tokens that are neither whole tokens nor known yet."""
         pieces = list(pieces)
