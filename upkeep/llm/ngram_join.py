@@ -266,3 +266,15 @@ def jaccard_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> D
         F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
     )
+
+
+def one_of_each(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one document of each component (the smallest doc_id), all columns; documents without an id stay."""
+    components = jaccard_components(docs.select("doc_id", "text"), k, percent).where("doc_id is not null")
+    keep = written(components.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_copies")), "kept")
+    named = docs.where("doc_id is not null")
+    same = named["doc_id"].cast("bigint").eqNullSafe(keep["doc_id"])
+    out = named.join(keep.where("_copies = 1"), same, "left_semi")
+    if keep.where("_copies > 1").limit(1).count():
+        out = out.unionByName(named.join(keep.where("_copies > 1"), same, "left_semi").dropDuplicates(["doc_id"]))
+    return out.unionByName(docs.where("doc_id is null"))

@@ -237,3 +237,18 @@ def quality_scores(docs: DataFrame, trees: Trees, threshold: float = THRESHOLD)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     scored = rows.mapInArrow(run, "doc_id bigint, score double")
     return scored.withColumn("predicted", (F.col("score") >= F.lit(threshold)).cast("int"))
+
+
+def keep_good(docs: DataFrame, trees: Trees, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that the trees do not reject, with all their columns; texts are not shuffled."""
+    model = docs.sparkSession.sparkContext.broadcast(trees)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for batch in batches:
+            for chunk in chunks(batch.column(at)):
+                good = model.value.scores(statistics(chunk, hasher)) >= threshold
+                yield batch.slice(chunk.first, len(chunk)).filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)
