@@ -222,7 +222,9 @@ def repeated_ranges(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> Data
     """key, text_hash (see ``_keyed``) and ranges (array of s, e): the repeated byte ranges of each document with any."""
     keyed = _keyed(docs.select("doc_id", "text")).where(F.octet_length("text") >= F.lit(span))
     anchors = keyed.select("text").mapInArrow(_anchors(span, gram), "fp bigint")
-    again = anchors.groupBy("fp").agg(F.count("*").alias("c")).where("c > 1").select("fp")
+    # written, so that the join deals both sides itself and can split an anchor that stands in very many places
+    again = written(anchors.groupBy("fp").agg(F.count("*").alias("c")).where("c > 1").select("fp"), "repeated-anchors")
+    release(docs.sparkSession)
     found = keyed.select("_key", "_text_hash", "text").mapInArrow(_segments(span, gram), "fp bigint, whole bigint, key bigint, packed bigint")
     found = written(found.join(again, "fp", "left_semi"), "segments")
     release(docs.sparkSession)
