@@ -177,7 +177,7 @@ def _verify(percent: int):
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that link. A leader's members are dealt to tasks of about ``MEMBERS_PER_TASK``."""
-    sizes = pairs.groupBy("a").agg(F.count("*").alias("_m"))
+    sizes = written(pairs.groupBy("a").agg(F.count("*").alias("_m")), "group-sizes")
     dealt = pairs.join(sizes, "a").withColumn(
         "salt", F.pmod(F.xxhash64("b"), F.ceil(F.col("_m") / F.lit(MEMBERS_PER_TASK))).cast("int")
     )
@@ -214,8 +214,9 @@ def jaccard_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> D
     again = rows.join(alive, "doc_id", "left_semi").mapInArrow(_scan_order_b(k, percent, late), "doc_id bigint, n bigint, prefix array<bigint>")
     again = written(again.dropDuplicates(["doc_id", "n", "prefix"]), "prefix-b")
     token_b = again.select(F.col("doc_id").alias("doc"), "n", F.explode("prefix").alias("token"))
+    # written, as are other sides of joins on hot keys: a join that deals both sides itself can split them
     shared_b = token_b.groupBy("token").agg(F.count("*").alias("c"), F.min("doc").alias("leader")).where("c > 1")
-    postings = written(token_b.join(shared_b.drop("c"), "token"), "postings")
+    postings = written(token_b.join(written(shared_b.drop("c"), "shared-b"), "token"), "postings")
 
     compatible = F.expr(f"100 * least(n, n2) >= {percent} * greatest(n, n2)")
     # each set with the leader it shares most prefix shingles with
@@ -235,7 +236,7 @@ def jaccard_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> D
         source = postings.select("token", "doc", "n") if ranked is None else ranked
         tagged = source.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
         mixed = tagged.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("token")
-        tagged = tagged.join(mixed, "token")
+        tagged = tagged.join(written(mixed, "mixed"), "token")
         if ranked is None:
             order = Window.partitionBy("token").orderBy("n", "doc")
             ranked = written(tagged.drop("label").withColumn("r", F.row_number().over(order)), "ranked")
