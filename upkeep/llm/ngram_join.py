@@ -3,13 +3,13 @@
 A document is the set of its distinct ``K``-word shingles (fewer words: the whole sequence is its one shingle; no words:
 the empty set, linked with nothing). Two sets link when ``100 * |A & B| >= percent * |A | B|``. Under any global order of
 the shingles, linked sets share a shingle among their first ``n - ceil(percent * n / 100) + 1`` ones. That holds for
-every order, so a candidate pair must pass several:
+every order, so a candidate pair must pass several before the sets are compared in full:
 
-1. order A (by hash): prefixes of all distinct sets; a set without a prefix shingle in common with another set is done.
-2. order B (shingles that are common in A's prefixes last, then by another hash): common passages leave the prefixes of
-   all documents that are not mostly made of them. Sets without a common prefix shingle are done again; the remaining
-   postings give the candidate pairs.
-3. order C (a third hash) and order A again, pair by pair, before the sets are compared in full.
+1. order A (by hash): the prefixes of all documents show which shingles are common.
+2. order B (common shingles last, then by another hash): common passages leave the prefixes of all documents that are not
+   mostly made of them. Sets without a prefix shingle in common with another set are done; the remaining postings give
+   the candidate pairs.
+3. order A and order C (a third hash), pair by pair.
 
 Exact copies are one class from the start. Within a posting not all pairs are formed: each set is first compared with
 one leader, links become components, and only pairs across components are formed afterwards, a block of leaders of a
@@ -29,16 +29,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from upkeep.llm.common import LOWER, NON_SPACE_BYTE, Chunk, Hasher, chunks, list_array, mix, shingle_hashes, written
+from upkeep.llm.common import LOWER, NON_SPACE_BYTE, Chunk, Hasher, chunks, list_array, mix, release, shingle_hashes, written
 from upkeep.llm.components import connected_components
 
 K = 5
 PERCENT = 80
-HEAVY_FROM = 8
-MAX_HEAVY = 1 << 18
-LEADERS = 32
+HEAVY_FROM = 2
+MAX_HEAVY = 1 << 20
+DEPTH = 1.6
+LEADERS = 64
 MEMBERS_PER_TASK = 128
-_SEED_B, _SEED_C = np.uint64(0x51ED270B9F1E35A5), np.uint64(0xA24BAED4963EE407)
+_SEED_C = np.uint64(0xA24BAED4963EE407)
 
 
 def prefix_length(n, percent: int):
@@ -69,22 +70,21 @@ def shingle_sets(chunk: Chunk, hasher: Hasher, k: int) -> tuple[np.ndarray, np.n
     return h, np.searchsorted(row, np.arange(len(chunk) + 1))
 
 
-def _prefixes(h: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first hashes of each row as they stand, and how many."""
+def _prefixes(h: np.ndarray, bounds: np.ndarray, percent: int, depth: float = 1) -> tuple[np.ndarray, np.ndarray]:
+    """The first hashes of each row as they stand (``depth`` times the prefix), and how many."""
     n = np.diff(bounds)
-    take = np.where(n > 0, prefix_length(n, percent), 0)
+    take = np.where(n > 0, np.minimum(n, np.ceil(depth * prefix_length(n, percent)).astype(np.int64)), 0)
     rank = np.arange(len(h)) - np.repeat(bounds[:-1], n)
     return h[rank < np.repeat(take, n)], take
 
 
 def _by_order_b(h: np.ndarray, bounds: np.ndarray, heavy: np.ndarray) -> np.ndarray:
-    """Rows reordered: shingles outside ``heavy`` (sorted) first, then by a second hash."""
+    """Rows (ascending hashes) reordered: shingles outside ``heavy`` (sorted) first, each part still ascending."""
+    if not len(heavy):
+        return h
     row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    late = np.zeros(len(h), dtype=bool)
-    if len(heavy):
-        at = np.minimum(np.searchsorted(heavy, h), len(heavy) - 1)
-        late = heavy[at] == h
-    return h[np.lexsort((mix(h ^ _SEED_B), late, row))]
+    late = heavy[np.minimum(np.searchsorted(heavy, h), len(heavy) - 1)] == h
+    return h[np.argsort(2 * row + late, kind="stable")]
 
 
 def _row_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -101,7 +101,7 @@ def _scan(k: int, percent: int):
         for batch in batches:
             for chunk in chunks(batch.column(1)):
                 h, bounds = shingle_sets(chunk, hasher, k)
-                prefix, sizes = _prefixes(h, bounds, percent)
+                prefix, sizes = _prefixes(h, bounds, percent, DEPTH)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(chunk.first, len(chunk)),
@@ -198,34 +198,37 @@ def jaccard_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> D
     classes = written(classes, "classes")
     reps = classes.select("rep").distinct()
 
-    # order A: shingles that stand in the prefixes of more than one distinct set
-    token_a = sets.join(reps, F.col("doc_id") == F.col("rep"), "left_semi").select("doc_id", F.explode("prefix").alias("token"))
-    shared_a = written(token_a.groupBy("token").agg(F.count("*").alias("c")).where("c > 1"), "shared-a")
-    by_size = shared_a.groupBy(F.floor(F.log2("c")).cast("int").alias("p")).count().collect()  # one row per power of two
+    # order A: which shingles stand in the prefixes of many documents
+    token_a = sets.select(F.explode("prefix").alias("token"))
+    many = written(token_a.groupBy("token").agg(F.count("*").alias("c")).where(F.col("c") >= F.lit(HEAVY_FROM)), "common-a")
+    by_size = many.groupBy(F.floor(F.log2("c")).cast("int").alias("p")).count().collect()  # one row per power of two
     floor = max(HEAVY_FROM.bit_length() - 1, 0)
     while sum(r["count"] for r in by_size if r["p"] >= floor) > MAX_HEAVY:
         floor += 1
     # at most MAX_HEAVY tokens; any set gives a valid order
-    heavy = shared_a.where(F.col("c") >= F.lit(1 << floor)).select("token").toArrow().column("token").to_numpy()
+    heavy = many.where(F.col("c") >= F.lit(1 << floor)).select("token").toArrow().column("token").to_numpy()
     late = spark.sparkContext.broadcast(np.sort(heavy.astype(np.int64).view(np.uint64)).tobytes())
-    alive = written(token_a.join(shared_a.select("token"), "token", "left_semi").select("doc_id").distinct(), "alive-a")
 
-    # order B: postings of the shingles that still stand in more than one prefix
-    again = rows.join(alive, "doc_id", "left_semi").mapInArrow(_scan_order_b(k, percent, late), "doc_id bigint, n bigint, prefix array<bigint>")
-    again = written(again.dropDuplicates(["doc_id", "n", "prefix"]), "prefix-b")
+    # order B: postings of the shingles that stand in more than one prefix of distinct sets
+    again = rows.mapInArrow(_scan_order_b(k, percent, late), "doc_id bigint, n bigint, prefix array<bigint>")
+    again = written(again.join(reps, F.col("doc_id") == F.col("rep"), "left_semi"), "prefix-b")
+    release(spark)
     token_b = again.select(F.col("doc_id").alias("doc"), "n", F.explode("prefix").alias("token"))
     # written, as are other sides of joins on hot keys: a join that deals both sides itself can split them
     shared_b = token_b.groupBy("token").agg(F.count("*").alias("c"), F.min("doc").alias("leader")).where("c > 1")
-    postings = written(token_b.join(written(shared_b.drop("c"), "shared-b"), "token"), "postings")
+    shared_b = written(shared_b.drop("c"), "shared-b")
+    release(spark)
+    postings = written(token_b.join(shared_b, "token"), "postings")
+    release(spark)
 
     compatible = F.expr(f"100 * least(n, n2) >= {percent} * greatest(n, n2)")
     # each set with the leader it shares most prefix shingles with
     met = postings.where("doc != leader").groupBy("doc", "leader").agg(F.count("*").alias("c"))
     first = met.groupBy("doc").agg(F.max_by("leader", F.struct(F.col("c"), -F.col("leader"))).alias("a"))
     first = written(first.select("a", F.col("doc").alias("b")), "pairs")
-    wanted = postings.select(F.col("doc").alias("doc_id")).distinct()
-    whole = rows.join(wanted, "doc_id", "left_semi").mapInArrow(_scan_sets(k), "doc bigint, hashes binary")
-    whole = written(whole.dropDuplicates(["doc", "hashes"]), "whole-sets")
+    wanted = postings.select(F.col("doc").alias("doc_id")).distinct().hint("shuffle_hash")
+    whole = written(rows.join(wanted, "doc_id", "left_semi").mapInArrow(_scan_sets(k), "doc bigint, hashes binary"), "whole-sets")
+    release(spark)
     links = written(_links(first, whole, percent), "links")
     labels = connected_components(links)
 
@@ -238,9 +241,12 @@ def jaccard_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> D
         mixed = tagged.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("token")
         tagged = tagged.join(written(mixed, "mixed"), "token")
         if ranked is None:
-            order = Window.partitionBy("token").orderBy("n", "doc")
-            ranked = written(tagged.drop("label").withColumn("r", F.row_number().over(order)), "ranked")
-            longest = ranked.agg(F.max("r")).first()[0] or 0
+            # small components first: once all but one have led, every pair across components was formed
+            sizes = tagged.groupBy("token", "label").agg(F.count("*").alias("m"))
+            tagged = tagged.join(written(sizes, "label-sizes"), ["token", "label"])
+            order = Window.partitionBy("token").orderBy("m", "label", "n", "doc")
+            ranked = written(tagged.select("token", "doc", "n", "m", F.row_number().over(order).alias("r")), "ranked")
+            longest = ranked.groupBy("token").agg((F.count("*") - F.max("m")).alias("minor")).agg(F.max("minor")).first()[0] or 0
             tagged = ranked.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
         if block >= longest:
             break
