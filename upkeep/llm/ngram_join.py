@@ -2,14 +2,15 @@
 
 A document is the set of its distinct ``K``-word shingles (fewer words: the whole sequence is its one shingle; no words:
 the empty set, linked with nothing). Two sets link when ``100 * |A & B| >= percent * |A | B|``. Under any global order of
-the shingles, linked sets share a shingle among their first ``n - ceil(percent * n / 100) + 1`` ones. That holds for
-every order, so a candidate pair must pass several before the sets are compared in full:
+the shingles, linked sets share a shingle among their first ``p(n) = n - ceil(percent * n / 100) + 1`` ones, and ``k + 1``
+shingles among their first ``p(n) + k``. That holds for every order, so candidates must pass several before the sets are
+compared in full:
 
-1. order A (by hash): the prefixes of all documents show which shingles are common.
-2. order B (common shingles last, then by another hash): common passages leave the prefixes of all documents that are not
-   mostly made of them. Sets without a prefix shingle in common with another set are done; the remaining postings give
-   the candidate pairs.
-3. order A and order C (a third hash), pair by pair.
+1. first order (by hash), prefixes of ``DEPTH_PERCENT`` of ``p(n)``: a document is done unless it has as many shingles in
+   common with others there as a link needs; common passages are too few for that.
+2. first order, ``p(n)`` shingles: those that stand in more than one remaining document are the postings that give
+   candidate pairs.
+3. all orders (by three hashes), pair by pair: the prefixes must meet under each.
 
 Exact copies are one class from the start. Within a posting not all pairs are formed: each set is first compared with
 one leader, links become components, and only pairs across components are formed afterwards, a block of leaders of a
@@ -34,18 +35,30 @@ from upkeep.llm.components import connected_components
 
 K = 5
 PERCENT = 80
-HEAVY_FROM = 2
-MAX_HEAVY = 1 << 20
-DEPTH = 1.6
-LEADERS = 64
+DEPTH_PERCENT = 150
+LEADERS = 1024
 MEMBERS_PER_TASK = 128
-_SEED_C = np.uint64(0xA24BAED4963EE407)
+# the global orders: by hash, and by two other hashes of it
+ORDERS = (None, np.uint64(0x51ED270B9F1E35A5), np.uint64(0xA24BAED4963EE407))
 
 
 def prefix_length(n, percent: int):
     return n - (percent * n + 99) // 100 + 1
 
 
+def deep_length(n, percent: int):
+    """``DEPTH_PERCENT`` of the prefix, at most ``n``."""
+    return np.minimum(n, prefix_length(n, percent) * DEPTH_PERCENT // 100)
+
+
+def _prefix_sql(n: str, percent: int) -> str:
+    return f"({n} - ({percent} * ({n}) + 99) div 100 + 1)"
+
+
+def _deep_sql(n: str, percent: int) -> str:
+    return f"least({n}, {_prefix_sql(n, percent)} * {DEPTH_PERCENT} div 100)"
+
+
 def shingle_sets(chunk: Chunk, hasher: Hasher, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes, ascending within each row, and row bounds."""
     data = LOWER[chunk.data]
@@ -70,23 +83,14 @@ def shingle_sets(chunk: Chunk, hasher: Hasher, k: int) -> tuple[np.ndarray, np.n
     return h, np.searchsorted(row, np.arange(len(chunk) + 1))
 
 
-def _prefixes(h: np.ndarray, bounds: np.ndarray, percent: int, depth: float = 1) -> tuple[np.ndarray, np.ndarray]:
-    """The first hashes of each row as they stand (``depth`` times the prefix), and how many."""
+def _deep_prefixes(h: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first hashes of each row, and how many."""
     n = np.diff(bounds)
-    take = np.where(n > 0, np.minimum(n, np.ceil(depth * prefix_length(n, percent)).astype(np.int64)), 0)
+    take = np.where(n > 0, deep_length(n, percent), 0)
     rank = np.arange(len(h)) - np.repeat(bounds[:-1], n)
     return h[rank < np.repeat(take, n)], take
 
 
-def _by_order_b(h: np.ndarray, bounds: np.ndarray, heavy: np.ndarray) -> np.ndarray:
-    """Rows (ascending hashes) reordered: shingles outside ``heavy`` (sorted) first, each part still ascending."""
-    if not len(heavy):
-        return h
-    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    late = heavy[np.minimum(np.searchsorted(heavy, h), len(heavy) - 1)] == h
-    return h[np.argsort(2 * row + late, kind="stable")]
-
-
 def _row_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(values) + 1, dtype=np.uint64)
     np.cumsum(values, out=sums[1:])
@@ -94,20 +98,20 @@ def _row_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def _scan(k: int, percent: int):
-    """(doc_id, text) -> doc_id, n, two hashes of the set, and its prefix under order A."""
+    """(doc_id, text) -> doc_id, n, two hashes of the set, and its deep prefix by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
             for chunk in chunks(batch.column(1)):
                 h, bounds = shingle_sets(chunk, hasher, k)
-                prefix, sizes = _prefixes(h, bounds, percent, DEPTH)
+                prefix, sizes = _deep_prefixes(h, bounds, percent)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(chunk.first, len(chunk)),
                         pa.array(np.diff(bounds).astype(np.int64)),
                         pa.array(_row_sums(h, bounds)),
-                        pa.array(_row_sums(mix(h ^ _SEED_C), bounds)),
+                        pa.array(_row_sums(mix(h ^ ORDERS[-1]), bounds)),
                         list_array(pa.array(prefix.view(np.int64)), sizes),
                     ],
                     ["doc_id", "n", "h1", "h2", "prefix"],
@@ -116,25 +120,6 @@ def _scan(k: int, percent: int):
     return run
 
 
-def _scan_order_b(k: int, percent: int, heavy):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, late = Hasher(), np.frombuffer(heavy.value, dtype=np.uint64)
-        for batch in batches:
-            for chunk in chunks(batch.column(1)):
-                h, bounds = shingle_sets(chunk, hasher, k)
-                prefix, sizes = _prefixes(_by_order_b(h, bounds, late), bounds, percent)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(chunk.first, len(chunk)),
-                        pa.array(np.diff(bounds).astype(np.int64)),
-                        list_array(pa.array(prefix.view(np.int64)), sizes),
-                    ],
-                    ["doc_id", "n", "prefix"],
-                )
-
-    return run
-
-
 def _scan_sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
@@ -148,16 +133,19 @@ def _scan_sets(k: int):
     return run
 
 
+def _first(h: np.ndarray, n: int) -> np.ndarray:
+    return np.partition(h, n - 1)[:n]
+
+
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Whether two ascending hash sets link: prefixes under order A and C first, then the whole sets."""
+    """Whether two ascending hash sets link: a common prefix shingle under each order first, then the whole sets."""
     if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
         return False
-    pa_, pb = prefix_length(len(a), percent), prefix_length(len(b), percent)
-    if not len(np.intersect1d(a[:pa_], b[:pb], assume_unique=True)):
-        return False
-    ca, cb = mix(a ^ _SEED_C), mix(b ^ _SEED_C)
-    if not len(np.intersect1d(np.partition(ca, pa_ - 1)[:pa_], np.partition(cb, pb - 1)[:pb], assume_unique=True)):
-        return False
+    m, n = prefix_length(len(a), percent), prefix_length(len(b), percent)
+    for seed in ORDERS:
+        x, y = (a[:m], b[:n]) if seed is None else (_first(mix(a ^ seed), m), _first(mix(b ^ seed), n))
+        if not len(np.intersect1d(x, y, assume_unique=True)):
+            return False
     shared = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
@@ -198,27 +186,24 @@ def jaccard_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> D
     classes = written(classes, "classes")
     reps = classes.select("rep").distinct()
 
-    # order A: which shingles stand in the prefixes of many documents
-    token_a = sets.select(F.explode("prefix").alias("token"))
-    many = written(token_a.groupBy("token").agg(F.count("*").alias("c")).where(F.col("c") >= F.lit(HEAVY_FROM)), "common-a")
-    by_size = many.groupBy(F.floor(F.log2("c")).cast("int").alias("p")).count().collect()  # one row per power of two
-    floor = max(HEAVY_FROM.bit_length() - 1, 0)
-    while sum(r["count"] for r in by_size if r["p"] >= floor) > MAX_HEAVY:
-        floor += 1
-    # at most MAX_HEAVY tokens; any set gives a valid order
-    heavy = many.where(F.col("c") >= F.lit(1 << floor)).select("token").toArrow().column("token").to_numpy()
-    late = spark.sparkContext.broadcast(np.sort(heavy.astype(np.int64).view(np.uint64)).tobytes())
-
-    # order B: postings of the shingles that stand in more than one prefix of distinct sets
-    again = rows.mapInArrow(_scan_order_b(k, percent, late), "doc_id bigint, n bigint, prefix array<bigint>")
-    again = written(again.join(reps, F.col("doc_id") == F.col("rep"), "left_semi"), "prefix-b")
+    # shingles that stand in the deep prefixes of more than one distinct set; written, as are other sides of joins on
+    # hot keys: a join that deals both sides itself can split them
+    token = sets.join(reps, F.col("doc_id") == F.col("rep"), "left_semi").select(
+        F.col("doc_id").alias("doc"), "n", F.posexplode("prefix").alias("at", "token")
+    )
+    again = token.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
+    again = written(again, "shared-shingles")
     release(spark)
-    token_b = again.select(F.col("doc_id").alias("doc"), "n", F.explode("prefix").alias("token"))
-    # written, as are other sides of joins on hot keys: a join that deals both sides itself can split them
-    shared_b = token_b.groupBy("token").agg(F.count("*").alias("c"), F.min("doc").alias("leader")).where("c > 1")
-    shared_b = written(shared_b.drop("c"), "shared-b")
+    shared = written(token.join(again, "token"), "shared-places")
     release(spark)
-    postings = written(token_b.join(shared_b, "token"), "postings")
+    # documents with enough of them; the partner may be smaller and then shares fewer
+    smallest = f"({percent} * n + 99) div 100"
+    enough = F.expr(f"{_deep_sql(smallest, percent)} - {_prefix_sql(smallest, percent)} + 1")
+    alive = shared.groupBy("doc", "n").agg(F.count("*").alias("c")).where(F.col("c") >= enough).select("doc", "n")
+    near = shared.where(F.col("at") < F.expr(_prefix_sql("n", percent))).join(written(alive, "alive"), ["doc", "n"])
+    near = written(near.select("doc", "n", "token"), "near-places")
+    leaders = near.groupBy("token").agg(F.count("*").alias("c"), F.min("doc").alias("leader")).where("c > 1").drop("c")
+    postings = written(near.join(written(leaders, "leaders"), "token"), "postings")
     release(spark)
 
     compatible = F.expr(f"100 * least(n, n2) >= {percent} * greatest(n, n2)")
