@@ -6,8 +6,8 @@ Plan shape (see ``plans/refresh.py``):
   shuffle, so skew in the log does not reach the reducers.
 * rule matching: the equipment row (with its farm/company and meters, i.e. the reference's ``base``) is joined to
   the rules once per scope and carried through the union, so the reference's three later ``JOIN base`` disappear.
-  Model rules are a catalog (size-checked broadcast, no shuffle of equipment); part rules meet the *active*
-  components (broadcast when small), are de-duplicated on two narrow columns, then meet equipment.
+  Catalog sides carry no hint: Spark broadcasts them by their size in bytes or plans a shuffle join that AQE can split.
+  Part rules meet the *active* components, are de-duplicated on two narrow columns, then meet equipment.
 * pick: the matches are hash-clustered once on (equipment, task); that one exchange satisfies both the
   ``row_number() = 1`` window per (equipment, task, frequency) and the later join with ``last_log`` on
   (equipment, task), which is already clustered the same way by its aggregation (one exchange fewer than letting
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from upkeep.functions.intervals import TIME_FREQUENCIES, add_frequency
-from upkeep.functions.sizing import broadcast_if_small
+from upkeep.operators import versions
 from upkeep.sources.schemas import DUE_NUM, DUE_STAGE, METER
 
 RULE_COLS = [
@@ -68,7 +68,7 @@ def base(equipment: DataFrame, farm: DataFrame, extra: tuple[str, ...] = (), kee
     ``keep_unmatched`` keeps units whose farm row is missing (left join, ``has_farm`` = false): rule matching in the
     reference reads ``equipment`` itself, and only the due branches join ``base`` (dropping such units).
     """
-    farms = broadcast_if_small(farm.select(F.col("id").alias("farm_id"), "company_id", F.lit(True).alias("has_farm")))
+    farms = farm.select(F.col("id").alias("farm_id"), "company_id", F.lit(True).alias("has_farm"))
     joined = equipment.join(farms, "farm_id", "left" if keep_unmatched else "inner")
     return joined.select(
         F.col("id").alias("equipment_id"),
@@ -107,10 +107,8 @@ def equipment_rules(equipment_base: DataFrame, rules: DataFrame, components: Dat
         *eq.columns, *attrs, F.lit(1).alias("precedence")
     )
 
-    model_rules = broadcast_if_small(
-        r.where(F.col("rule_equipment_id").isNull() & F.col("equipment_model_id").isNotNull()).select(
-            *attrs, "equipment_model_id"
-        )
+    model_rules = r.where(F.col("rule_equipment_id").isNull() & F.col("equipment_model_id").isNotNull()).select(
+        *attrs, "equipment_model_id"
     )
     p2 = eq.join(model_rules, "equipment_model_id").select(*eq.columns, *attrs, F.lit(2).alias("precedence"))
 
@@ -119,11 +117,11 @@ def equipment_rules(equipment_base: DataFrame, rules: DataFrame, components: Dat
         & F.col("equipment_model_id").isNull()
         & F.col("rule_part_type_id").isNotNull()
     )
-    part_keys = broadcast_if_small(part_rules.select("rule_id", F.col("rule_part_type_id").alias("part_type_id")))
+    part_keys = part_rules.select("rule_id", F.col("rule_part_type_id").alias("part_type_id"))
     installed = components.where(F.col("removed_at").isNull()).select("equipment_id", "part_type_id")
     matched = installed.join(part_keys, "part_type_id").select("equipment_id", "rule_id").distinct()
     p3 = (
-        matched.join(broadcast_if_small(part_rules.select(*attrs)), "rule_id")
+        matched.join(part_rules.select(*attrs), "rule_id")
         .join(eq, "equipment_id")
         .select(*eq.columns, *attrs, F.lit(3).alias("precedence"))
     )
@@ -199,7 +197,7 @@ def stage(
     keep_km = (freq == "KM") & F.col("next_due_at_km").isNotNull() & ((k_left <= k_lim) | (k_left <= 0))
 
     out = values.where(keep_time | keep_hours | keep_km).select(
-        F.lit(computed_at.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz").alias("computed_at"),
+        F.lit(computed_at.isoformat(sep=" ")).cast("timestamp_ntz").alias("computed_at"),
         "company_id", "farm_id", "equipment_id", "task_id", "rule_id",
         nxt.alias("next_due_date"),
         F.datediff(nxt, today).alias("days_until_due"),
@@ -217,44 +215,26 @@ def stage(
 # stored last_log (incremental daily upkeep)
 
 
-def _store_pointer(root: str) -> str:
-    import os
+def read_last_log_store(spark, root: str) -> DataFrame | None:
+    """The stored ``last_log``, or None before the first arrival."""
+    _, path = versions.current(spark, root)
+    return None if path is None else spark.read.parquet(f"{path}/folded=last_log")
 
-    return os.path.join(root, "_current")
 
+def update_last_log_store(spark, arrival: str, logs: DataFrame, root: str) -> DataFrame:
+    """Fold one arrival of logs into the stored ``last_log`` and commit it; returns the store.
 
-def read_last_log_store(spark, root: str):
-    """(last_log DataFrame, id watermark) of the current store version, or (None, None)."""
-    import os
-
-    from pyspark.sql.utils import AnalysisException
-
-    try:
-        row = spark.read.parquet(_store_pointer(root)).first()
-    except AnalysisException:
-        return None, None
-    return spark.read.parquet(os.path.join(root, f"version={row['version']:06d}")), int(row["watermark"])
-
-
-def update_last_log_store(spark, logs: DataFrame, root: str) -> tuple[DataFrame, int]:
-    """Fold the logs that arrived since the stored watermark (log ids are arrival-ordered) into the stored
-    ``last_log`` and commit it as the next version; a back-dated log is still picked up because the watermark is
-    on arrival ids, not dates. Returns (last_log, new watermark)."""
-    import os
-
-    stored, watermark = read_last_log_store(spark, root)
-    if stored is None:
-        fresh, version = logs, 1
-        merged = last_log(fresh)
+    What was folded is remembered by the arrivals' names, not by a bound on ids or dates: a log with a lower id or an
+    older date that comes later still counts, and an arrival delivered again changes nothing. ``logs`` holds the rows of
+    this arrival only, so each is read once.
+    """
+    _, path = versions.current(spark, root)
+    if path is None:
+        names, merged = spark.createDataFrame([], "arrival string"), last_log(logs)
     else:
-        fresh = logs.where(F.col("id") > F.lit(watermark))
-        prev = spark.read.parquet(_store_pointer(root)).first()["version"]
-        version = prev + 1
-        merged = merge_last_log(stored, fresh)
-    top = fresh.agg(F.max("id").alias("m")).first()["m"]
-    new_watermark = max(watermark or 0, int(top)) if top is not None else (watermark or 0)
-    merged.write.mode("errorifexists").parquet(os.path.join(root, f"version={version:06d}"))
-    spark.createDataFrame([(version, new_watermark)], "version INT, watermark LONG").coalesce(1).write.mode(
-        "overwrite"
-    ).parquet(_store_pointer(root))
+        names, merged = spark.read.parquet(f"{path}/folded=arrivals"), merge_last_log(spark.read.parquet(f"{path}/folded=last_log"), logs)
+        if names.where(F.col("arrival") == F.lit(arrival)).limit(1).count():
+            return read_last_log_store(spark, root)
+    folded = names.unionByName(spark.createDataFrame([(arrival,)], "arrival string"))
+    versions.commit_parts(spark, {"folded=last_log": merged, "folded=arrivals": folded}, root)
     return read_last_log_store(spark, root)

@@ -18,7 +18,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from upkeep.functions.sizing import broadcast_if_small, row_count_at_most
 from upkeep.operators.ids import with_sequence
 from upkeep.sources.schemas import MAINTENANCE_LOG_DETAIL, conform
 
@@ -33,75 +32,30 @@ def _ts(value: dt.datetime | None):
     return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
-# A slot with more rows than this is closed in id-range buckets instead of one window partition.
-HOT_SLOT_ROWS = 5_000_000
-HOT_SAMPLE_FRACTION = 0.001
-MAX_HOT_SLOTS = 1_000_000
-
 SLOT = ["equipment_id", "slot_label"]
+# rows of one slot are closed in buckets of this many arrival ids, so no task holds the whole of a hot slot
+BUCKET_IDS = 5_000_000
 
 
-def _close_in_window(rows: DataFrame, now: dt.datetime | None, extra_keys: tuple[str, ...] = ()) -> DataFrame:
-    w = Window.partitionBy(*SLOT, *extra_keys).orderBy("id")
-    next_install = F.lead(F.coalesce(F.col("installed_at"), _ts(now))).over(w)
-    return rows.withColumn("_next", next_install)
-
-
-def _resolve(rows: DataFrame) -> DataFrame:
-    closed = F.when(F.col("slot_label").isNull(), F.col("removed_at")).otherwise(
-        F.coalesce(F.col("removed_at"), F.col("_next"))
-    )
-    return rows.withColumn("removed_at", closed).drop("_next")
-
-
-def _close_hot(rows: DataFrame, now: dt.datetime | None, bucket_ids: int) -> DataFrame:
-    """Exact slot closing for hot slots: lead inside id buckets, then stitch each bucket's last row to the
-    first row of the slot's next non-empty bucket (one row per bucket, so every step is bounded)."""
-    b = rows.withColumn("_b", F.floor(F.col("id") / F.lit(bucket_ids)))
-    inside = _close_in_window(b, now, ("_b",))
-    first = b.groupBy(*SLOT, "_b").agg(
-        F.min_by(F.coalesce(F.col("installed_at"), _ts(now)), F.col("id")).alias("_first")
-    )
-    following = first.withColumn(
-        "_bucket_next", F.lead("_first").over(Window.partitionBy(*SLOT).orderBy("_b"))
-    ).select(*SLOT, "_b", "_bucket_next")
-    stitched = inside.join(following, [*SLOT, "_b"], "left").withColumn(
-        "_next", F.coalesce(F.col("_next"), F.col("_bucket_next"))
-    )
-    return stitched.drop("_b", "_bucket_next")
-
-
-def hot_slots(components: DataFrame, hot_rows: int = HOT_SLOT_ROWS, fraction: float = HOT_SAMPLE_FRACTION) -> DataFrame:
-    """(equipment, slot) keys estimated from a sample to exceed ``hot_rows`` rows."""
-    sample = components.where(F.col("slot_label").isNotNull()).select(*SLOT)
-    if fraction < 1.0:
-        sample = sample.sample(fraction=fraction, seed=17)
-    return sample.groupBy(*SLOT).count().where(F.col("count") / F.lit(fraction) > hot_rows).select(*SLOT)
-
-
-def close_previous(
-    components: DataFrame,
-    now: dt.datetime | None = None,
-    hot_rows: int = HOT_SLOT_ROWS,
-    sample_fraction: float = HOT_SAMPLE_FRACTION,
-) -> DataFrame:
+def close_previous(components: DataFrame, now: dt.datetime | None = None, bucket_ids: int = BUCKET_IDS) -> DataFrame:
     """Apply the slot-closing trigger to ``components`` taken in ``id`` (arrival) order.
 
-    Ordinary slots: one window keyed by (equipment, slot) -- a single shuffle. Slots a sample marks as hot (more
-    than ``hot_rows`` rows) are split into id-range buckets of ``hot_rows`` ids, so no task holds a whole hot
-    slot; the split path is exact for any slot, so a wrong guess costs time, never correctness. ``now`` stands
-    for ``now()`` when an arriving row has no ``installed_at`` (a dead branch on valid rows, kept for fidelity).
+    The next arrival is found inside each (slot, id bucket); a bucket's last row is closed by the first row of the slot's
+    next bucket (one row per bucket). The same path serves every slot, however many rows it has. Rows without a slot are
+    never closed and bypass the windows. ``now`` stands for ``now()`` when an arriving row has no ``installed_at`` (a dead
+    branch on valid rows, kept for fidelity).
     """
     cols = components.columns
-    hot = hot_slots(components, hot_rows, sample_fraction)
-    if not row_count_at_most(hot, 0):
-        hot = broadcast_if_small(hot, MAX_HOT_SLOTS)
-        cold = components.join(hot, SLOT, "left_anti")
-        heavy = components.join(hot, SLOT, "left_semi")
-        return _resolve(_close_in_window(cold, now)).select(*cols).unionByName(
-            _resolve(_close_hot(heavy, now, hot_rows)).select(*cols)
-        )
-    return _resolve(_close_in_window(components, now)).select(*cols)
+    loose = components.where(F.col("slot_label").isNull())
+    installed = F.coalesce(F.col("installed_at"), _ts(now))
+    rows = components.where(F.col("slot_label").isNotNull()).withColumn("_b", F.floor(F.col("id") / F.lit(bucket_ids)))
+    inside = rows.withColumn("_next", F.lead(installed).over(Window.partitionBy(*SLOT, "_b").orderBy("id")))
+    first = rows.groupBy(*SLOT, "_b").agg(F.min_by(installed, F.col("id")).alias("_first"))
+    following = first.withColumn("_later", F.lead("_first").over(Window.partitionBy(*SLOT).orderBy("_b"))).select(*SLOT, "_b", "_later")
+    closed = inside.join(following.where(F.col("_later").isNotNull()), [*SLOT, "_b"], "left").withColumn(
+        "removed_at", F.coalesce("removed_at", "_next", "_later")
+    )
+    return closed.select(*cols).unionByName(loose)
 
 
 def close_previous_incremental(open_rows: DataFrame, batch: DataFrame, now: dt.datetime | None = None) -> DataFrame:

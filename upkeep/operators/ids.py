@@ -10,10 +10,6 @@
 4. broadcast the offsets and add ``offset + position``.
 
 The result equals ``start_after + row_number() OVER (ORDER BY order_cols)`` when the order keys are unique.
-
-Size-checked fast path: when the input is proven small (a bounded count, like a broadcast check) the rows are
-numbered inside one sorted partition of the persisted input -- no boundary sampling, no checkpoint write, no offset
-pass. With a deterministic input and unique order keys a re-run of that task reproduces the same numbers.
 """
 
 from __future__ import annotations
@@ -27,7 +23,6 @@ from pyspark.sql import functions as F
 from upkeep.session import ensure_checkpoint_dir
 
 _POS_BITS = 33  # monotonically_increasing_id() = (partition index << 33) + record number
-SMALL_SEQUENCE_ROWS = 1_000_000
 
 
 def with_sequence(
@@ -42,14 +37,6 @@ def with_sequence(
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     pid = F.spark_partition_id()
     source = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if num_partitions is None and source.limit(SMALL_SEQUENCE_ROWS + 1).count() <= SMALL_SEQUENCE_ROWS:
-        # the (bounded) cached input stays referenced by the result; a lost cache block is recomputed from the
-        # deterministic input and re-sorted on unique keys, so the numbers do not change
-        return (
-            source.coalesce(1)
-            .sortWithinPartitions(*order_cols)
-            .withColumn(name, F.lit(start_after).cast("bigint") + F.monotonically_increasing_id() + F.lit(1))
-        )
     tagged = (
         source.repartitionByRange(n, *order_cols)
         .sortWithinPartitions(*order_cols)

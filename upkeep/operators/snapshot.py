@@ -7,19 +7,16 @@ Parquet has no MERGE, so an upsert is one FULL OUTER JOIN of the old snapshot an
 * stage only    -> inserted, ``id`` continues after the old maximum (``bigserial``), in key order;
 * old only      -> deleted when ``purge`` (the NOT EXISTS purge), else kept unchanged.
 
-The new table is written as a new version directory and then made current by rewriting a one-row pointer, so a
-crash before the switch leaves the previous version valid and readers never see a half-written table.
+The new table is committed as a new version (``operators.versions``): a crash leaves the previous version current, and
+readers never see a half-written or an empty table in between.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from upkeep.functions.sizing import broadcast_if_small
+from upkeep.operators import versions
 from upkeep.operators.ids import with_sequence
 from upkeep.sources.schemas import DUE_SOON, conform
 
@@ -37,57 +34,37 @@ def initial_snapshot(stage: DataFrame) -> DataFrame:
 
 
 def upsert(old: DataFrame, stage: DataFrame, purge: bool = True) -> DataFrame:
-    start = max_id(old)
     o = old.select(*[F.col(c).alias(f"_o_{c}") for c in DUE_SOON.fieldNames()])
     s = stage.withColumn("_in_stage", F.lit(True))
-    j = s.join(o, [s[k] == o[f"_o_{k}"] for k in KEY], "full")
+    # computed once; new and kept rows are taken apart from the checkpoint
+    j = s.join(o, [s[k] == o[f"_o_{k}"] for k in KEY], "left" if purge else "full").checkpoint()
     in_stage = F.col("_in_stage").isNotNull()
-    is_new = in_stage & F.col("_o_id").isNull()
-    # new rows first, in key order, so their sequence numbers are 1..n
-    order = [F.when(is_new, 0).otherwise(1)] + [F.coalesce(F.col(k), F.col(f"_o_{k}")) for k in KEY]
-    if purge:
-        j = j.where(in_stage)
-    j = with_sequence(j, order, "_seq", start)
-    out = j.select(
-        F.when(is_new, F.col("_seq")).otherwise(F.col("_o_id")).alias("id"),
-        *[
-            F.when(in_stage, F.col(c)).otherwise(F.col(f"_o_{c}")).alias(c)
-            for c in DUE_SOON.fieldNames()
-            if c != "id"
-        ],
+    columns = [c for c in DUE_SOON.fieldNames() if c != "id"]
+    kept = j.where(F.col("_o_id").isNotNull()).select(
+        F.col("_o_id").alias("id"), *[F.when(in_stage, F.col(c)).otherwise(F.col(f"_o_{c}")).alias(c) for c in columns]
     )
-    return conform(out, DUE_SOON)
+    # only new rows are sorted and numbered
+    new = with_sequence(j.where(F.col("_o_id").isNull()).select(*columns), KEY, "id", max_id(old))
+    return conform(kept, DUE_SOON).unionByName(conform(new, DUE_SOON))
 
 
 # --------------------------------------------------------------------------------------------------------------
 # versioned table
 
 
-def _pointer(root: str) -> str:
-    return os.path.join(root, "_current")
-
-
 def current_version(spark: SparkSession, root: str) -> int | None:
-    try:
-        row = spark.read.parquet(_pointer(root)).first()
-    except AnalysisException:
-        return None
-    return None if row is None else int(row["version"])
+    return versions.current(spark, root)[0]
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    v = current_version(spark, root)
-    if v is None:
-        return spark.createDataFrame([], DUE_SOON)
-    return spark.read.schema(DUE_SOON).parquet(os.path.join(root, f"version={v:06d}"))
+    """The newest committed version; a folder without any commit is an empty snapshot."""
+    _, path = versions.current(spark, root)
+    return spark.createDataFrame([], DUE_SOON) if path is None else spark.read.schema(DUE_SOON).parquet(path)
 
 
 def commit_snapshot(spark: SparkSession, df: DataFrame, root: str) -> int:
-    """Write ``df`` as the next version, then switch the pointer; returns the new version number."""
-    v = (current_version(spark, root) or 0) + 1
-    conform(df, DUE_SOON).write.mode("errorifexists").parquet(os.path.join(root, f"version={v:06d}"))
-    spark.createDataFrame([(v,)], "version INT").coalesce(1).write.mode("overwrite").parquet(_pointer(root))
-    return v
+    """Write ``df`` as the next version; returns its number."""
+    return versions.commit(spark, conform(df, DUE_SOON), root)
 
 
 # --------------------------------------------------------------------------------------------------------------
@@ -103,6 +80,6 @@ def cascade_delete(child: DataFrame, fk: str, deleted_parent_ids: DataFrame) ->
 def set_null_on_delete(child: DataFrame, fk: str, deleted_parent_ids: DataFrame) -> DataFrame:
     """W-13: ``fk`` becomes NULL where it points at a deleted parent (ON DELETE SET NULL)."""
     gone = deleted_parent_ids.select(F.col(deleted_parent_ids.columns[0]).alias("_gone")).distinct()
-    j = child.join(broadcast_if_small(gone), child[fk] == gone["_gone"], "left")
+    j = child.join(gone, child[fk] == gone["_gone"], "left")
     return j.select(*[F.when(F.col("_gone").isNotNull(), None).otherwise(F.col(c)).alias(c) if c == fk else F.col(c)
                       for c in child.columns])

@@ -81,8 +81,8 @@ def _snapshot(spark, sf_dir, purge: bool):
     prev = refresh.shifted(PARAMS, PREVIOUS_GAP_DAYS)
     # the previous refresh saw only the log history up to its own date
     then = t.with_(maintenance_log=t.maintenance_log.where(F.col("performed_on") <= F.lit(prev.as_of)))
-    # both dates share the date-independent rule matching + pick; id assignment inside each refresh is eager
-    # (checkpointed), so the cache is no longer referenced once both snapshots exist
+    # both dates share the date-independent rule matching and pick; upserts are checkpointed, so the cache is no longer
+    # needed once both snapshots exist
     picked = refresh.picked(t).persist()
     old = refresh.refresh_due(then, None, prev, picked)
     p = refresh.RefreshParams(PARAMS.as_of, PARAMS.computed_at, PARAMS.days_ahead, PARAMS.hours_ahead, PARAMS.km_ahead, purge)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from upkeep.functions.intervals import add_days, add_months_frac, add_weeks, add_years_frac
 from upkeep.operators import due, history, load, quality, snapshot
 from upkeep.plans import oracle as O
-from upkeep.plans import refresh
+from upkeep.plans import refresh, views
 from upkeep.sources import testdata as td
 from upkeep.sources.schemas import METER
 from upkeep.sources.tables import YEAR_COL, read_table
@@ -24,6 +24,7 @@ ARCHIVE_BEFORE = dt.date(1996, 1, 1)  # logs before this are deleted (cascade /
 LOADED_BEFORE = dt.date(1999, 1, 1)  # logs before this are "already in the table" for insert-if-absent
 REDELIVERED_YEAR = 1998  # a re-delivered year of logs (duplicate primary keys)
 DELETED_COMPANY = "EUROPE"  # company removed in the ON DELETE SET NULL scenario
+GONE_MODEL, GONE_TASK, GONE_FREQUENCY = 2, "3-MEDIUM", "KM"  # parents deleted in the snapshot cascades
 PENDING_STATUS = "P"  # pending orders arrive without a performed_on date
 THRESHOLD_SETS = [("null", None, None, None), ("negative", -30, -5, -5), ("zero", 0, 0, 0)]
 
@@ -90,17 +91,16 @@ def q_insert_if_absent(spark, sf_dir):
 def _incoming_orders(spark, sf_dir):
     orders = spark.read.parquet(os.path.join(sf_dir, "orders.parquet"))
     tasks = _t(spark, sf_dir).maintenance_task.select(F.col("id").alias("task_id"), F.col("name").alias("o_orderpriority"))
-    return orders.join(F.broadcast(tasks), "o_orderpriority")
+    return orders.join(tasks, "o_orderpriority")
 
 
 def q_append_defaults(spark, sf_dir):
-    rows = _incoming_orders(spark, sf_dir).select(
-        F.col("o_orderkey").alias("id"),
-        F.col("o_custkey").alias("equipment_id"),
-        "task_id",
-        F.when(F.col("o_orderstatus") != PENDING_STATUS, F.col("o_orderdate").cast("date")).alias("performed_on"),
-    )
-    return load.append_with_defaults(rows, {"performed_on": F.lit(td.AS_OF)})
+    """Two inserts: pending orders leave performed_on out and get its default, the others name it."""
+    rows = _incoming_orders(spark, sf_dir)
+    cols = [F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("equipment_id"), "task_id"]
+    pending = rows.where(F.col("o_orderstatus") == PENDING_STATUS).select(*cols)
+    done = rows.where(F.col("o_orderstatus") != PENDING_STATUS).select(*cols, F.col("o_orderdate").cast("date").alias("performed_on"))
+    return load.append_with_defaults(pending, {"performed_on": F.lit(td.AS_OF)}).unionByName(done)
 
 
 def q_natural_key_lookup(spark, sf_dir):
@@ -108,9 +108,9 @@ def q_natural_key_lookup(spark, sf_dir):
     named = (
         t.maintenance_log.select(F.col("id").alias("log_id"), "equipment_id", "task_id")
         .join(t.equipment.select(F.col("id").alias("equipment_id"), F.col("display_name").alias("equipment_name"), "farm_id"), "equipment_id")
-        .join(F.broadcast(t.maintenance_task.select(F.col("id").alias("task_id"), F.col("name").alias("task_name"))), "task_id")
-        .join(F.broadcast(t.farm.select(F.col("id").alias("farm_id"), F.col("name").alias("farm_name"), "company_id")), "farm_id")
-        .join(F.broadcast(t.company.select(F.col("id").alias("company_id"), F.col("name").alias("company_name"))), "company_id")
+        .join(t.maintenance_task.select(F.col("id").alias("task_id"), F.col("name").alias("task_name")), "task_id")
+        .join(t.farm.select(F.col("id").alias("farm_id"), F.col("name").alias("farm_name"), "company_id"), "farm_id")
+        .join(t.company.select(F.col("id").alias("company_id"), F.col("name").alias("company_name")), "company_id")
         .select("log_id", "equipment_name", "task_name", "farm_name", "company_name")
     )
     farms = t.farm.join(t.company.select(F.col("id").alias("company_id"), F.col("name").alias("company_name")), "company_id")
@@ -161,7 +161,7 @@ def q_dq_pk(spark, sf_dir):
 def q_dq_unique_model(spark, sf_dir):
     frames = _t(spark, sf_dir).as_dict()
     return quality._union(
-        [quality.unique_violations(frames[n], k, n) for n, k in load.NATURAL_KEYS.items()]
+        [quality.unique_violations(load.keyed(n, frames[n]), k, n) for n, k in load.NATURAL_KEYS.items()]
     )
 
 
@@ -203,21 +203,84 @@ def q_dq_one_active(spark, sf_dir):
 
 
 def q_last_log_incremental(spark, sf_dir):
-    """Stored last_log kept up to date by arrival watermark: the store is built when the first half of the
-    arrival-id range had arrived, then the later arrivals are folded in; must equal the full aggregation."""
+    """A stored last_log that takes the years in falling order, so lower ids and older dates come late, and one year
+    twice; must equal the full aggregation."""
     import uuid
 
     from upkeep.session import shared_path
 
-    logs = _t(spark, sf_dir).maintenance_log
-    bounds = logs.agg(F.min("id").alias("lo"), F.max("id").alias("hi")).first()
-    first_half = logs.where(F.col("id") <= F.lit((int(bounds["lo"]) + int(bounds["hi"])) // 2))
+    logs = _logs_with_year(spark, sf_dir)
     root = shared_path(spark, "last_log", f"store-{uuid.uuid4().hex[:12]}")
-    due.update_last_log_store(spark, first_half, root)
-    last, _ = due.update_last_log_store(spark, logs, root)
+    arrivals = [("recent", LOADED_BEFORE, None), ("archive", None, ARCHIVE_BEFORE), ("middle", ARCHIVE_BEFORE, LOADED_BEFORE)]
+    for name, lo, hi in [*arrivals, arrivals[0]]:
+        last = due.update_last_log_store(spark, name, _logs_between(logs, lo, hi).drop(YEAR_COL), root)
     return last
 
 
+def q_natural_key_reload(spark, sf_dir):
+    """Every table loaded into an empty one by its natural key, and loaded again: the second load inserts nothing."""
+    frames = []
+    for name, rows in _t(spark, sf_dir).as_dict().items():
+        first = load.load_table(name, rows.where(F.lit(False)), rows)
+        again = load.load_table(name, first, rows)
+        frames += [
+            df.agg(F.count(F.lit(1)).alias("inserted")).select(F.lit(name).alias("table_name"), F.lit(step).alias("load"), "inserted")
+            for step, df in (("first", first), ("again", again))
+        ]
+    return quality._union(frames)
+
+
+def _busiest_unit(t):
+    """The unit with the most logs (lowest id of several): one scalar, the ``:eq_id`` of the reference's queries."""
+    busiest = t.maintenance_log.groupBy("equipment_id").count().orderBy(F.desc("count"), "equipment_id").first()
+    return busiest["equipment_id"] if busiest else -1
+
+
+def q_unit_components(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return views.current_components(t, _busiest_unit(t))
+
+
+def q_unit_timeline(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return views.maintenance_timeline(t, _busiest_unit(t))
+
+
+def q_snapshot_cascades(spark, sf_dir):
+    """Deleting a model's units, a task and the rules of a kind takes their snapshot rows along."""
+    from upkeep.plans.catalog import _snapshot
+
+    t, snap = _snapshot(spark, sf_dir, True)
+    for fk, gone in (
+        ("equipment_id", t.equipment.where(F.col("equipment_model_id") == GONE_MODEL)),
+        ("task_id", t.maintenance_task.where(F.col("name") == GONE_TASK)),
+        ("rule_id", t.maintenance_rule.where(F.col("frequency_type") == GONE_FREQUENCY)),
+    ):
+        snap = snapshot.cascade_delete(snap, fk, gone.select("id"))
+    return snap
+
+
+def q_named_views(spark, sf_dir):
+    """The dashboard views asked for by name in SQL."""
+    from upkeep.plans.catalog import _snapshot
+
+    views.create_views(*_snapshot(spark, sf_dir, True))
+    return spark.sql(
+        "SELECT s.company, s.severity, s.total, count(v.rule_id) AS listed FROM vw_due_soon_summary s "
+        "JOIN vw_due_soon v ON v.company = s.company AND v.severity = s.severity GROUP BY ALL"
+    )
+
+
+def q_date_minus_interval(spark, sf_dir):
+    """X-17: dates and timestamps some time before each log."""
+    return _t(spark, sf_dir).maintenance_log.select(
+        "id",
+        F.expr("cast(performed_on - interval 6 months as date)").alias("half_a_year_before"),
+        F.expr("cast(performed_on - interval 10 days as date)").alias("ten_days_before"),
+        F.expr("cast(performed_on as timestamp_ntz) - interval 36 hours").alias("a_day_and_a_half_before"),
+    )
+
+
 def q_yearly_log_counts(spark, sf_dir):
     root = td.materialize(spark, sf_dir)
     logs = read_table(spark, root, "maintenance_log", keep_year=True).groupBy(YEAR_COL).agg(F.count(F.lit(1)).alias("logs"))
@@ -250,7 +313,7 @@ def q_date_rule_fractions(spark, sf_dir):
 
 def q_thresholds_null_negative(spark, sf_dir):
     t = _t(spark, sf_dir)
-    values = refresh.due_values(t)
+    values = refresh.due_values(t).checkpoint()  # matched, picked and joined once for all parameter sets
     frames = [
         due.stage(values, td.AS_OF, td.COMPUTED_AT, days, hours, km).withColumn("param_set", F.lit(name))
         for name, days, hours, km in THRESHOLD_SETS
@@ -294,6 +357,12 @@ SPARK = {
     "dq_one_active": q_dq_one_active,
     "yearly_log_counts": q_yearly_log_counts,
     "last_log_incremental": q_last_log_incremental,
+    "natural_key_reload": q_natural_key_reload,
+    "unit_components": q_unit_components,
+    "unit_timeline": q_unit_timeline,
+    "snapshot_cascades": q_snapshot_cascades,
+    "named_views": q_named_views,
+    "date_minus_interval": q_date_minus_interval,
     "date_rule_fractions": q_date_rule_fractions,
     "thresholds_null_negative": q_thresholds_null_negative,
 }
@@ -434,13 +503,27 @@ FROM snap_new""",
             ),
         ),
         "dq_unique_model": _a(
+            """scoped_rule AS (
+  SELECT *, CASE WHEN equipment_id > 0 THEN 'equipment_id' WHEN equipment_model_id > 0 THEN 'equipment_model_id' ELSE 'part_type_id' END AS scope,
+         CASE WHEN equipment_id > 0 THEN equipment_id WHEN equipment_model_id > 0 THEN equipment_model_id ELSE part_type_id END AS scope_id
+  FROM a_rule),
+installed AS (SELECT * FROM a_component WHERE removed_at IS NULL)""",
             select="\nUNION ALL\n".join(
-                f"""SELECT '{n}' AS table_name, '{",".join(k)}' AS key_columns, COUNT(*) AS duplicate_keys,
-  CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS surplus_rows
-FROM (SELECT {", ".join(k)}, COUNT(*) AS n FROM {_TABLE_CTES[n]} WHERE {" AND ".join(f"{x} IS NOT NULL" for x in k)}
-      GROUP BY {", ".join(k)} HAVING COUNT(*) > 1)"""
-                for n, k in load.NATURAL_KEYS.items()
-            )
+                f"""SELECT '{n}' AS table_name, '{k}' AS key_columns, count(*) AS duplicate_keys, CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS surplus_rows
+FROM (SELECT count(*) AS c FROM {src} GROUP BY {k} HAVING count(*) > 1)"""
+                for n, src, k in (
+                    ("company", "a_company", "name"),
+                    ("farm", "a_farm", "name,company_id"),
+                    ("equipment_model", "a_model", "manufacturer,model_name"),
+                    ("part_type", "a_part", "name"),
+                    ("equipment", "a_equipment", "display_name"),
+                    ("equipment_component", "installed", "equipment_id,slot_label"),
+                    ("maintenance_task", "a_task", "name"),
+                    ("maintenance_rule", "scoped_rule", "task_id,scope,scope_id,frequency_type"),
+                    ("maintenance_log", "a_log", "equipment_id,task_id"),
+                    ("maintenance_log_detail", "a_detail", "maintenance_log_id"),
+                )
+            ),
         ),
         "dq_unique_snapshot": _a(
             *snap_blocks,
@@ -503,6 +586,54 @@ FROM a_log"""
             ),
         ),
     }
+    busiest = """busiest AS (
+  SELECT equipment_id FROM a_log GROUP BY equipment_id ORDER BY count(*) DESC, equipment_id LIMIT 1)"""
+    from upkeep.plans.catalog import _oracles as view_oracles
+    from upkeep.plans.catalog import _snap
+
+    of_views = view_oracles()
+    log_ids = "SELECT id FROM a_log SEMI JOIN busiest USING (equipment_id)"
+    out["unit_components"] = of_views["current_components"].replace(
+        "WHERE removed_at IS NULL", "WHERE removed_at IS NULL AND a_component.equipment_id = (SELECT equipment_id FROM a_log "
+        "GROUP BY equipment_id ORDER BY count(*) DESC, equipment_id LIMIT 1)"
+    )
+    out["unit_timeline"] = of_views["maintenance_timeline"].replace(
+        "ORDER BY performed_on", f"WHERE id IN (WITH {busiest} {log_ids}) ORDER BY performed_on"
+    )
+    out["snapshot_cascades"] = _snap(
+        f"""SELECT id, {_STAGE_COLS} FROM snap_new
+ANTI JOIN (SELECT id AS equipment_id FROM a_equipment WHERE equipment_model_id = {GONE_MODEL}) USING (equipment_id)
+ANTI JOIN (SELECT id AS task_id FROM a_task WHERE name = '{GONE_TASK}') USING (task_id)
+ANTI JOIN (SELECT id AS rule_id FROM a_rule WHERE frequency_type = '{GONE_FREQUENCY}') USING (rule_id)"""
+    )
+    out["named_views"] = _snap(
+        "SELECT company, severity, count(*) AS total, count(*) AS listed FROM snap_new JOIN place USING (equipment_id) GROUP BY ALL"
+    )
+    out["date_minus_interval"] = _a(
+        select="""SELECT id, CAST(performed_on - INTERVAL 6 MONTH AS DATE) AS half_a_year_before, performed_on - 10 AS ten_days_before,
+  CAST(performed_on AS TIMESTAMP) - INTERVAL 36 HOUR AS a_day_and_a_half_before FROM a_log"""
+    )
+    # what the guards of the seed compare, written out here
+    identities = {
+        "company": "SELECT DISTINCT name FROM a_company",
+        "farm": "SELECT DISTINCT name, company_id FROM a_farm",
+        "equipment_model": "SELECT DISTINCT manufacturer, model_name FROM a_model",
+        "part_type": "SELECT DISTINCT name FROM a_part",
+        "equipment": "SELECT DISTINCT display_name FROM a_equipment",
+        "equipment_component": "SELECT DISTINCT equipment_id, slot_label FROM a_component WHERE removed_at IS NULL "
+        "UNION ALL SELECT id, 'removed' FROM a_component WHERE removed_at IS NOT NULL",
+        "maintenance_task": "SELECT DISTINCT name FROM a_task",
+        "maintenance_rule": "SELECT DISTINCT task_id, frequency_type, CASE WHEN equipment_id > 0 THEN 'u' || equipment_id "
+        "WHEN equipment_model_id > 0 THEN 'm' || equipment_model_id ELSE 'p' || part_type_id END FROM a_rule",
+        "maintenance_log": "SELECT DISTINCT equipment_id, task_id FROM a_log",
+        "maintenance_log_detail": "SELECT DISTINCT maintenance_log_id FROM a_detail",
+    }
+    out["natural_key_reload"] = _a(
+        select="\nUNION ALL\n".join(
+            f"SELECT '{n}' AS table_name, 'first' AS load, count(*) AS inserted FROM ({q}) UNION ALL SELECT '{n}', 'again', 0"
+            for n, q in identities.items()
+        )
+    )
     # incremental maintenance must equal the full recomputation
     from upkeep.plans.catalog import _proc
 

@@ -40,7 +40,8 @@ def build_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, configuring the SparkContext from ``spark.checkpoint.dir``.
 
-    A private folder under the system temp dir is created only when the session names none (tests, local runs).
+    A private folder under the system temp dir is created only for a local master that names none (tests); on a cluster
+    a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,6 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder: a machine-local one is not seen by executors")
         configured = tempfile.mkdtemp(prefix="upkeep-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
@@ -58,28 +61,3 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path inside the shared folder named by the session (for written intermediate tables)."""
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     return os.path.join(base, "upkeep", *parts)
-
-
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make ``upkeep`` importable in Python workers (needed only by the pandas-based streaming operator).
-
-    Zips the package into the shared folder once per application and registers it with ``addPyFile`` -- the
-    same as submitting with ``--py-files``.
-    """
-    import shutil
-
-    sc = spark.sparkContext
-    app = sc.applicationId
-    if app in _SHIPPED:
-        return
-    pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    out = tempfile.mkdtemp(prefix="upkeep-pkg-") if not spark.conf.get("spark.checkpoint.dir", None) else shared_path(
-        spark, "pyfiles", app
-    )
-    os.makedirs(out, exist_ok=True)
-    archive = shutil.make_archive(os.path.join(out, "upkeep"), "zip", os.path.dirname(pkg_dir), "upkeep")
-    sc.addPyFile(archive)
-    _SHIPPED.add(app)

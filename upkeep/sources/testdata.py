@@ -26,12 +26,12 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from upkeep.functions.sizing import broadcast_if_small
+from upkeep.operators import versions
 from upkeep.operators.history import close_previous
 from upkeep.operators.ids import with_sequence
 from upkeep.session import shared_path
@@ -111,7 +111,7 @@ def build_tables(spark: SparkSession, sf_dir: str) -> Tables:
 
     price = F.col("o_totalprice").cast(METER)
     meter = orders.groupBy("o_custkey").agg(F.max(price).alias("mx"))
-    seg_model = broadcast_if_small(models.select(F.col("id").alias("equipment_model_id"), F.col("model_name")))
+    seg_model = models.select(F.col("id").alias("equipment_model_id"), F.col("model_name"))
     equipment = (
         customer.join(seg_model, customer.c_mktsegment == seg_model.model_name)
         .join(meter, customer.c_custkey == meter.o_custkey, "left")
@@ -166,7 +166,7 @@ def build_tables(spark: SparkSession, sf_dir: str) -> Tables:
         .agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("cid"), F.min("l_partkey").alias("pk"))
         .where(F.col("n") == 1)
     )
-    task_by_name = broadcast_if_small(tasks.select(F.col("id").alias("task_id"), F.col("name").alias("priority")))
+    task_by_name = tasks.select(F.col("id").alias("task_id"), F.col("name").alias("priority"))
     logs = (
         orders.join(task_by_name, orders.o_orderpriority == task_by_name.priority)
         .join(single, orders.o_orderkey == single.l_orderkey, "left")
@@ -229,17 +229,23 @@ def build_tables(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(**{n: conform(df, SCHEMAS[n]) for n, df in frames.items()})
 
 
-def domain_root(spark: SparkSession, sf_dir: str) -> str:
-    tag = os.path.basename(os.path.normpath(sf_dir)) + "-" + hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:8]
-    return shared_path(spark, "domain", f"v{ADAPTER_VERSION}", tag)
+def _listing(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and times of the input files: changed input under the same path is read again."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, folders = [], [path]
+    while folders:
+        for s in fs.listStatus(folders.pop()):
+            if s.isDirectory():
+                folders.append(s.getPath())
+            else:
+                found.append(f"{s.getPath()} {s.getLen()} {s.getModificationTime()}")
+    return "\n".join(sorted(found))
 
 
-def _published(spark: SparkSession, base: str) -> str | None:
-    try:
-        row = spark.read.parquet(os.path.join(base, "_current")).first()
-    except AnalysisException:
-        return None
-    return None if row is None else row["path"]
+def domain_root(spark: SparkSession, sf_dir: str) -> str:
+    tag = hashlib.sha1(_listing(spark, sf_dir).encode()).hexdigest()[:12]
+    return shared_path(spark, "domain", f"v{ADAPTER_VERSION}", os.path.basename(os.path.normpath(sf_dir)) + "-" + tag)
 
 
 _MATERIALIZED: dict[tuple[str, str], str] = {}
@@ -248,23 +254,19 @@ _MATERIALIZED: dict[tuple[str, str], str] = {}
 def materialize(spark: SparkSession, sf_dir: str) -> str:
     """Write the adapted tables once per (shared folder, input) and return their root.
 
-    Each application builds into its own directory and then publishes it through a one-row pointer, so two
-    applications materializing at the same time never write into the same files; readers only ever see a
-    complete directory.
+    Each attempt builds into a folder of its own and then commits it (``operators.versions``), so two applications never
+    write into the same files and readers only ever see a complete folder.
     """
-    memo = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    if memo in _MATERIALIZED:
-        return _MATERIALIZED[memo]
-    base = domain_root(spark, sf_dir)
-    root = _published(spark, base)
-    if root is None:
-        root = os.path.join(base, "build-" + spark.sparkContext.applicationId.replace("/", "_"))
-        write_tables(build_tables(spark, sf_dir), root)
-        spark.createDataFrame([(root,)], "path STRING").coalesce(1).write.mode("overwrite").parquet(
-            os.path.join(base, "_current")
-        )
-    _MATERIALIZED[memo] = root
-    return root
+    memo = (spark.sparkContext.applicationId, sf_dir)
+    if memo not in _MATERIALIZED:
+        base = domain_root(spark, sf_dir)
+        root = versions.current(spark, base)[1]
+        if root is None:
+            root = f"{base}/data/{uuid.uuid4().hex}"
+            write_tables(build_tables(spark, sf_dir), root)
+            versions.mark(spark, root, base)
+        _MATERIALIZED[memo] = root
+    return _MATERIALIZED[memo]
 
 
 _LOADED: dict[tuple[str, str], Tables] = {}

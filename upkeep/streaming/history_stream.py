@@ -1,12 +1,11 @@
 """Structured Streaming forms of the two row triggers (T-01, T-02).
 
-T-01 slot closing: components arrive as files; the stream is keyed by unit and keeps **one open row per slot** of
-that unit in the state store (``applyInPandasWithState``). Within a micro-batch a unit's rows are sorted by
-(slot, arrival id) and each is closed by its successor in the same slot (numpy, vectorized); the first arrival of a
-slot also closes that slot's open row from state. Keying by unit rather than by (unit, slot) gives far fewer,
-larger groups per micro-batch (the per-group cost of the pandas state API dominates otherwise). The sink is an append-only changelog: every component once as inserted (resolved as far as the batch
-knows) plus one "closed" event for a row that was still open at the end of an earlier batch; folding the changelog
-by ``id`` gives exactly the batch ``close_previous`` table. Rows without a slot bypass the state (never closed).
+T-01 slot closing: components arrive as files; each micro-batch is resolved by the batch operator
+(``close_previous_incremental``, native windows keyed by slot and id bucket) against the open rows of the slots it touches.
+The sink is an append-only changelog, one ``batch=<id>`` folder per micro-batch: arrivals as resolved so far, and again a
+row that was open and is closed now; folding it by ``id`` gives exactly the batch ``close_previous`` table. The open rows
+after a micro-batch are a table of that batch, so a replayed batch starts from the same state and rewrites its own
+folders.
 
 Replays (``run_*_stream``) deliver the input as arrivals written with full parallelism and drain each one with an
 ``availableNow`` run against the same checkpoint, so state and sink carry over exactly as across restarts.
@@ -21,94 +20,14 @@ from __future__ import annotations
 import os
 import uuid
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
-from upkeep.operators.history import auto_detail
-from upkeep.session import shared_path, ship_package
+from upkeep.operators.history import auto_detail, close_previous_incremental
+from upkeep.session import shared_path
 from upkeep.sources.schemas import EQUIPMENT_COMPONENT, MAINTENANCE_LOG, MAINTENANCE_LOG_DETAIL, conform
 
-STATE_SCHEMA = (
-    "slots ARRAY<STRING>, ids ARRAY<LONG>, parts ARRAY<LONG>, serials ARRAY<STRING>, "
-    "installed ARRAY<TIMESTAMP_NTZ>, notes ARRAY<STRING>"
-)
 EVENT_SCHEMA = EQUIPMENT_COMPONENT
-_NAT = np.array(["NaT"], dtype="datetime64[ns]")
-
-
-def _close_unit(key, frames, state):
-    """One unit's arrivals in this micro-batch; state = the unit's open row per slot."""
-    frames = list(frames)
-    rows = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-    rows = rows.sort_values(["slot_label", "id"], kind="stable")
-    slots = rows["slot_label"].to_numpy(dtype=object)
-    ids = rows["id"].to_numpy()
-    part = rows["part_type_id"].to_numpy()
-    serial = rows["serial_number"].to_numpy(dtype=object)
-    notes = rows["notes"].to_numpy(dtype=object)
-    installed = rows["installed_at"].to_numpy(dtype="datetime64[ns]")
-    given = pd.to_datetime(rows["removed_at"]).to_numpy(dtype="datetime64[ns]")
-    n = len(ids)
-    same_next = np.zeros(n, dtype=bool)
-    same_next[:-1] = slots[1:] == slots[:-1]
-    successor = np.where(same_next, np.concatenate([installed[1:], _NAT]), _NAT)
-    removed = np.where(np.isnat(given), successor, given)
-
-    open_rows = {}
-    if state.exists:
-        s_slots, s_ids, s_parts, s_serials, s_installed, s_notes = state.get
-        open_rows = {
-            sl: (i, p, se, pd.Timestamp(ins), no)
-            for sl, i, p, se, ins, no in zip(s_slots, s_ids, s_parts, s_serials, s_installed, s_notes)
-        }
-    events = []
-    first_of_slot = np.ones(n, dtype=bool)
-    first_of_slot[1:] = slots[1:] != slots[:-1]
-    for pos in np.flatnonzero(first_of_slot):
-        sl = slots[pos]
-        if sl in open_rows:  # the first arrival closes the slot's open row from earlier batches
-            i, p, se, ins, no = open_rows.pop(sl)
-            events.append((i, p, se, ins, installed[pos], no, sl))
-    last_of_slot = ~same_next
-    for pos in np.flatnonzero(last_of_slot):
-        if np.isnat(given[pos]):
-            open_rows[slots[pos]] = (int(ids[pos]), int(part[pos]), serial[pos], pd.Timestamp(installed[pos]), notes[pos])
-    if open_rows:
-        keys = sorted(open_rows)
-        vals = [open_rows[k] for k in keys]
-        state.update((keys, [v[0] for v in vals], [v[1] for v in vals], [v[2] for v in vals],
-                      [v[3] for v in vals], [v[4] for v in vals]))
-    elif state.exists:
-        state.remove()
-
-    if events:
-        e_ids, e_part, e_serial, e_inst, e_rem, e_notes, e_slots = map(list, zip(*events))
-        ids = np.concatenate([np.array(e_ids, dtype="int64"), ids])
-        part = np.concatenate([np.array(e_part, dtype="int64"), part])
-        serial = np.concatenate([np.array(e_serial, dtype=object), serial])
-        notes = np.concatenate([np.array(e_notes, dtype=object), notes])
-        slots = np.concatenate([np.array(e_slots, dtype=object), slots])
-        installed = np.concatenate([np.array(e_inst, dtype="datetime64[ns]"), installed])
-        removed = np.concatenate([np.array(e_rem, dtype="datetime64[ns]"), removed])
-    yield pd.DataFrame(
-        {
-            "id": ids, "equipment_id": np.full(len(ids), key[0], dtype="int64"), "part_type_id": part,
-            "slot_label": slots, "serial_number": serial, "installed_at": installed, "removed_at": removed,
-            "notes": notes,
-        }
-    )
-
-
-def close_previous_stream(components: DataFrame) -> DataFrame:
-    """Streaming slot closing: a changelog DataFrame (append mode), state keyed by unit."""
-    keyed = components.where(F.col("slot_label").isNotNull())
-    closed = keyed.groupBy("equipment_id").applyInPandasWithState(
-        _close_unit, EVENT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
-    )
-    return closed.unionByName(components.where(F.col("slot_label").isNull()))
 
 
 def fold_changelog(events: DataFrame) -> DataFrame:
@@ -145,17 +64,23 @@ def _stream_dir(spark: SparkSession, name: str) -> str:
 
 def run_close_previous_stream(spark: SparkSession, components: DataFrame, batches: int = 4) -> DataFrame:
     """Replay ``components`` (as inserted) through the streaming trigger; return the folded table."""
-    ship_package(spark)
     base = _stream_dir(spark, "components")
-    src, sink, ckpt = (os.path.join(base, p) for p in ("source", "sink", "checkpoint"))
+    src, sink, state, ckpt = (os.path.join(base, p) for p in ("source", "sink", "open", "checkpoint"))
+    spark.createDataFrame([], EVENT_SCHEMA).write.mode("overwrite").parquet(os.path.join(state, "batch=-1"))
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        before = spark.read.schema(EVENT_SCHEMA).parquet(os.path.join(state, f"batch={batch_id - 1}"))
+        events = os.path.join(sink, f"batch={batch_id}")
+        close_previous_incremental(before, batch).write.mode("overwrite").parquet(events)
+        resolved = spark.read.schema(EVENT_SCHEMA).parquet(events)
+        still_open = resolved.where(F.col("removed_at").isNull() & F.col("slot_label").isNotNull())
+        untouched = before.join(resolved.select("id"), "id", "left_anti")
+        untouched.unionByName(still_open).write.mode("overwrite").parquet(os.path.join(state, f"batch={batch_id}"))
 
     def run_once() -> None:
         stream = spark.readStream.schema(EQUIPMENT_COMPONENT).option("recursiveFileLookup", "true").parquet(src)
-        q = (
-            close_previous_stream(stream).writeStream.format("parquet").option("checkpointLocation", ckpt)
-            .outputMode("append").trigger(availableNow=True).start(sink)
-        )
-        q.awaitTermination()
+        q = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt).trigger(availableNow=True)
+        q.start().awaitTermination()
 
     replay(conform(components, EQUIPMENT_COMPONENT), src, "id", batches, run_once)
     return fold_changelog(spark.read.schema(EVENT_SCHEMA).parquet(sink))
