@@ -70,7 +70,7 @@ def test_query(spark, sf_dir, documents):
 @pytest.mark.parametrize("seed", range(2))
 def test_chains_passages_and_groups(spark, monkeypatch, seed):
     """Chains of small edits, a passage in most texts, a large group of near copies, short texts, exact copies."""
-    monkeypatch.setattr(ngram_join, "LEADERS", 2)
+    monkeypatch.setattr(ngram_join, "ROWS_PER_BLOCK", 4000)
     monkeypatch.setattr(ngram_join, "MEMBERS_PER_TASK", 4)
     random = np.random.default_rng(seed)
     make = lambda n: [f"w{x}" for x in random.integers(0, 500, n)]

@@ -10,12 +10,13 @@ compared in full:
    common with others there as a link needs; common passages are too few for that.
 2. first order, ``p(n)`` shingles: those that stand in more than one remaining document are the postings that give
    candidate pairs.
-3. all orders (by three hashes), pair by pair: the prefixes must meet under each.
+3. all orders (by three hashes), pair by pair: the prefixes must meet under each; pairs beyond the first of a document must
+   also share as many shingles in the prefixes of 1. as a link needs.
 
 Exact copies are one class from the start. Within a posting not all pairs are formed: each set is first compared with
-one leader, links become components, and only pairs across components are formed afterwards, a block of leaders of a
-posting at a time until the posting is used up, so a group of thousands of near copies costs about one comparison per
-member, and no link between different components is lost.
+one leader, links become components, and only pairs across components that have enough shingles in common are formed
+afterwards, so a group of thousands of near copies costs about one comparison per member, and no link between different
+components is lost.
 
 Shingles are compared by 64-bit hashes. Rows with a null doc_id are returned with a null component. Rows repeating a
 doc_id with other texts are one node with the links of each. Extra columns are ignored; an empty table gives no rows.
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from upkeep.llm.common import LOWER, NON_SPACE_BYTE, Chunk, Hasher, chunks, list_array, mix, release, shingle_hashes, written
@@ -36,7 +37,7 @@ from upkeep.llm.components import connected_components
 K = 5
 PERCENT = 80
 DEPTH_PERCENT = 150
-LEADERS = 1024
+ROWS_PER_BLOCK = 50_000_000
 MEMBERS_PER_TASK = 128
 # the global orders: by hash, and by two other hashes of it
 ORDERS = (None, np.uint64(0x51ED270B9F1E35A5), np.uint64(0xA24BAED4963EE407))
@@ -151,36 +152,42 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def _verify(percent: int):
-    def run(table: pa.Table) -> pa.Table:
-        sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("hashes").to_pylist()]
-        leads = table.column("lead").to_pylist()
-        docs = table.column("doc").to_pylist()
-        leaders = [s for s, lead in zip(sets, leads) if lead]
-        found = [d for d, s, lead in zip(docs, sets, leads) if not lead and any(similar(x, s, percent) for x in leaders)]
-        a = table.column("a")[0].as_py()
-        return pa.table({"a": pa.array([a] * len(found), pa.int64()), "b": pa.array(found, pa.int64())})
+    def run(sets: pa.Table, pairs: pa.Table) -> pa.Table:
+        own: dict[int, list[np.ndarray]] = {}
+        for doc, hashes in zip(sets.column("doc").to_pylist(), sets.column("hashes").to_pylist()):
+            own.setdefault(doc, []).append(np.frombuffer(hashes, dtype=np.uint64))
+        found = [
+            (a, b)
+            for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist())
+            if any(similar(x, y, percent) for x in own.get(a, []) for y in own.get(b, []))
+        ]
+        return pa.table({n: pa.array(c, pa.int64()) for n, c in zip("ab", zip(*found) if found else ([], []))})
 
     return run
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link. A leader's members are dealt to tasks of about ``MEMBERS_PER_TASK``."""
-    sizes = written(pairs.groupBy("a").agg(F.count("*").alias("_m")), "group-sizes")
-    dealt = pairs.join(sizes, "a").withColumn(
-        "salt", F.pmod(F.xxhash64("b"), F.ceil(F.col("_m") / F.lit(MEMBERS_PER_TASK))).cast("int")
-    )
-    members = dealt.select("a", "salt", F.col("b").alias("doc")).join(sets, "doc").withColumn("lead", F.lit(False))
-    leaders = (
-        dealt.select("a", "salt").distinct().withColumn("doc", F.col("a")).join(sets, "doc").withColumn("lead", F.lit(True))
-    )
-    return members.unionByName(leaders).groupBy("a", "salt").applyInArrow(_verify(percent), "a bigint, b bigint")
-
-
-def jaccard_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) that link.
+
+    Pairs are compared cluster by cluster (components of the candidate pairs), so a set travels once for all its pairs;
+    the pairs of a large cluster are dealt to a grid of tasks, each with at most about twice ``MEMBERS_PER_TASK`` sets.
+    """
+    cluster = connected_components(pairs)
+    members = written(cluster.groupBy("label").agg(F.ceil(F.count("*") / F.lit(MEMBERS_PER_TASK)).cast("int").alias("g")), "clusters")
+    dealt = pairs.join(cluster.withColumnRenamed("node", "a"), "a").join(members, "label")
+    at = [F.pmod(F.xxhash64(c), "g").cast("int").alias(f"s{c}") for c in "ab"]
+    dealt = written(dealt.select("label", *at, "a", "b"), "dealt")
+    key = ["label", "sa", "sb"]
+    needed = dealt.select(*key, F.explode(F.array("a", "b")).alias("doc")).distinct().join(sets, "doc")
+    needed = needed.toDF(*needed.columns)  # columns of its own: both sides come from the same table
+    return needed.groupBy(*key).cogroup(dealt.groupBy(*key)).applyInArrow(_verify(percent), "a bigint, b bigint")
+
+
+def jaccard_components(docs: DataFrame, words: int = K, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    sets = written(rows.mapInArrow(_scan(k, percent), "doc_id bigint, n bigint, h1 bigint, h2 bigint, prefix array<bigint>"), "sets")
+    sets = written(rows.mapInArrow(_scan(words, percent), "doc_id bigint, n bigint, h1 bigint, h2 bigint, prefix array<bigint>"), "sets")
     narrow = sets.select("doc_id", "n", "h1", "h2")
     classes = narrow.where("doc_id is not null and n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"))
     classes = written(classes, "classes")
@@ -200,7 +207,8 @@ def jaccard_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> D
     smallest = f"({percent} * n + 99) div 100"
     enough = F.expr(f"{_deep_sql(smallest, percent)} - {_prefix_sql(smallest, percent)} + 1")
     alive = shared.groupBy("doc", "n").agg(F.count("*").alias("c")).where(F.col("c") >= enough).select("doc", "n")
-    near = shared.where(F.col("at") < F.expr(_prefix_sql("n", percent))).join(written(alive, "alive"), ["doc", "n"])
+    alive = written(alive, "alive")
+    near = shared.where(F.col("at") < F.expr(_prefix_sql("n", percent))).join(alive, ["doc", "n"])
     near = written(near.select("doc", "n", "token"), "near-places")
     leaders = near.groupBy("token").agg(F.count("*").alias("c"), F.min("doc").alias("leader")).where("c > 1").drop("c")
     postings = written(near.join(written(leaders, "leaders"), "token"), "postings")
@@ -212,43 +220,38 @@ def jaccard_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> D
     first = met.groupBy("doc").agg(F.max_by("leader", F.struct(F.col("c"), -F.col("leader"))).alias("a"))
     first = written(first.select("a", F.col("doc").alias("b")), "pairs")
     wanted = postings.select(F.col("doc").alias("doc_id")).distinct().hint("shuffle_hash")
-    whole = written(rows.join(wanted, "doc_id", "left_semi").mapInArrow(_scan_sets(k), "doc bigint, hashes binary"), "whole-sets")
+    whole = written(rows.join(wanted, "doc_id", "left_semi").mapInArrow(_scan_sets(words), "doc bigint, hashes binary"), "whole-sets")
     release(spark)
     links = written(_links(first, whole, percent), "links")
     labels = connected_components(links)
 
-    # what is left: postings whose sets lie in different components, a block of leaders at a time
-    ranked = None
-    block = 0
-    while True:
-        source = postings.select("token", "doc", "n") if ranked is None else ranked
-        tagged = source.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-        mixed = tagged.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("token")
-        tagged = tagged.join(written(mixed, "mixed"), "token")
-        if ranked is None:
-            # small components first: once all but one have led, every pair across components was formed
-            sizes = tagged.groupBy("token", "label").agg(F.count("*").alias("m"))
-            tagged = tagged.join(written(sizes, "label-sizes"), ["token", "label"])
-            order = Window.partitionBy("token").orderBy("m", "label", "n", "doc")
-            ranked = written(tagged.select("token", "doc", "n", "m", F.row_number().over(order).alias("r")), "ranked")
-            longest = ranked.groupBy("token").agg((F.count("*") - F.max("m")).alias("minor")).agg(F.max("minor")).first()[0] or 0
-            tagged = ranked.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-        if block >= longest:
-            break
-        tagged = written(tagged, "residual")
-        leads = tagged.where((F.col("r") > block) & (F.col("r") <= block + LEADERS)).select(
-            "token", F.col("doc").alias("a"), F.col("n").alias("n2"), F.col("r").alias("r2"), F.col("label").alias("label2")
+    # what is left: pairs of different components with enough shingles in common in the deep prefixes. The set of the
+    # smaller component leads; leaders are taken in as many blocks as the postings need, so no block is large
+    deep = shared.join(alive, ["doc", "n"], "left_semi").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
+    deep = deep.select("doc", "n", "token", F.coalesce("label", "doc").alias("label"))
+    sizes = written(deep.select("doc", "label").distinct().groupBy("label").agg(F.count("*").alias("size")), "sizes")
+    deep = written(deep.join(sizes, "label"), "deep-places")
+    per_label = deep.groupBy("token", "label").agg(F.count("*").alias("m"))
+    mixed = per_label.groupBy("token").agg(F.sum("m").alias("s"), F.max("m").alias("m")).where("s > m")
+    mixed = written(mixed.withColumn("rows", F.col("s") * (F.col("s") - F.col("m"))), "mixed")
+    blocks = -(-(mixed.agg(F.sum("rows")).first()[0] or 0) // ROWS_PER_BLOCK)
+    deep = written(deep.join(mixed.select("token"), "token"), "mixed-places")
+    release(spark)
+    k = f"least({_deep_sql('n', percent)} - {_prefix_sql('n', percent)}, {_deep_sql('n2', percent)} - {_prefix_sql('n2', percent)})"
+    for block in range(blocks):
+        now = deep.join(labels.withColumnsRenamed({"node": "doc", "label": "now"}), "doc", "left").withColumn("now", F.coalesce("now", "doc"))
+        now = written(now, "now")
+        leads = now.where(F.pmod(F.xxhash64("doc"), F.lit(blocks)) == F.lit(block)).select(
+            "token", *(F.col(c).alias(f"{c}2") for c in ("doc", "n", "label", "size", "now"))
         )
-        pairs = tagged.join(leads, "token").where(F.col("r") > F.col("r2")).where("label != label2 and a != doc").where(compatible)
-        pairs = pairs.select(F.least("a", "doc").alias("a"), F.greatest("a", "doc").alias("b")).distinct()
-        tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        leading = F.struct("size2", "label2", "doc2") < F.struct("size", "label", "doc")
+        pairs = now.join(leads, "token").where(leading & (F.col("now") != F.col("now2"))).where(compatible)
+        pairs = pairs.groupBy(F.col("doc2").alias("a"), F.col("doc").alias("b"), "n", "n2").agg(F.count("*").alias("c"))
+        pairs = written(pairs.where(F.col("c") > F.expr(k)).select("a", "b").distinct(), "pairs")
         found = written(_links(pairs, whole, percent), "links")
         if found.limit(1).count():
             links = links.unionByName(found)
             labels = connected_components(links)
-        first = first.unionByName(pairs)
-        block += LEADERS
 
     component = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "n", "h1", "h2", F.coalesce("label", "rep").alias("component_id")
