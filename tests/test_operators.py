@@ -70,8 +70,7 @@ def test_hot_slot_split_path_is_exact(spark):
         rem = rng.randint(0, 99) if rng.random() < 0.15 else None
         rows.append((i, 1 if hot else rng.randint(2, 6), "H" if hot else rng.choice(["A", None]), rng.randint(0, 99), rem))
     df = spark.createDataFrame(comp_rows(rows), EQUIPMENT_COMPONENT)
-    assert history.hot_slots(df, hot_rows=50, fraction=1.0).count() == 1
-    got = {r.id: r.removed_at for r in history.close_previous(df, hot_rows=50, sample_fraction=1.0).collect()}
+    got = {r.id: r.removed_at for r in history.close_previous(df, bucket_ids=50).collect()}
     want = {k: None if v is None else ts(v) for k, v in _sequential(rows).items()}
     assert got == want
 
@@ -94,11 +93,20 @@ def test_with_sequence_equals_row_number(spark):
     assert sorted(map(tuple, got.select("k", "seq").collect())) == sorted(map(tuple, want.select("k", "seq").collect()))
 
 
-def test_with_sequence_small_input_path(spark):
+def test_with_sequence_leaves_no_cache(spark):
+    jsc = spark.sparkContext._jsc
+    before = jsc.getPersistentRDDs().size()
     df = spark.range(0, 3000).select((F.col("id") * 7919 % 3001).alias("k"))
-    got = with_sequence(df, ["k"], "seq", start_after=5)  # proven small: one sorted partition
+    got = with_sequence(df, ["k"], "seq", start_after=5)
     want = df.withColumn("seq", F.row_number().over(Window.orderBy("k")) + 5)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert jsc.getPersistentRDDs().size() == before
+
+
+def test_rows_without_a_slot_bypass_the_window(spark):
+    rows = [(i, 1, None, i, None) for i in range(1, 40)] + [(50, 1, "A", 1, None), (51, 1, "A", 2, None)]
+    closed = history.close_previous(spark.createDataFrame(comp_rows(rows), EQUIPMENT_COMPONENT))
+    assert [r.id for r in closed.where("removed_at is not null").collect()] == [50]
 
 
 @pytest.mark.parametrize(
@@ -263,19 +271,80 @@ def test_unit_without_farm_matches_rules_but_is_never_due(spark):
     assert all(k[0] != 1 for k in _stage(spark, t, d))  # the due branches join base (farm required)
 
 
-def test_last_log_store_folds_new_arrivals(spark, tmp_path):
+def test_last_log_store_takes_late_lower_ids_and_repeats(spark, tmp_path):
     from upkeep.sources.schemas import MAINTENANCE_LOG
 
-    t = seed_tables(spark, dt.date(2026, 2, 10))
     root = str(tmp_path / "last_log")
-    first, wm1 = due.update_last_log_store(spark, t.maintenance_log.where("id <= 2"), root)
-    assert wm1 == 2 and first.count() == 2
-    late = spark.createDataFrame(  # arrives later but is back-dated, with a higher meter
-        [(9, 1, 1, dt.date(2025, 1, 1), Decimal("400"), None, None, None, None, None)], MAINTENANCE_LOG
-    )
-    logs = t.maintenance_log.unionByName(late)
-    got, wm2 = due.update_last_log_store(spark, logs, root)
-    assert wm2 == 9
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, due.last_log(logs).collect()))
-    again, wm3 = due.update_last_log_store(spark, logs, root)  # nothing new: unchanged
-    assert wm3 == 9 and sorted(map(tuple, again.collect())) == sorted(map(tuple, got.collect()))
+
+    def log(i, day, hours):
+        return (i, 1, 1, day, Decimal(hours), None, None, None, None, None)
+
+    first = spark.createDataFrame([log(1, dt.date(2020, 1, 1), "10"), log(3, dt.date(2020, 2, 1), "20")], MAINTENANCE_LOG)
+    late = spark.createDataFrame([log(2, dt.date(2023, 1, 1), "5")], MAINTENANCE_LOG)
+    due.update_last_log_store(spark, "a", first, root)
+    got = due.update_last_log_store(spark, "b", late, root)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, due.last_log(first.unionByName(late)).collect()))
+    again = due.update_last_log_store(spark, "a", first, root)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, got.collect()))
+
+
+def test_commits_survive_crashes(spark, tmp_path):
+    from upkeep.operators import versions
+
+    root = str(tmp_path / "table")
+    one, two = spark.range(1), spark.range(2)
+    assert versions.current(spark, root) == (None, None)
+    assert versions.commit(spark, one, root) == 1
+    two.write.parquet(f"{root}/data/left-by-a-crash")  # died before its commit
+    assert spark.read.parquet(versions.current(spark, root)[1]).count() == 1
+    (tmp_path / "table" / "commits" / "000002").mkdir()  # died within its commit: no _SUCCESS
+    reader = spark.read.parquet(versions.current(spark, root)[1])
+    assert versions.commit(spark, two, root) == 3
+    assert reader.count() == 1  # a reader of the old version is not disturbed
+    assert spark.read.parquet(versions.current(spark, root)[1]).count() == 2
+    versions.commit(spark, one, root)
+    assert versions.clean(spark, root, keep=2) == [1]
+    assert spark.read.parquet(versions.current(spark, root)[1]).count() == 1
+
+
+def test_loading_twice_inserts_nothing_and_reinstalls(spark):
+    t = seed_tables(spark, dt.date(2026, 2, 10))
+    for name, rows in t.as_dict().items():
+        if name != "maintenance_log_detail":
+            first = load.load_table(name, rows.where(F.lit(False)), rows)
+            assert load.load_table(name, first, rows).count() == 0, name
+    rules = t.maintenance_rule
+    assert load.load_table("maintenance_rule", rules, rules.withColumn("id", F.col("id") + 100)).count() == 0
+    old = spark.createDataFrame(comp_rows([(1, 1, "A", 1, 5)]), EQUIPMENT_COMPONENT)
+    new = spark.createDataFrame(comp_rows([(2, 1, "A", 9, None)]), EQUIPMENT_COMPONENT)
+    assert [r.id for r in load.load_table("equipment_component", old, new).collect()] == [2]
+
+
+def test_lookup_ignores_duplicates_nobody_asks_for(spark):
+    rows = spark.createDataFrame([("a",), (None,)], "name string")
+    dim = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b"), (4, None), (5, None)], "id long, name string")
+    assert {(r.name, r.ref_id) for r in load.lookup_id(rows, dim, {"name": "name"}).collect()} == {("a", 1), (None, None)}
+
+
+def test_defaults_replace_omitted_columns_only(spark):
+    rows = spark.createDataFrame([(1, None)], "id long, day date")
+    out = load.append_with_defaults(rows, {"day": F.lit(dt.date(2026, 1, 1)), "active": F.lit(True)}).first()
+    assert out.day is None and out.active is True
+
+
+def test_computed_at_keeps_its_fraction(spark):
+    d = dt.date(2026, 2, 10)
+    t = seed_tables(spark, d)
+    at = dt.datetime(2026, 2, 10, 2, 5, 0, 123456)
+    assert {r.computed_at for r in refresh.due_stage(t, refresh.RefreshParams(d, at, 30, 25, 500)).collect()} == {at}
+
+
+def test_a_cluster_must_name_its_shared_folder(monkeypatch):
+    from types import SimpleNamespace
+
+    from upkeep import session
+
+    sc = SimpleNamespace(master="spark://x:7077", getCheckpointDir=lambda: None)
+    fake = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *a: None))
+    with pytest.raises(ValueError):
+        session.ensure_checkpoint_dir(fake)
