@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 
@@ -57,6 +57,26 @@ class Merger:
         return np.array(out.ids), np.bincount(np.array(out.word_ids, dtype=np.int64), minlength=len(pieces))
 
 
+class Remembered:
+    """What pre-tokens encode to: ``fixed`` ones and the most recently used others (two generations of ``limit``)."""
+
+    def __init__(self, make: Callable[[list[str]], Iterable], fixed: dict | None = None, limit: int = 300_000) -> None:
+        self.make, self.fixed, self.limit = make, fixed or {}, limit
+        self.young, self.old = dict(self.fixed), {}
+
+    def of(self, pieces: Iterable[list[str]]) -> dict:
+        """A dictionary with (at least) all of these pre-tokens."""
+        distinct = set().union(*pieces)
+        if len(self.young) > self.limit + len(self.fixed):
+            self.old, self.young = self.young, dict(self.fixed)
+        missing = distinct.difference(self.young)
+        kept = {p: self.old[p] for p in missing if p in self.old}
+        rest = [p for p in missing if p not in kept]
+        self.young.update(kept)
+        self.young.update(zip(rest, self.make(rest)))
+        return self.young
+
+
 def runs_of_texts(texts: list[str], size: int = 1 << 20) -> Iterator[slice]:
     """Slices of about ``size`` characters, one text at least."""
     first = total = 0

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import gc
+import sys
+import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -179,3 +181,11 @@ def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of finished steps whose results are written tables."""
     gc.collect()
     spark._jvm.System.gc()
+
+
+def per_process(key: str, make: Callable):
+    """An object made once in a Python worker process and shared by the tasks that it runs one after the other."""
+    store = sys.modules.setdefault("_upkeep_llm_worker", types.ModuleType("_upkeep_llm_worker")).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]

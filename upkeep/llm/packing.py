@@ -24,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upkeep.llm.bpe import Merger, runs_of_texts, split_pattern, whole_tokenizer
+from upkeep.llm.bpe import Merger, Remembered, runs_of_texts, split_pattern, whole_tokenizer
+from upkeep.llm.common import per_process
 
 CAPACITY = 4096
 DOCS_PER_BUCKET = 512
-CACHE_ENTRIES = 400_000
 
 # the split pattern of the word-end BPE (fixed value), the commonest alternative first; see split_pattern
 PRE_TOKEN = "[<L>]+|'(?:s|t|re|ve|m|ll|d)|[<N>]|[^<S><L><N>]+"
@@ -54,7 +54,7 @@ class Encoder:
         self.split = split_pattern(AGREED, PRE_TOKEN)
         self.other = regex.compile(OTHER)
         self.special = [t.content for t in self.merger.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        self.known = Remembered(self._merged)
 
     @cached_property
     def tokenizer(self):
@@ -63,16 +63,14 @@ class Encoder:
     def _whole(self, text: str) -> bool:
         return any(s in text for s in self.special) or self.other.search(text) is not None
 
+    def _merged(self, pieces: list[str]) -> Iterator[bytes]:
+        ids, counts = self.merger.encode(pieces)
+        raw, ends = ids.astype(self.dtype).tobytes(), (np.cumsum(counts) * self.dtype.itemsize).tolist()
+        return (raw[a:b] for a, b in zip([0, *ends], ends))
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         pieces = [None if self._whole(t) else self.split.findall(t.lower()) for t in texts]
-        rest = list(set().union(*(p for p in pieces if p is not None)).difference(self.known))
-        if len(self.known) + len(rest) > CACHE_ENTRIES:
-            self.known = {}
-            rest = list(set().union(*(p for p in pieces if p is not None)))
-        ids, counts = self.merger.encode(rest)
-        raw, ends = ids.astype(self.dtype).tobytes(), (np.cumsum(counts) * self.dtype.itemsize).tolist()
-        self.known.update(zip(rest, (raw[a:b] for a, b in zip([0, *ends], ends))))
-        known = self.known.__getitem__
+        known = self.known.of(p for p in pieces if p is not None).__getitem__
         return [
             np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, dtype=self.dtype)
             if p is None
@@ -182,7 +180,7 @@ def pack(
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = Encoder(tokenizer_path)
+        encoder = per_process(f"encoder {tokenizer_path}", lambda: Encoder(tokenizer_path))
         schema = pa.schema([("bucket", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("ids", pa.binary())])
         for batch in batches:
             rows = []

@@ -23,14 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upkeep.llm.bpe import Merger, runs_of_texts, split_pattern, whole_tokenizer
+from upkeep.llm.bpe import Merger, Remembered, runs_of_texts, split_pattern, whole_tokenizer
+from upkeep.llm.common import per_process
 
 # the split pattern of byte-level BPE (fixed value), the commonest alternative first; see split_pattern
 PRE_TOKEN = " ?[<L>]+|'(?:s|t|re|ve|m|ll|d)| ?[<N>]+| ?[^<S><L><N>]+|[<S>]+(?![^<S>])|[<S>]+"
 # characters whose classes are the same in both libraries
 AGREED = "\x00-՗‐-‧‰-⁞ぁ-ゖァ-ヺ一-鿿가-힣"
 OTHER = f"[^{AGREED}]"
-CACHE_ENTRIES = 400_000
 LONG_TEXT = 1 << 20
 PIECES = 1 << 17
 
@@ -55,26 +55,16 @@ class Counter:
         import regex
 
         self.path = tokenizer_path
-        self.whole = whole
         self.merger = Merger(tokenizer_path)
         self.split = split_pattern(AGREED, PRE_TOKEN)
         self.other = regex.compile(OTHER)
         self.special = [t.content for t in self.merger.tokenizer.get_added_tokens_decoder().values()]
-        self.known = dict.fromkeys(whole, 1)
+        self.known = Remembered(lambda pieces: self.merger.encode(pieces)[1].tolist(), dict.fromkeys(whole, 1))
 
     @cached_property
     def tokenizer(self):
         return whole_tokenizer(self.path)
 
-    def _learn(self, pieces: Iterator[list[str]]) -> None:
-        """Merge the pre-tokens that are neither whole tokens nor known yet."""
-        pieces = list(pieces)
-        rest = list(set().union(*pieces).difference(self.known))
-        if len(self.known) + len(rest) > CACHE_ENTRIES + len(self.whole):
-            self.known = dict.fromkeys(self.whole, 1)
-            rest = list(set().union(*pieces).difference(self.known))
-        self.known.update(zip(rest, self.merger.encode(rest)[1].tolist()))
-
     def count(self, texts: list[str]) -> list[int]:
         out = [0] * len(texts)
         split = {}
@@ -84,12 +74,10 @@ class Counter:
             elif len(text) > LONG_TEXT:
                 found = (m.group() for m in self.split.finditer(text))
                 while part := list(islice(found, PIECES)):
-                    self._learn([part])
-                    out[i] += sum(map(self.known.__getitem__, part))
+                    out[i] += sum(map(self.known.of([part]).__getitem__, part))
             else:
                 split[i] = self.split.findall(text)
-        self._learn(split.values())
-        known = self.known.__getitem__
+        known = self.known.of(split.values()).__getitem__
         for i, pieces in split.items():
             out[i] = sum(map(known, pieces))
         return out
@@ -103,7 +91,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 1024) -> Dat
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        counter = Counter(tokenizer_path, whole.value)
+        counter = per_process(f"counter {tokenizer_path}", lambda: Counter(tokenizer_path, whole.value))
         for batch in batches:
             texts = batch.column(1).fill_null("").to_pylist()
             n = [c for part in runs_of_texts(texts) for c in counter.count(texts[part])]
