@@ -16,13 +16,12 @@ from upkeep.operators import due, history, load, quality, snapshot
 from upkeep.plans import oracle as O
 from upkeep.plans import refresh, views
 from upkeep.sources import testdata as td
-from upkeep.sources.schemas import METER
+from upkeep.sources.schemas import METER, NOT_NULL, VARCHAR_LIMITS
 from upkeep.sources.tables import YEAR_COL, read_table
 
 # Fixed values of the scenarios.
 ARCHIVE_BEFORE = dt.date(1996, 1, 1)  # logs before this are deleted (cascade / orphan scenarios)
 LOADED_BEFORE = dt.date(1999, 1, 1)  # logs before this are "already in the table" for insert-if-absent
-REDELIVERED_YEAR = 1998  # a re-delivered year of logs (duplicate primary keys)
 DELETED_COMPANY = "EUROPE"  # company removed in the ON DELETE SET NULL scenario
 GONE_MODEL, GONE_TASK, GONE_FREQUENCY = 2, "3-MEDIUM", "KM"  # parents deleted in the snapshot cascades
 PENDING_STATUS = "P"  # pending orders arrive without a performed_on date
@@ -144,18 +143,28 @@ def q_set_null_delete(spark, sf_dir):
 # data quality
 
 
-def _broken(spark, sf_dir):
-    """Tables as a careless load would leave them: one year of logs delivered twice, old logs archived without
-    their lines (no cascade)."""
-    t = _t(spark, sf_dir)
-    logs = _logs_with_year(spark, sf_dir)
-    twice = logs.unionByName(logs.where(F.col(YEAR_COL) == REDELIVERED_YEAR))
-    kept = _logs_between(twice, lo=ARCHIVE_BEFORE).drop(YEAR_COL)
-    return t.with_(maintenance_log=kept)
+def _all_tables(spark, sf_dir, purge: bool = True):
+    """The ten tables and the snapshot computed from them."""
+    from upkeep.plans.catalog import _snapshot
+
+    t, snap = _snapshot(spark, sf_dir, purge)
+    return {**t.as_dict(), "due_soon": snap}
+
+
+def _spoilt(df, broken: dict):
+    """Every row stays; of the n checked columns the j-th is broken where ``id % (n + 1) = j``."""
+    turn = F.col("id") % F.lit(len(broken) + 1)
+    return df.withColumns({c: F.when(turn == F.lit(j), bad).otherwise(F.col(c)) for j, (c, bad) in enumerate(broken.items())})
 
 
 def q_dq_pk(spark, sf_dir):
-    return quality.pk_violations(_broken(spark, sf_dir).as_dict())
+    """Rows with even ids delivered twice, ids divisible by three lost."""
+
+    def spoilt(df):
+        twice = df.unionByName(df.where(F.col("id") % 2 == 0))
+        return twice.withColumn("id", F.when(F.col("id") % 3 != 0, F.col("id")))
+
+    return quality.pk_violations({n: spoilt(df) for n, df in _all_tables(spark, sf_dir).items()})
 
 
 def q_dq_unique_model(spark, sf_dir):
@@ -166,28 +175,45 @@ def q_dq_unique_model(spark, sf_dir):
 
 
 def q_dq_unique_snapshot(spark, sf_dir):
+    """Snapshot and stage with their overdue rows written twice."""
     from upkeep.plans.catalog import PARAMS, _snapshot
 
+    def spoilt(df):
+        return df.unionByName(df.where(F.col("severity") == due.OVERDUE))
+
     t, snap = _snapshot(spark, sf_dir, False)
-    return quality.unique_violations(snap, snapshot.KEY, "due_soon").unionByName(
-        quality.unique_violations(refresh.due_stage(t, PARAMS), snapshot.KEY, "due_soon_stage")
+    return quality.unique_violations(spoilt(snap), snapshot.KEY, "due_soon").unionByName(
+        quality.unique_violations(spoilt(refresh.due_stage(t, PARAMS)), snapshot.KEY, "due_soon_stage")
     )
 
 
 def q_dq_scope(spark, sf_dir):
-    return quality.scope_violations(_t(spark, sf_dir).maintenance_rule)
+    """Rules of the usage kinds without their scope."""
+    scopes = ["equipment_model_id", "equipment_id", "part_type_id"]
+    rules = _t(spark, sf_dir).maintenance_rule
+    return quality.scope_violations(
+        rules.withColumns({c: F.when(~F.col("frequency_type").isin("HOURS", "KM"), F.col(c)) for c in scopes})
+    )
 
 
 def q_dq_fk(spark, sf_dir):
-    return quality.fk_violations(_broken(spark, sf_dir).as_dict())
+    keys = [*quality.FOREIGN_KEYS, *quality.SNAPSHOT_FOREIGN_KEYS]
+    whole = _all_tables(spark, sf_dir)
+    children = dict.fromkeys(c for c, _, _ in keys)
+    spoilt = {n: _spoilt(whole[n], {col: -1 - F.col("id") for c, col, _ in keys if c == n}) for n in children}
+    return quality.fk_violations(spoilt, keys, whole)
 
 
 def q_dq_not_null(spark, sf_dir):
-    return quality.not_null_violations(_t(spark, sf_dir).as_dict())
+    whole = _all_tables(spark, sf_dir)
+    return quality.not_null_violations({n: _spoilt(df, dict.fromkeys(NOT_NULL[n], F.lit(None))) for n, df in whole.items()})
 
 
 def q_dq_length(spark, sf_dir):
-    return quality.length_violations(_t(spark, sf_dir).as_dict())
+    tables = _t(spark, sf_dir).as_dict()
+    return quality.length_violations(
+        {n: _spoilt(df, {c: F.repeat(F.lit("x"), F.lit(k + 1)) for c, k in VARCHAR_LIMITS[n].items()}) for n, df in tables.items()}
+    )
 
 
 def q_dq_one_active(spark, sf_dir):
@@ -398,28 +424,71 @@ def _closed_select(src: str) -> str:
 FROM {src} c LEFT JOIN nxt ON nxt.id = c.id LEFT JOIN {src} n ON n.id = nxt.next_id"""
 
 
-def _broken_ctes() -> list[str]:
-    return [
-        f"""b_log AS (
-  SELECT * FROM a_log UNION ALL SELECT * FROM a_log WHERE year(performed_on) = {REDELIVERED_YEAR}),
-b_log2 AS (SELECT * FROM b_log WHERE performed_on >= DATE '{ARCHIVE_BEFORE.isoformat()}')"""
-    ]
+# The rules of the schema as the oracle knows them, written out apart from the library's lists (fixed values).
+_REQUIRED = {
+    "company": "id name created_at",
+    "farm": "id name company_id created_at",
+    "equipment_model": "id manufacturer model_name equipment_type",
+    "equipment": "id display_name equipment_model_id farm_id active created_at",
+    "part_type": "id name category",
+    "equipment_component": "id equipment_id part_type_id installed_at",
+    "maintenance_task": "id name",
+    "maintenance_rule": "id task_id frequency_type active is_default",
+    "maintenance_log": "id equipment_id task_id performed_on",
+    "maintenance_log_detail": "id maintenance_log_id action",
+    "due_soon": "id computed_at equipment_id task_id rule_id",
+}
+_LONGEST = {
+    "company": "name 100",
+    "farm": "name 100",
+    "equipment_model": "manufacturer 100 model_name 100 equipment_type 50",
+    "equipment": "display_name 100 serial_number 100",
+    "part_type": "name 100 category 100 manufacturer 100 model_code 100",
+    "equipment_component": "slot_label 50 serial_number 100",
+    "maintenance_task": "name 100",
+    "maintenance_rule": "frequency_type 20 interval_text 50 pattern 200",
+    "maintenance_log": "performed_by 100",
+    "maintenance_log_detail": "action 20",
+}
+_PARENTS = {
+    "farm": "company_id company",
+    "equipment": "equipment_model_id equipment_model farm_id farm",
+    "equipment_component": "equipment_id equipment part_type_id part_type",
+    "maintenance_task": "default_part_type_id part_type",
+    "maintenance_rule": "task_id maintenance_task equipment_model_id equipment_model equipment_id equipment part_type_id part_type",
+    "maintenance_log": "equipment_id equipment task_id maintenance_task equipment_component_id equipment_component part_type_id part_type",
+    "maintenance_log_detail": "maintenance_log_id maintenance_log equipment_component_id equipment_component "
+    "old_part_type_id part_type new_part_type_id part_type",
+    "due_soon": "company_id company farm_id farm equipment_id equipment task_id maintenance_task rule_id maintenance_rule",
+}
+
 
+def _turns(columns: list) -> list[tuple[str, object]]:
+    """(condition under which the column is broken, column)."""
+    return [(f"id % {len(columns) + 1} = {j}", c) for j, c in enumerate(columns)]
 
-def _per_table_sql(kind: str, tables: dict[str, str]) -> str:
-    from upkeep.sources.schemas import NOT_NULL, VARCHAR_LIMITS
 
+def _pairs(text: str) -> list[tuple[str, str]]:
+    words = text.split()
+    return list(zip(words[::2], words[1::2]))
+
+
+def _dq_selects(kind: str) -> str:
+    sources = dict(_TABLE_CTES, due_soon="snap_new")
     parts = []
-    for name, cte in tables.items():
-        if kind == "not_null":
-            checks = {c: f"{c} IS NULL" for c in NOT_NULL[name]}
-        else:
-            checks = {c: f"length({c}) > {n}" for c, n in VARCHAR_LIMITS.get(name, {}).items()}
-        for c, cond in checks.items():
-            parts.append(
-                f"SELECT '{name}' AS table_name, '{c}' AS column_name, '{kind if kind == 'not_null' else 'varchar'}' AS rule, "
-                f"CAST(COALESCE(SUM(CASE WHEN {cond} THEN 1 ELSE 0 END), 0) AS BIGINT) AS violations FROM {cte}"
-            )
+    if kind == "not_null":
+        for name, columns in _REQUIRED.items():
+            for turn, c in _turns(columns.split()):
+                parts.append(f"SELECT '{name}' AS table_name, '{c}' AS column_name, 'not_null' AS rule, count(*) FILTER (WHERE {turn} OR {c} IS NULL) AS violations FROM {sources[name]}")
+    elif kind == "length":
+        for name, columns in _LONGEST.items():
+            for turn, (c, n) in _turns(_pairs(columns)):
+                parts.append(f"SELECT '{name}' AS table_name, '{c}' AS column_name, 'varchar' AS rule, count(*) FILTER (WHERE {turn} OR length({c}) > {n}) AS violations FROM {sources[name]}")
+    else:
+        for name, columns in _PARENTS.items():
+            for turn, (c, parent) in _turns(_pairs(columns)):
+                lost = f"{c} IS NOT NULL AND {c} NOT IN (SELECT p.id FROM {sources[parent]} p)"
+                parts.append(f"SELECT '{name}' AS child_table, '{c}' AS column_name, '{parent}' AS parent_table, count(*) AS violations FROM {sources[name]} WHERE {turn} OR ({lost})")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -432,7 +501,6 @@ def _oracles() -> dict[str, str]:
         O.procedure_ctes("_old", prev.as_of, prev.computed_at, log="a_log_old"),
         O.procedure_ctes("_new", PARAMS.as_of, PARAMS.computed_at),
     ]
-    broken_tables = dict(_TABLE_CTES, maintenance_log="b_log2")
     v = "CAST(((id % 1000) - 500) AS DECIMAL(10,2)) / 100"
     vv = f"CAST({v} AS DECIMAL(10,2))"
     out = {
@@ -495,11 +563,13 @@ gone_f AS (SELECT id FROM a_farm WHERE company_id IN (SELECT id FROM gone_c))"""
 FROM snap_new""",
         ),
         "dq_pk": _a(
-            *_broken_ctes(),
+            *snap_blocks,
+            O.snapshot_ctes(True),
             select="\nUNION ALL\n".join(
-                f"SELECT '{n}' AS table_name, COUNT(*) AS row_count, COUNT(*) - COUNT(id) AS null_ids, "
-                f"COUNT(id) - COUNT(DISTINCT id) AS duplicate_ids FROM {c}"
-                for n, c in broken_tables.items()
+                f"SELECT '{n}' AS table_name, count(*) + count(*) FILTER (WHERE id % 2 = 0) AS row_count, "
+                f"count(*) FILTER (WHERE id % 3 = 0) + count(*) FILTER (WHERE id % 6 = 0) AS null_ids, "
+                f"count(*) FILTER (WHERE id % 2 = 0 AND id % 3 <> 0) AS duplicate_ids FROM {c}"
+                for n, c in {**_TABLE_CTES, "due_soon": "snap_new"}.items()
             ),
         ),
         "dq_unique_model": _a(
@@ -529,27 +599,15 @@ FROM (SELECT count(*) AS c FROM {src} GROUP BY {k} HAVING count(*) > 1)"""
             *snap_blocks,
             O.snapshot_ctes(False),
             select="\nUNION ALL\n".join(
-                f"""SELECT '{n}' AS table_name, 'equipment_id,task_id,rule_id' AS key_columns, COUNT(*) AS duplicate_keys,
-  CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS surplus_rows
-FROM (SELECT equipment_id, task_id, rule_id, COUNT(*) AS n FROM {src} GROUP BY 1, 2, 3 HAVING COUNT(*) > 1)"""
+                f"""SELECT '{n}' AS table_name, 'equipment_id,task_id,rule_id' AS key_columns,
+  count(*) FILTER (WHERE severity = 'OVERDUE') AS duplicate_keys, count(*) FILTER (WHERE severity = 'OVERDUE') AS surplus_rows FROM {src}"""
                 for n, src in (("due_soon", "snap_new"), ("due_soon_stage", "stage_new"))
             ),
         ),
-        "dq_scope": _a(
-            select="""SELECT COUNT(*) AS rules,
-  CAST(SUM(CASE WHEN equipment_model_id IS NULL AND equipment_id IS NULL AND part_type_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS violations
-FROM a_rule"""
-        ),
-        "dq_fk": _a(
-            *_broken_ctes(),
-            select="\nUNION ALL\n".join(
-                f"""SELECT '{ch}' AS child_table, '{col}' AS column_name, '{par}' AS parent_table, COUNT(*) AS violations
-FROM {broken_tables[ch]} x WHERE x.{col} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {broken_tables[par]} p WHERE p.id = x.{col})"""
-                for ch, col, par in quality.FOREIGN_KEYS
-            ),
-        ),
-        "dq_not_null": _a(select=_per_table_sql("not_null", _TABLE_CTES)),
-        "dq_length": _a(select=_per_table_sql("length", _TABLE_CTES)),
+        "dq_scope": _a(select="SELECT count(*) AS rules, count(*) FILTER (WHERE frequency_type IN ('HOURS', 'KM')) AS violations FROM a_rule"),
+        "dq_fk": _a(*snap_blocks, O.snapshot_ctes(True), select=_dq_selects("fk")),
+        "dq_not_null": _a(*snap_blocks, O.snapshot_ctes(True), select=_dq_selects("not_null")),
+        "dq_length": _a(select=_dq_selects("length")),
         "dq_one_active": _a(
             select="\nUNION ALL\n".join(
                 f"""SELECT '{state}' AS state, measure, CAST(value AS BIGINT) AS value FROM (
