@@ -8,14 +8,14 @@ compared in full:
 
 1. first order (by hash), prefixes of ``DEPTH_PERCENT`` of ``p(n)``: a document is done unless it has as many shingles in
    common with others there as a link needs; common passages are too few for that.
-2. first order, ``p(n)`` shingles: those that stand in more than one remaining document are the postings that give
-   candidate pairs.
-3. all orders (by three hashes), pair by pair: the prefixes must meet under each; pairs beyond the first of a document must
-   also share as many shingles in the prefixes of 1. as a link needs.
-
-Exact copies are one class from the start. Within a posting not all pairs are formed: each set is first compared with
-one leader, links become components, and only pairs across components that have enough shingles in common are formed
-afterwards, so a group of thousands of near copies costs about one comparison per member, and no link between different
+2. second order (rarest first among the documents left, all their shingles counted), ``p(n)`` shingles: a document whose
+   own shingles fill its prefix is done; prefix shingles of more than one document are the postings that give pairs, and a
+   pair must have room for enough common shingles after the first.
+3. all hash orders, pair by pair: the prefixes must meet under each.
+
+Exact copies are one class from the start. Within a posting not all pairs are formed: each set is first compared with one
+leader, ``STARS`` times with other leaders, links become components, and only pairs across components are formed
+afterwards, so a group of thousands of near copies costs a few comparisons per member, and no link between different
 components is lost.
 
 Shingles are compared by 64-bit hashes. Rows with a null doc_id are returned with a null component. Rows repeating a
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from upkeep.llm.common import LOWER, NON_SPACE_BYTE, Chunk, Hasher, chunks, list_array, mix, release, shingle_hashes, written
@@ -38,6 +38,7 @@ K = 5
 PERCENT = 80
 DEPTH_PERCENT = 150
 ROWS_PER_BLOCK = 50_000_000
+STARS = 3
 MEMBERS_PER_TASK = 128
 # the global orders: by hash, and by two other hashes of it
 ORDERS = (None, np.uint64(0x51ED270B9F1E35A5), np.uint64(0xA24BAED4963EE407))
@@ -166,6 +167,24 @@ def _verify(percent: int):
     return run
 
 
+def _explode_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, hashes) -> one row per shingle: doc, n, token."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, 256):
+            part = batch.slice(first, 256)
+            sets = [np.frombuffer(h, dtype=np.int64) for h in part.column(1).to_pylist()]
+            n = np.array([len(x) for x in sets], dtype=np.int64)
+            docs = np.repeat(part.column(0).to_numpy(), n)
+            token = np.concatenate(sets) if sets else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(np.repeat(n, n)), pa.array(token)], ["doc", "n", "token"])
+
+
+def _labelled(postings: DataFrame, labels: DataFrame) -> DataFrame:
+    """Postings with the component of each document (itself where it has no link yet)."""
+    named = labels.withColumnRenamed("node", "doc")
+    return postings.join(named, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
+
+
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that link.
 
@@ -207,47 +226,62 @@ def jaccard_components(docs: DataFrame, words: int = K, percent: int = PERCENT)
     smallest = f"({percent} * n + 99) div 100"
     enough = F.expr(f"{_deep_sql(smallest, percent)} - {_prefix_sql(smallest, percent)} + 1")
     alive = shared.groupBy("doc", "n").agg(F.count("*").alias("c")).where(F.col("c") >= enough).select("doc", "n")
-    alive = written(alive, "alive")
-    near = shared.where(F.col("at") < F.expr(_prefix_sql("n", percent))).join(alive, ["doc", "n"])
-    near = written(near.select("doc", "n", "token"), "near-places")
-    leaders = near.groupBy("token").agg(F.count("*").alias("c"), F.min("doc").alias("leader")).where("c > 1").drop("c")
-    postings = written(near.join(written(leaders, "leaders"), "token"), "postings")
+    alive = alive.hint("shuffle_hash")
+    whole = rows.join(alive.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi")
+    whole = written(whole.mapInArrow(_scan_sets(words), "doc bigint, hashes binary"), "whole-sets")
     release(spark)
 
-    compatible = F.expr(f"100 * least(n, n2) >= {percent} * greatest(n, n2)")
-    # each set with the leader it shares most prefix shingles with
-    met = postings.where("doc != leader").groupBy("doc", "leader").agg(F.count("*").alias("c"))
-    first = met.groupBy("doc").agg(F.max_by("leader", F.struct(F.col("c"), -F.col("leader"))).alias("a"))
-    first = written(first.select("a", F.col("doc").alias("b")), "pairs")
-    wanted = postings.select(F.col("doc").alias("doc_id")).distinct().hint("shuffle_hash")
-    whole = written(rows.join(wanted, "doc_id", "left_semi").mapInArrow(_scan_sets(words), "doc bigint, hashes binary"), "whole-sets")
+    # second order, rarest first among these documents: shingles that one document alone has come first, so only documents
+    # with few of them reach any that they share
+    every = whole.mapInArrow(_explode_sets, "doc bigint, n bigint, token bigint")
+    counts = written(every.groupBy("token").agg(F.count("*").alias("c")).where("c > 1"), "frequencies")
+    places = written(every.join(counts, "token"), "shared-tokens")
     release(spark)
-    links = written(_links(first, whole, percent), "links")
-    labels = connected_components(links)
-
-    # what is left: pairs of different components with enough shingles in common in the deep prefixes. The set of the
-    # smaller component leads; leaders are taken in as many blocks as the postings need, so no block is large
-    deep = shared.join(alive, ["doc", "n"], "left_semi").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
-    deep = deep.select("doc", "n", "token", F.coalesce("label", "doc").alias("label"))
-    sizes = written(deep.select("doc", "label").distinct().groupBy("label").agg(F.count("*").alias("size")), "sizes")
-    deep = written(deep.join(sizes, "label"), "deep-places")
-    per_label = deep.groupBy("token", "label").agg(F.count("*").alias("m"))
+    few = places.groupBy("doc", "n").agg(F.count("*").alias("m")).withColumn("room", F.expr(f"{_prefix_sql('n', percent)} - (n - m)"))
+    few = written(few.where("room > 0"), "few-own")
+    rarest = Window.partitionBy("doc", "n").orderBy("c", "token")
+    near = places.join(few, ["doc", "n"]).withColumn("r", F.row_number().over(rarest)).where(F.col("r") <= F.col("room"))
+    # at: the place in the order, after the document's own shingles
+    near = written(near.select("doc", "n", "token", (F.col("n") - F.col("m") + F.col("r") - 1).alias("at")), "prefixes")
+    again = written(near.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token"), "met")
+    postings = written(near.join(again, "token"), "postings")
+    release(spark)
+
+    # if a shingle is the first that two sets share, they share no more than what either has from there on
+    possible = F.expr(f"{100 + percent} * least(n - at, n2 - at2) >= {percent} * (n + n2)")
+    labels = spark.createDataFrame([], "node bigint, label bigint")
+    links = spark.createDataFrame([], "a bigint, b bigint")
+    for turn in range(STARS):
+        # in each posting one set leads, another one each time; a set meets the leader it shares most postings with
+        now = written(_labelled(postings, labels), "now")
+        order = F.xxhash64("doc", F.lit(turn)) if turn else F.col("doc")
+        lead = now.groupBy("token").agg(F.min_by(F.struct("doc", "label", "n", "at"), order).alias("lead"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+        lead = written(lead.where("lo != hi").select("token", "lead"), "leaders")
+        met = now.join(lead, "token").where("label != lead.label").withColumns({"n2": F.col("lead.n"), "at2": F.col("lead.at")})
+        met = met.where(possible).groupBy("doc", F.col("lead.doc").alias("a")).agg(F.count("*").alias("c"))
+        pairs = met.groupBy("doc").agg(F.max_by("a", F.struct(F.col("c"), -F.col("a"))).alias("a"))
+        pairs = written(pairs.select("a", F.col("doc").alias("b")), "pairs")
+        found = written(_links(pairs, whole, percent), "links")
+        links = links.unionByName(found)
+        labels = connected_components(links)
+
+    # what is left: pairs of different components in a posting. The set of the smaller component leads; leaders are taken
+    # in as many blocks as the postings need, so no block is large
+    now = written(_labelled(postings, labels), "now")
+    sizes = written(now.select("doc", "label").distinct().groupBy("label").agg(F.count("*").alias("size")), "sizes")
+    per_label = now.groupBy("token", "label").agg(F.count("*").alias("m"))
     mixed = per_label.groupBy("token").agg(F.sum("m").alias("s"), F.max("m").alias("m")).where("s > m")
-    mixed = written(mixed.withColumn("rows", F.col("s") * (F.col("s") - F.col("m"))), "mixed")
+    mixed = written(mixed.select("token", (F.col("s") * (F.col("s") - F.col("m"))).alias("rows")), "mixed")
     blocks = -(-(mixed.agg(F.sum("rows")).first()[0] or 0) // ROWS_PER_BLOCK)
-    deep = written(deep.join(mixed.select("token"), "token"), "mixed-places")
-    release(spark)
-    k = f"least({_deep_sql('n', percent)} - {_prefix_sql('n', percent)}, {_deep_sql('n2', percent)} - {_prefix_sql('n2', percent)})"
+    rest = written(now.join(mixed.select("token"), "token").join(sizes, "label"), "rest")
     for block in range(blocks):
-        now = deep.join(labels.withColumnsRenamed({"node": "doc", "label": "now"}), "doc", "left").withColumn("now", F.coalesce("now", "doc"))
-        now = written(now, "now")
+        now = written(_labelled(rest.withColumnRenamed("label", "first_label"), labels), "now")
         leads = now.where(F.pmod(F.xxhash64("doc"), F.lit(blocks)) == F.lit(block)).select(
-            "token", *(F.col(c).alias(f"{c}2") for c in ("doc", "n", "label", "size", "now"))
+            "token", *(F.col(c).alias(f"{c}2") for c in ("doc", "n", "at", "label", "first_label", "size"))
         )
-        leading = F.struct("size2", "label2", "doc2") < F.struct("size", "label", "doc")
-        pairs = now.join(leads, "token").where(leading & (F.col("now") != F.col("now2"))).where(compatible)
-        pairs = pairs.groupBy(F.col("doc2").alias("a"), F.col("doc").alias("b"), "n", "n2").agg(F.count("*").alias("c"))
-        pairs = written(pairs.where(F.col("c") > F.expr(k)).select("a", "b").distinct(), "pairs")
+        leading = F.struct("size2", "first_label2", "doc2") < F.struct("size", "first_label", "doc")
+        pairs = now.join(leads, "token").where(leading & (F.col("label") != F.col("label2"))).where(possible)
+        pairs = written(pairs.select(F.col("doc2").alias("a"), F.col("doc").alias("b")).distinct(), "pairs")
         found = written(_links(pairs, whole, percent), "links")
         if found.limit(1).count():
             links = links.unionByName(found)
