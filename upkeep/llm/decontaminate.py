@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upkeep.llm.common import LOWER, WORD_BYTE, Chunk, Hasher, chunks, list_array, mix, shingle_hashes, written
+from upkeep.llm.common import LOWER, WORD_BYTE, Chunk, Hasher, chunks, mix, shingle_hashes, written
 
 SPAN = 10
 GRAM = 5

@@ -215,7 +215,7 @@ def jaccard_components(docs: DataFrame, words: int = K, percent: int = PERCENT)
     # shingles that stand in the deep prefixes of more than one distinct set; written, as are other sides of joins on
     # hot keys: a join that deals both sides itself can split them
     token = sets.join(reps, F.col("doc_id") == F.col("rep"), "left_semi").select(
-        F.col("doc_id").alias("doc"), "n", F.posexplode("prefix").alias("at", "token")
+        F.col("doc_id").alias("doc"), "n", F.explode("prefix").alias("token")
     )
     again = token.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
     again = written(again, "shared-shingles")
