@@ -1,6 +1,8 @@
 """Nearest neighbours against brute force."""
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from upkeep.llm import neighbours, queries
@@ -82,3 +84,38 @@ def test_graph_reaches_every_centroid():
     near, _ = graph.search(neighbours.unit(points), 8)
     want = np.argsort(-(neighbours.unit(points) @ graph.centroids.T), axis=1)[:, :8]
     assert np.mean([len(set(a) & set(b)) / 8 for a, b in zip(near.tolist(), want.tolist())]) > 0.9
+
+
+def test_recall_where_few_lists_are_read(spark, tmp_path, monkeypatch):
+    """400,000 vectors without any structure: 1,562 lists, of which a fixed limit of 64 holds too few of the neighbours."""
+    n, every = 400_000, 500
+    x = np.random.default_rng(11).normal(size=(n, 64)).astype(np.float32)
+    for i in range(8):
+        part = slice(i * n // 8, (i + 1) * n // 8)
+        column = pa.ListArray.from_arrays(pa.array(np.arange(0, n // 8 * 64 + 1, 64, dtype=np.int32)), pa.array(x[part].ravel()))
+        pq.write_table(pa.table({"vec_id": np.arange(n)[part], "embedding": column}), tmp_path / f"part-{i}.parquet")
+    limits = []
+    place = neighbours._place
+    monkeypatch.setattr(neighbours, "_place", lambda graph, wanted, *a: limits.append((wanted, len(graph.value.centroids))) or place(graph, wanted, *a))
+    found = got(neighbours.nearest(spark.read.parquet(str(tmp_path)), every=every))
+    u = neighbours.unit(x.astype(np.float64))
+    score = u[::every] @ u.T
+    score[np.arange(n // every), np.arange(0, n, every)] = -np.inf
+    want = {i * every: [(int(j), 0.0) for j in np.argpartition(-s, 5)[:5]] for i, s in enumerate(score)}
+    read, lists = limits[-1]
+    assert lists == 1562 and read < lists / 5
+    assert recall(found, want) >= 0.92
+
+
+def test_limit_rises_to_all_lists():
+    """Neighbours in the farthest lists: the limit rises to all lists and the ratio is given up."""
+    points = np.random.default_rng(2).normal(size=(4000, 16))
+    graph = neighbours.fit_graph(points, 200)
+    queries = points[:20]
+    far = (neighbours.unit(queries) @ graph.centroids.T).argmin(axis=1)
+    near = (neighbours.unit(queries) @ graph.centroids.T).argmax(axis=1)
+    limit, ratio = neighbours.enough(graph, queries, [(i, [int(x)]) for i, x in enumerate(far)], 64)
+    assert limit > 190 and ratio == float("inf")
+    read = neighbours.lists_of(graph, queries, 200, neighbours.LEAST_PROBES, float("inf"))
+    assert all(len(set(x)) == 200 for x in read)
+    assert neighbours.enough(graph, queries, [(i, [int(x)]) for i, x in enumerate(near)], 64) == (64, neighbours.PROBE_RATIO)

@@ -7,7 +7,10 @@
 2. Every vector is indexed: a best-first search of the graph finds its nearest centroids; besides the nearest list it is
    put into others up to ``COPIES`` whose distance is within ``(1 + COPY_RATIO)`` of the nearest (boundary vectors).
 3. A query's lists come from the same graph, pruned by distance ratio (``PROBE_RATIO``), at least ``LEAST_PROBES`` and at
-   most ``PROBES``. Lists are dealt to blocks of about ``BLOCK`` vectors, so a list of any size is no single task.
+   most as many as this table needs: for ``TRIALS`` queries the true neighbours are found in the whole table, and from
+   ``PROBES`` on the limit rises until ``RECALL`` of them are in a list that is read. Where the ratio prunes too much for
+   that, it is given up, so in the end all lists are read. Lists are dealt to blocks of about ``BLOCK`` vectors, so a list
+   of any size is no single task.
 4. Blocks are scored exactly, in double precision, on the original vectors; the best are merged per query.
 
 Equal vectors are searched once: of those only the ``k + 1`` smallest ids can be among the ``k`` nearest, as ties go to
@@ -36,6 +39,8 @@ COPY_RATIO = 0.15
 PROBES = 64
 LEAST_PROBES = 16
 PROBE_RATIO = 0.35
+TRIALS = 256
+RECALL = 0.95
 BLOCK = 4096
 LINKS = 12
 
@@ -50,6 +55,7 @@ class CentroidGraph:
         """Nearest centroids and their distances, by best-first search of all vectors side by side."""
         n, c = len(vectors), len(self.centroids)
         beam = min(c, max(wanted + wanted // 2, 24))
+        step = max(1, beam // 96)  # centroids opened at once: a wide beam takes no more rounds
         rows = np.arange(n)[:, None]
         seen = np.zeros((n, c), dtype=bool)
         ids = np.broadcast_to(self.entries, (n, len(self.entries))).copy()
@@ -58,12 +64,15 @@ class CentroidGraph:
         done = np.zeros(ids.shape, dtype=bool)
         while True:
             open_score = np.where(done, -np.inf, score)
-            best = open_score.argmax(axis=1)
-            active = np.flatnonzero(open_score[np.arange(n), best] > -np.inf)
+            most = min(step, open_score.shape[1])
+            best = np.argpartition(-open_score, most - 1, axis=1)[:, :most] if most > 1 else open_score.argmax(axis=1)[:, None]
+            opened = open_score[rows, best] > -np.inf
+            active = np.flatnonzero(opened.any(axis=1))
             if not len(active):
                 break
-            done[active, best[active]] = True
-            near = self.links[ids[active, best[active]]]
+            done[active[:, None], best[active]] = True
+            near = self.links[ids[active[:, None], best[active]]]
+            near = np.where(opened[active][:, :, None], near, self.entries[0]).reshape(len(active), -1)  # an entry is seen
             fresh = ~seen[active[:, None], near]
             seen[active[:, None], near] = True
             # a centroid linked twice is fresh twice in this step only; the second is dropped
@@ -146,6 +155,13 @@ def _matrix(column) -> np.ndarray:
     return np.ascontiguousarray(flat.reshape(len(array), -1), dtype=np.float64)
 
 
+def lists_of(graph: CentroidGraph, vectors: np.ndarray, wanted: int, least: int, ratio: float) -> list[list[int]]:
+    ids, distance = graph.search(unit(vectors), wanted)
+    keep = (distance <= (1 + ratio) * distance[:, :1]) | (np.arange(ids.shape[1]) < least)
+    keep &= ids >= 0
+    return [row[k].tolist() for row, k in zip(ids, keep)]
+
+
 def _place(graph, wanted: int, least: int, ratio: float):
     """(..., embedding) -> the same with its lists: those within the distance ratio, ``least`` at least."""
 
@@ -153,10 +169,7 @@ def _place(graph, wanted: int, least: int, ratio: float):
         for batch in batches:
             for first in range(0, batch.num_rows, 1024):
                 part = batch.slice(first, 1024)
-                ids, distance = graph.value.search(unit(_matrix(part.column(part.num_columns - 1))), wanted)
-                keep = (distance <= (1 + ratio) * distance[:, :1]) | (np.arange(ids.shape[1]) < least)
-                keep &= ids >= 0
-                lists = [row[k].tolist() for row, k in zip(ids, keep)]
+                lists = lists_of(graph.value, _matrix(part.column(part.num_columns - 1)), wanted, least, ratio)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lists, pa.list_(pa.int32()))], [*part.schema.names, "lists"])
 
     return run
@@ -191,8 +204,56 @@ def _score(k: int):
     return run
 
 
+def _true(graph, trial, k: int):
+    """(h, ids, embedding) -> of a partition, the ``k`` nearest other vectors of each trial query and the lists they are in."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, queries = trial.value
+        q = unit(queries)
+        rows = np.arange(len(q))[:, None]
+        score = np.full((len(q), k), -np.inf)
+        found = np.zeros((len(q), k, q.shape[1]))
+        for batch in batches:
+            for first in range(0, batch.num_rows, 8192):
+                part = batch.slice(first, 8192)
+                vectors = _matrix(part.column(2))
+                near = q @ unit(vectors).T
+                near[hashes[:, None] == part.column(0).to_numpy(zero_copy_only=False)] = -np.inf
+                top = np.argpartition(-near, min(k, len(vectors)) - 1, axis=1)[:, :k]
+                every = np.concatenate([score, near[rows, top]], axis=1)
+                keep = np.argsort(-every, axis=1, kind="stable")[:, :k]
+                found = np.concatenate([found, vectors[top]], axis=1)[rows, keep]
+                score = every[rows, keep]
+        own, at = np.nonzero(score > -np.inf)
+        for first in range(0, len(own), 1024):
+            part = slice(first, first + 1024)
+            lists = lists_of(graph.value, found[own[part], at[part]], COPIES, 1, COPY_RATIO)
+            columns = [pa.array(own[part], pa.int32()), pa.array(score[own[part], at[part]]), pa.array(lists, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, ["t", "score", "lists"])
+
+    return run
+
+
+def enough(graph: CentroidGraph, queries: np.ndarray, true: list[tuple[int, list[int]]], probes: int) -> tuple[int, float]:
+    """The first limit from ``probes`` on, and the ratio, by which ``RECALL`` of ``true`` (query, lists) are in a list read."""
+    lists = len(graph.centroids)
+    for ratio in (PROBE_RATIO, float("inf")):
+        wanted = min(probes, lists)
+        while True:
+            read = [set(x) for x in lists_of(graph, queries, wanted, LEAST_PROBES, ratio)]
+            if sum(not read[t].isdisjoint(x) for t, x in true) >= RECALL * len(true):
+                return wanted, ratio
+            if wanted == lists:
+                break
+            wanted = min(lists, wanted + max(1, wanted // 4))
+    return lists, float("inf")
+
+
 def nearest(vectors: DataFrame, every: int = 50, k: int = 5, probes: int = PROBES) -> DataFrame:
-    """The ``k`` nearest rows of each row whose vec_id is divisible by ``every``: query_id, rank, vec_id, score."""
+    """The ``k`` nearest rows of each row whose vec_id is divisible by ``every``: query_id, rank, vec_id, score.
+
+    ``probes`` is the least limit of lists per query; it rises with what the table needs (``enough``).
+    """
     spark = vectors.sparkSession
     rows = usable(vectors).withColumn("h", F.xxhash64("embedding"))
     smallest = Window.partitionBy("h", "embedding").orderBy("vec_id")
@@ -212,7 +273,17 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, probes: int = PROBE
     blocks = index.groupBy("list").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
     dealt = index.join(blocks, "list").select("list", F.pmod("h", "blocks").cast("int").alias("block"), "ids", "embedding")
     one = asked.groupBy("h", "embedding").agg(F.min("vec_id").alias("q")).select("q", F.col("h").alias("qh"), "embedding")
-    probed = one.mapInArrow(_place(graph, probes, LEAST_PROBES, PROBE_RATIO), "q bigint, qh bigint, embedding array<double>, lists array<int>")
+    limit, ratio = probes, PROBE_RATIO
+    if len(graph.value.centroids) > LEAST_PROBES:  # else all lists are read
+        trial = one.orderBy(F.xxhash64("qh"), "q").limit(TRIALS).select("qh", "embedding").toArrow()
+        if trial.num_rows:
+            queries = _matrix(trial.column(1))
+            asking = spark.sparkContext.broadcast((trial.column(0).to_numpy(), queries))
+            true = classes.mapInArrow(_true(graph, asking, k), "t int, score double, lists array<int>")
+            closest = Window.partitionBy("t").orderBy(F.desc("score"))
+            true = true.withColumn("_r", F.row_number().over(closest)).where(F.col("_r") <= F.lit(k)).select("t", "lists").collect()
+            limit, ratio = enough(graph.value, queries, [(t, x) for t, x in true], probes)
+    probed = one.mapInArrow(_place(graph, limit, LEAST_PROBES, ratio), "q bigint, qh bigint, embedding array<double>, lists array<int>")
     probed = probed.select("q", "qh", "embedding", F.explode("lists").alias("list")).join(blocks, "list")
     probed = probed.select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "q", "qh", "embedding")
     found = (
