@@ -80,3 +80,13 @@ def test_odd(spark, odd_documents, no_documents):
     assert clean.count() == 10 and clean.columns == odd_documents.columns
     kept = decontaminate.decontaminate(odd_documents, items)
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [1, 2, 3, 4, 5]
+
+
+def test_rows_are_decided_one_by_one(spark):
+    """Of rows without an id and of a repeated id only those with a window go; the clean ones stay."""
+    items = spark.createDataFrame([(1, "word")], "item_id bigint, text string")
+    rows = [(None, "word"), (None, None), (None, "clean one"), (None, "clean one"), (5, "a word here"), (5, "a word here"), (5, "clean two"), (6, "clean three")]
+    kept = decontaminate.decontaminate(spark.createDataFrame(rows, "doc_id bigint, text string"), items)
+    want = [r for r in rows if "word" not in (r[1] or "")]
+    key = lambda r: (r[0] or 0, r[1] or "")
+    assert sorted([tuple(r) for r in kept.collect()], key=key) == sorted(want, key=key)

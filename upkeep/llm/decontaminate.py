@@ -148,7 +148,7 @@ def benchmark_index(benchmark: DataFrame) -> DataFrame:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_words, n_hit, n_items, items (sorted item ids), spans (hit word ranges)."""
+    """Per row of ``docs``: doc_id, text_hash, n_words, n_hit, n_items, items (sorted item ids), spans (hit word ranges)."""
     spark = docs.sparkSession
     index = written(benchmark_index(benchmark), "bench-index")
     short_lengths = [r[0] for r in index.where("short > 0").select("short").distinct().orderBy("short").collect()]
@@ -197,6 +197,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     same = (base["doc_id"].eqNullSafe(per_doc["doc_id"])) & (base["text_hash"] == per_doc["text_hash"])
     return base.join(per_doc, same, "left").select(
         base["doc_id"],
+        base["text_hash"],
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n_items"),
@@ -207,6 +208,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text contains no window of ``benchmark``; all columns are kept."""
-    dirty = contamination(docs.select("doc_id", "text"), benchmark).where("n_hit > 0").select("doc_id").distinct()
-    kept = docs.join(dirty.withColumnRenamed("doc_id", "_dirty"), F.col("doc_id").cast("bigint").eqNullSafe(F.col("_dirty")), "left_anti")
-    return kept
+    found = contamination(docs.select("doc_id", "text"), benchmark).where("n_hit > 0")
+    dirty = found.select(F.col("doc_id").alias("_dirty"), F.col("text_hash").alias("_dirty_hash")).distinct()
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_dirty")) & (F.xxhash64("text") == F.col("_dirty_hash"))
+    return docs.join(dirty, same, "left_anti")
