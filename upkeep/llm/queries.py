@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upkeep.llm import decontaminate, language, licenses, neighbours, ngram_join, packing, quality, span_dedup, token_counts, url_filter
+from upkeep.llm import (
+    decontaminate,
+    language,
+    licenses,
+    neighbours,
+    ngram_join,
+    packing,
+    periodic_runs,
+    quality,
+    ranked_search,
+    span_dedup,
+    token_counts,
+    toxicity,
+    url_filter,
+)
 from upkeep.llm.common import read_table
 
 
@@ -69,6 +83,67 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, read_table(spark, sf_dir, "labels"))
+    scored = toxicity.toxicity_scores(docs, model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = periodic_runs.periodic_runs(docs, order=periodic_runs.echoing_tail)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        "n_runs",
+        "start",
+        "length",
+        "period",
+        "exponent_milli",
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+RANKED_SEARCH_SQL = """
+with words as (
+  select row_number() over () as row_id, doc_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as terms
+  from documents
+), sized as (
+  select row_id, doc_id, cast(len(terms) as bigint) as n, terms from words where len(terms) > 0
+), corpus as (
+  select count(*) as documents, cast(sum(n) as bigint) as total from sized
+), asked as (
+  select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term
+  from benchmark where item_id is not null
+), places as (
+  select row_id, term, count(*) as tf
+  from (select row_id, unnest(terms) as term from sized) where term in (select term from asked) group by row_id, term
+), weights as (
+  select term, cast(floor(1000 * ln((2 * documents + 2)::double / (2 * count(*) + 1)::double)) as bigint) as w
+  from places, corpus group by term, documents
+), found as (
+  select a.item_id, s.doc_id, s.row_id,
+    cast(sum(w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (10 + (90 * s.n * c.documents) // c.total)))) as bigint) as score
+  from asked a join places p using (term) join weights w using (term) join sized s using (row_id), corpus c
+  group by a.item_id, s.doc_id, s.row_id
+)
+select item_id, cast(rank as integer) as rank, doc_id, score
+from (
+  select *, row_number() over (partition by item_id order by score desc, doc_id asc nulls last, row_id) as rank
+  from found where score > 0
+)
+where rank <= 10
+"""
+
 URL_FILTER_SQL = """
 with parts as (
   select page_id,
@@ -114,8 +189,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language": op8_language,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_token_counts": op10_token_counts,
+        "op11_toxicity": op11_toxicity,
+        "op12_ranked_search": op12_ranked_search,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filter": URL_FILTER_SQL}
+    return {"op5_url_filter": URL_FILTER_SQL, "op12_ranked_search": RANKED_SEARCH_SQL}
