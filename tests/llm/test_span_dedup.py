@@ -35,12 +35,12 @@ def test_query(spark, sf_dir, documents):
     assert got(queries.op9_suffix_dedup(spark, sf_dir)) == sorted(want)
 
 
-@pytest.mark.parametrize("hot", [span_dedup.HOT, 1])
-@pytest.mark.parametrize("seed", range(2))
-def test_random(spark, monkeypatch, seed, hot):
-    """Edited copies, moved passages, runs of one byte and repeats inside a document, also with every anchor hot."""
-    monkeypatch.setattr(span_dedup, "HOT", hot)
-    monkeypatch.setattr(span_dedup, "STRINGS_PER_BLOCK", 50)
+@pytest.mark.parametrize("strings", [50, 8, 1])
+def test_random(spark, monkeypatch, strings):
+    """Edited copies, moved passages, runs of one byte and repeats inside a document, also with parts too large for a block
+    down to the last halving."""
+    seed = strings
+    monkeypatch.setattr(span_dedup, "STRINGS_PER_BLOCK", strings)
     random = np.random.default_rng(seed)
     make = lambda n: "".join(random.choice(list("abñ "), n))
     base = [make(int(random.integers(0, 300))) for _ in range(8)]
@@ -63,6 +63,23 @@ def test_odd(spark, odd_documents, no_documents):
     assert span_dedup.span_report(no_documents).collect() == []
 
 
+def test_many_texts_under_one_id(spark):
+    """Texts of different lengths under one id and under none: clean ones stay whole, the shared passage is cut from all
+    but the first."""
+    random = np.random.default_rng(7)
+    passage = "".join(random.choice(list("abcdefgh "), 140))
+    own = ["".join(random.choice(list("ijklmnopqrst "), 100 + i % 60)) for i in range(5600)]
+    texts = [t + passage if i % 14 == 0 else t for i, t in enumerate(own)]
+    rows = [(9 if i < 2800 else None, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    order = sorted(df.selectExpr("doc_id", "xxhash64(text) as h", "text").collect(), key=lambda r: (r.doc_id is None, r.h))
+    want = brute([(r.doc_id, r.text) for r in order], 100)
+    assert sum(r[2] > 0 for r in want) == 399
+    key = lambda r: (r[0] is None, *r[1:])
+    rows = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in span_dedup.span_report(df).collect()]
+    assert sorted(rows, key=key) == sorted(want, key=key)
+
+
 def test_order_of_documents_without_id_and_repeated_ids(spark):
     long = "the quick brown fox jumps over the lazy dog and runs away " * 3
     rows = [(5, long + "a"), (None, long), (None, long), (3, "zz" + long), (5, "other text " + long)]

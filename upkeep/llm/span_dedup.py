@@ -6,18 +6,19 @@ earlier in the same document). Strings never cross documents and are judged on t
 1. The least hash of ``GRAM`` consecutive bytes in a span is its anchor (the leftmost of equal ones); equal spans have
    equal anchors at the same place, so a repeat can only be found between segments (runs of span starts) with the same
    anchor. Segments whose anchor stands nowhere else are done.
-2. Equal segments are grouped by hash: all but the first are repeats as a whole.
+2. Equal segments are found by two 64-bit hashes, of the anchor and of all bytes: all but the first are repeats as a whole.
 3. Where one anchor has different segments, the first of each is fetched, and the segments, aligned at their anchors,
    are put in suffix order column by column from the right: each round inserts one symbol of every segment, moves the
    segments stably by it (the collection's Burrows-Wheeler step) and updates the common prefix lengths between
    neighbours. Neighbours with ``SPAN`` common symbols share the span that starts in this column; all but the earliest
    are repeats. Blocks of segments are independent, so the collection is never in one place.
-4. An anchor with more than ``HOT`` different segments is too much for one block: its spans are grouped one by one, by
-   hash, with pre-aggregated minima.
+4. A collection too large for a block goes through rounds of written files first: the spans are halved by their distance to
+   the anchor, and each half is parted by the columns that all its spans have, so equal spans stay together. Smaller parts
+   join the blocks; after the last halving a part is one string, whose earliest place is an aggregate over its bytes.
 
-Null and empty texts have no bytes and nothing is removed. Documents without an id stand after all others, in the order
-of a text hash; rows repeating doc_id and text are one document and have the same result; rows that repeat a doc_id with
-another text stand in the order of a text hash. Extra columns are ignored.
+Null and empty texts have no bytes and nothing is removed. Documents without an id stand after all others; rows repeating
+doc_id and text are one document and have the same result; rows that repeat a doc_id (or have none) with another text
+stand in the order of a 64-bit text hash, which with the doc_id names them. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,10 +37,8 @@ from upkeep.llm.common import Chunk, Hasher, chunks, release, written
 SPAN = 100
 GRAM = 20
 STRINGS_PER_BLOCK = 16_384
-HOT = 65_536
-# a segment in one long: 17 bits of the text's hash, 32 bits start, 7 bits span starts - 1, 7 bits anchor offset
+# a segment in one long: 32 bits start, 7 bits span starts - 1, 7 bits anchor offset
 _START, _COUNT = 14, 7
-_HASH = 46
 
 
 def segments(chunk: Chunk, hasher: Hasher, span: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -89,7 +88,7 @@ def _anchors(span: int, gram: int):
 
 
 def _segments(span: int, gram: int):
-    """(key, text hash, text) -> anchor hash, hash of the segment, key, segment as one long."""
+    """(key, text hash, text) -> anchor hash, hash of the segment, key, text hash, segment as one long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
@@ -99,36 +98,45 @@ def _segments(span: int, gram: int):
                 at, count, offset, fp, whole = segments(chunk, hasher, span, gram)
                 row = np.searchsorted(chunk.bounds, at, side="right") - 1
                 own = chunk.first + row
-                packed = (text_hash[own] << _HASH) | ((at - chunk.bounds[row]) << _START) | ((count - 1) << _COUNT) | offset
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(fp.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(keys[own]), pa.array(packed)],
-                    ["fp", "whole", "key", "packed"],
-                )
+                packed = ((at - chunk.bounds[row]) << _START) | ((count - 1) << _COUNT) | offset
+                columns = (fp.view(np.int64), whole.view(np.int64), keys[own], text_hash[own], packed)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["fp", "whole", "key", "text_hash", "packed"])
 
     return run
 
 
-def unpack(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text hash, start, number of span starts and anchor offset."""
+def unpack(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, number of span starts and anchor offset."""
     mask = (1 << _COUNT) - 1
-    return packed >> _HASH, (packed >> _START) & 0xFFFFFFFF, ((packed >> _COUNT) & mask) + 1, packed & mask
+    return packed >> _START, ((packed >> _COUNT) & mask) + 1, packed & mask
+
+
+STRINGS = "fp bigint, key bigint, text_hash bigint, anchor bigint, lo int, hi int, bytes binary"
 
 
 def _fetch(span: int):
-    """(text, wanted segments of the text) -> the segments with their bytes."""
+    """(key, text hash, text, wanted segments of the text) -> the segments as ``STRINGS``: place of the anchor, distances
+    to it of the last and (plus 1) the first span, and the bytes of the spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key, text, wanted = batch.columns
+            key, text_hash, text, wanted = batch.columns
             for i in range(batch.num_rows):
                 raw = text[i].as_buffer()
                 items = wanted[i].values
-                packed = items.field("packed").to_numpy()
-                _, start, count, _ = unpack(packed)
+                start, count, offset = unpack(items.field("packed").to_numpy())
                 data = [raw.slice(s, c + span - 1).to_pybytes() for s, c in zip(start.tolist(), count.tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [items.field("fp"), pa.array([key[i].as_py()] * len(items), pa.int64()), items.field("packed"), pa.array(data, pa.binary())],
-                    ["fp", "key", "packed", "bytes"],
+                    [
+                        items.field("fp"),
+                        pa.array([key[i].as_py()] * len(items), pa.int64()),
+                        pa.array([text_hash[i].as_py()] * len(items), pa.int64()),
+                        pa.array(start + offset),
+                        pa.array((offset - count + 1).astype(np.int32)),
+                        pa.array((offset + 1).astype(np.int32)),
+                        pa.array(data, pa.binary()),
+                    ],
+                    ["fp", "key", "text_hash", "anchor", "lo", "hi", "bytes"],
                 )
 
     return run
@@ -164,58 +172,88 @@ def _order_block(span: int):
     """Segments of one block -> (key, text hash, start, end) of the byte ranges they repeat."""
 
     def run(table: pa.Table) -> pa.Table:
-        key, packed = table.column("key").to_numpy(), table.column("packed").to_numpy()
-        text_hash, start, count, offset = unpack(packed)
+        key, text_hash, anchor, hi = (table.column(c).to_numpy() for c in ("key", "text_hash", "anchor", "hi"))
+        before = hi.astype(np.int64) - 1  # bytes before the anchor
         rank = np.empty(len(key), dtype=np.int64)
-        by_place = np.lexsort((start + offset, text_hash, key))
-        place = np.column_stack([key, text_hash, start + offset])[by_place]
+        by_place = np.lexsort((anchor, text_hash, key))
+        place = np.column_stack([key, text_hash, anchor])[by_place]
         # a repeated row is the same place
         rank[by_place] = np.cumsum(np.append(0, (place[1:] != place[:-1]).any(axis=1)))
-        left = int(offset.max())
-        width = int((left - offset + count).max()) + span - 1
+        data = table.column("bytes").to_pylist()
+        left = int(before.max())
+        width = max(left - o + len(d) for o, d in zip(before.tolist(), data))
         symbols = np.full((len(key), width), -1, dtype=np.int16)
-        for i, (data, o) in enumerate(zip(table.column("bytes").to_pylist(), offset.tolist())):
-            symbols[i, left - o : left - o + len(data)] = np.frombuffer(data, dtype=np.uint8)
+        for i, (d, o) in enumerate(zip(data, before.tolist())):
+            symbols[i, left - o : left - o + len(d)] = np.frombuffer(d, dtype=np.uint8)
         repeat = column_wise(symbols, rank, span)
         edge = np.diff(np.pad(repeat, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         i, a = np.nonzero(edge == 1)
         _, b = np.nonzero(edge == -1)
-        begin = start[i] + a - (left - offset[i])
+        begin = anchor[i] + a - left
         return pa.table({"key": key[i], "text_hash": text_hash[i], "s": begin, "e": begin + (b - a) + span - 1})
 
     return run
 
 
-def _explode_spans(span: int):
-    """Segments of hot anchors -> one row per span: two hashes, place and byte range."""
+def _halves(rows: DataFrame, lo: int, hi: int, span: int) -> list[tuple[int, int, DataFrame]]:
+    """Rows whose spans start ``lo`` to ``hi - 1`` bytes before their anchors, halved by that distance; each half is parted
+    anew by the bytes that all its spans have."""
+    middle = (lo + hi) // 2
+    out = []
+    for a, b, own in ((lo, middle, F.col("lo") < middle), (middle, hi, F.col("hi") > middle)):
+        first, last = F.least("hi", F.lit(b)), F.greatest("lo", F.lit(a))
+        part = rows.where(own).withColumns(
+            {
+                "lo": last.cast("int"),
+                "hi": first.cast("int"),
+                "bytes": F.substring("bytes", F.col("hi") - first + 1, first - last + F.lit(span - 1)),
+            }
+        )
+        core = F.substring("bytes", F.col("hi") - F.lit(a), F.lit(span - (b - a) + 1))
+        out.append((a, b, part.withColumn("part", F.xxhash64("part", F.lit(a), F.lit(b), core))))
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
-        for batch in batches:
-            text_hash, start, count, _ = unpack(batch.column(2).to_numpy())
-            key = batch.column(1).to_numpy()
-            for i, data in enumerate(batch.column(3).to_pylist()):
-                sums = hasher.sums(np.frombuffer(data, dtype=np.uint8))
-                c = int(count[i])
-                head = hasher.windows(sums, span // 2)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(head[:c].view(np.int64)),
-                        pa.array(hasher.windows(sums, span)[:c].view(np.int64)),
-                        pa.array(np.full(c, key[i])),
-                        pa.array(np.full(c, text_hash[i])),
-                        pa.array(start[i] + np.arange(c)),
-                    ],
-                    ["w1", "w2", "key", "text_hash", "s"],
-                )
 
-    return run
+def _repeats_of_mixed(strings: DataFrame, span: int, gram: int) -> DataFrame:
+    """key, text_hash, s, e: what the different segments of the same anchors repeat of each other."""
+    spark = strings.sparkSession
+    ranges = "key bigint, text_hash bigint, s bigint, e bigint"
+    waiting = [(0, span - gram + 1, strings.withColumnRenamed("fp", "part"))]
+    ready, single = [], []
+    while waiting:
+        lo, hi, rows = waiting.pop()
+        if hi - lo == 1:
+            single.append(rows)
+            continue
+        large = rows.groupBy("part").agg(F.count("*").alias("n")).where(F.col("n") > F.lit(STRINGS_PER_BLOCK)).select("part")
+        large = written(large, "large-parts")
+        if not large.limit(1).count():
+            ready.append(rows)
+            continue
+        ready.append(rows.join(large, "part", "left_anti"))
+        for a, b, half in _halves(rows.join(large, "part", "left_semi"), lo, hi, span):
+            waiting.append((a, b, written(half, "parted")))
+        release(spark)
+    blocked = ready[0]
+    for rows in ready[1:]:
+        blocked = blocked.unionByName(rows)
+    blocks = max(1, -(-blocked.count() // STRINGS_PER_BLOCK))
+    out = blocked.withColumn("block", F.pmod(F.xxhash64("part"), F.lit(blocks))).groupBy("block").applyInArrow(_order_block(span), ranges)
+    place = F.struct("key", "text_hash", "anchor")
+    for rows in single:
+        earliest = written(rows.groupBy("bytes").agg(F.min(place).alias("first")), "earliest")
+        start = F.col("anchor") - F.col("lo")
+        later = rows.join(earliest, "bytes").where(place != F.col("first"))
+        out = out.unionByName(later.select("key", "text_hash", start.alias("s"), (start + F.lit(span)).alias("e")))
+    return out
+
+
+_NO_ID = (1 << 63) - 1
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    doc = F.col("doc_id").cast("bigint")
-    unnamed = F.xxhash64("text").bitwiseAND(F.lit((1 << 61) - 1)) + F.lit(1 << 62)
-    return docs.withColumn("_key", F.coalesce(doc, unnamed)).withColumn("_text_hash", F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 17)))
+    """A text's name: its doc_id (the largest number for none) and a 64-bit hash of it."""
+    return docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID))).withColumn("_text_hash", F.xxhash64("text"))
 
 
 def repeated_ranges(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
@@ -225,47 +263,31 @@ def repeated_ranges(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> Data
     # written, so that the join deals both sides itself and can split an anchor that stands in very many places
     again = written(anchors.groupBy("fp").agg(F.count("*").alias("c")).where("c > 1").select("fp"), "repeated-anchors")
     release(docs.sparkSession)
-    found = keyed.select("_key", "_text_hash", "text").mapInArrow(_segments(span, gram), "fp bigint, whole bigint, key bigint, packed bigint")
+    found = keyed.select("_key", "_text_hash", "text").mapInArrow(
+        _segments(span, gram), "fp bigint, whole bigint, key bigint, text_hash bigint, packed bigint"
+    )
     found = written(found.join(again, "fp", "left_semi"), "segments")
     release(docs.sparkSession)
 
-    place = F.struct("key", "packed")
+    place = F.struct("key", "text_hash", "packed")
     firsts = written(found.groupBy("fp", "whole").agg(F.min(place).alias("first"), F.count("*").alias("c")), "first-segments")
-    start = F.shiftright("packed", _START).bitwiseAND(F.lit(0xFFFFFFFF))
+    start = F.shiftright("packed", _START)
     count = F.shiftright("packed", _COUNT).bitwiseAND(F.lit((1 << _COUNT) - 1)) + F.lit(1)
     later = (
         found.join(firsts.where("c > 1").drop("c"), ["fp", "whole"])
-        .where(~((F.col("key") == F.col("first.key")) & (F.col("packed") == F.col("first.packed"))))
-        .select("key", F.shiftright("packed", _HASH).alias("text_hash"), start.alias("s"), (start + count + F.lit(span - 1)).alias("e"))
+        .where(place != F.col("first"))
+        .select("key", "text_hash", start.alias("s"), (start + count + F.lit(span - 1)).alias("e"))
     )
 
     # anchors with different segments
-    mixed = firsts.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1")
-    wanted = firsts.join(mixed, "fp").select("fp", "n", "first.key", "first.packed")
-    wanted = written(wanted, "mixed-segments")
-    per_text = (
-        wanted.withColumn("text_hash", F.shiftright("packed", _HASH))
-        .groupBy("key", "text_hash")
-        .agg(F.collect_list(F.struct("fp", "packed")).alias("wanted"))
-        .hint("shuffle_hash")
-    )
+    mixed = firsts.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
+    wanted = written(firsts.join(mixed, "fp").select("fp", "first.key", "first.text_hash", "first.packed"), "mixed-segments")
+    per_text = wanted.groupBy("key", "text_hash").agg(F.collect_list(F.struct("fp", "packed")).alias("wanted")).hint("shuffle_hash")
     same = (F.col("_key") == per_text["key"]) & (F.col("_text_hash") == per_text["text_hash"])
-    strings = keyed.join(per_text, same).select("_key", "text", "wanted")
-    strings = strings.mapInArrow(_fetch(span), "fp bigint, key bigint, packed bigint, bytes binary")
+    strings = keyed.join(per_text, same).select("_key", "_text_hash", "text", "wanted").mapInArrow(_fetch(span), STRINGS)
     strings = written(strings, "strings")
     release(docs.sparkSession)
-    hot = written(mixed.where(F.col("n") > F.lit(HOT)).select("fp"), "hot-anchors")
-    blocks = max(1, -(-wanted.count() // STRINGS_PER_BLOCK))
-    cold = strings.join(hot, "fp", "left_anti").withColumn("block", F.pmod(F.xxhash64("fp"), F.lit(blocks)))
-    ranges = "key bigint, text_hash bigint, s bigint, e bigint"
-    shared = cold.groupBy("block").applyInArrow(_order_block(span), ranges)
-    one = strings.join(hot, "fp", "left_semi").mapInArrow(
-        _explode_spans(span), "w1 bigint, w2 bigint, key bigint, text_hash bigint, s bigint"
-    )
-    at = F.struct("key", "text_hash", "s")
-    earliest = one.groupBy("w1", "w2").agg(F.min(at).alias("first"))
-    single = one.join(earliest, ["w1", "w2"]).where(at != F.col("first")).select("key", "text_hash", "s", (F.col("s") + F.lit(span)).alias("e"))
-    every = later.unionByName(shared).unionByName(single)
+    every = later.unionByName(_repeats_of_mixed(strings, span, gram))
     return every.groupBy("key", "text_hash").agg(F.collect_set(F.struct("s", "e")).alias("ranges"))
 
 
