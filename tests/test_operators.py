@@ -202,18 +202,6 @@ def test_lookup_rejects_duplicate_natural_key(spark):
         load.lookup_id(rows, dim, {"name": "name"})
 
 
-def test_snapshot_versions(spark, tmp_path):
-    d = dt.date(2026, 2, 10)
-    t = seed_tables(spark, d)
-    root = str(tmp_path / "due_soon")
-    p = refresh.RefreshParams(d, dt.datetime(2026, 2, 10, 2, 5), 30, 25, 500)
-    v1 = snapshot.commit_snapshot(spark, refresh.refresh_due(t, None, p), root)
-    old = snapshot.read_snapshot(spark, root)
-    v2 = snapshot.commit_snapshot(spark, refresh.refresh_due(t, old, p), root)
-    assert (v1, v2) == (1, 2)
-    assert snapshot.read_snapshot(spark, root).count() == 5
-
-
 @pytest.mark.parametrize("trigger_on, expected", [(True, [(2, "INSPECT")]), (False, [(2, "REPLACE")])])
 def test_seed_detail_lines_follow_trigger_and_guard(spark, trigger_on, expected):
     from upkeep.sources.schemas import MAINTENANCE_LOG_DETAIL
@@ -288,25 +276,6 @@ def test_last_log_store_takes_late_lower_ids_and_repeats(spark, tmp_path):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, got.collect()))
 
 
-def test_commits_survive_crashes(spark, tmp_path):
-    from upkeep.operators import versions
-
-    root = str(tmp_path / "table")
-    one, two = spark.range(1), spark.range(2)
-    assert versions.current(spark, root) == (None, None)
-    assert versions.commit(spark, one, root) == 1
-    two.write.parquet(f"{root}/data/left-by-a-crash")  # died before its commit
-    assert spark.read.parquet(versions.current(spark, root)[1]).count() == 1
-    (tmp_path / "table" / "commits" / "000002").mkdir()  # died within its commit: no _SUCCESS
-    reader = spark.read.parquet(versions.current(spark, root)[1])
-    assert versions.commit(spark, two, root) == 3
-    assert reader.count() == 1  # a reader of the old version is not disturbed
-    assert spark.read.parquet(versions.current(spark, root)[1]).count() == 2
-    versions.commit(spark, one, root)
-    assert versions.clean(spark, root, keep=2) == [1]
-    assert spark.read.parquet(versions.current(spark, root)[1]).count() == 1
-
-
 def test_loading_twice_inserts_nothing_and_reinstalls(spark):
     t = seed_tables(spark, dt.date(2026, 2, 10))
     for name, rows in t.as_dict().items():

@@ -24,9 +24,10 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from upkeep.functions.intervals import TIME_FREQUENCIES, add_frequency
-from upkeep.operators import versions
+from upkeep.operators import buckets, versions
 from upkeep.sources.schemas import DUE_NUM, DUE_STAGE, METER
 
 RULE_COLS = [
@@ -212,29 +213,35 @@ def stage(
 
 
 # --------------------------------------------------------------------------------------------------------------
-# stored last_log (incremental daily upkeep)
+# stored last_log (incremental daily upkeep), in buckets by (unit, task)
+
+LAST_LOG_KEY = ["equipment_id", "task_id"]
+LAST_LOG = StructType(
+    [StructField(c, LongType(), True) for c in LAST_LOG_KEY]
+    + [StructField("last_date", DateType(), True), StructField("last_hours", METER, True), StructField("last_km", METER, True)]
+)
 
 
 def read_last_log_store(spark, root: str) -> DataFrame | None:
     """The stored ``last_log``, or None before the first arrival."""
-    _, path = versions.current(spark, root)
-    return None if path is None else spark.read.parquet(f"{path}/folded=last_log")
+    version = versions.current(spark, root)
+    return buckets.read(spark, version.parts, "last_log", LAST_LOG) if version.number else None
 
 
-def update_last_log_store(spark, arrival: str, logs: DataFrame, root: str) -> DataFrame:
+def update_last_log_store(spark, arrival: str, logs: DataFrame, root: str, n: int = 64) -> DataFrame:
     """Fold one arrival of logs into the stored ``last_log`` and commit it; returns the store.
 
-    What was folded is remembered by the arrivals' names, not by a bound on ids or dates: a log with a lower id or an
-    older date that comes later still counts, and an arrival delivered again changes nothing. ``logs`` holds the rows of
-    this arrival only, so each is read once.
+    Only the buckets of the arrival's (unit, task) pairs are read and rewritten. What was folded is remembered by the
+    arrivals' names, not by a bound on ids or dates: a log with a lower id or an older date that comes later still counts, and
+    an arrival delivered again changes nothing. A second writer on the same version gets ``versions.Conflict``.
     """
-    _, path = versions.current(spark, root)
-    if path is None:
-        names, merged = spark.createDataFrame([], "arrival string"), last_log(logs)
-    else:
-        names, merged = spark.read.parquet(f"{path}/folded=arrivals"), merge_last_log(spark.read.parquet(f"{path}/folded=last_log"), logs)
-        if names.where(F.col("arrival") == F.lit(arrival)).limit(1).count():
-            return read_last_log_store(spark, root)
-    folded = names.unionByName(spark.createDataFrame([(arrival,)], "arrival string"))
-    versions.commit_parts(spark, {"folded=last_log": merged, "folded=arrivals": folded}, root)
+    base = versions.current(spark, root)
+    folded = base.facts.get("arrivals", [])
+    if arrival not in folded:
+        n = base.facts.get("buckets", n)
+        touched = buckets.touched(logs, LAST_LOG_KEY, n)
+        merged = merge_last_log(buckets.read(spark, base.parts, "last_log", LAST_LOG, touched), logs)
+        new = buckets.write(merged, root, "last_log", LAST_LOG_KEY, n) if touched else {}
+        parts = buckets.replaced(base.parts, "last_log", touched, new)
+        versions.commit(spark, root, base.number, parts, {"arrivals": [*folded, arrival], "buckets": n})
     return read_last_log_store(spark, root)

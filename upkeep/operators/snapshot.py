@@ -1,4 +1,4 @@
-"""The ``due_soon`` snapshot: upsert, purge, versioned commit, cascades (W-08 ... W-13).
+"""The ``due_soon`` snapshot as a whole frame: upsert, purge, cascades (W-08 ... W-13); at rest see ``plans.due_store``.
 
 Parquet has no MERGE, so an upsert is one FULL OUTER JOIN of the old snapshot and the stage on the unique key
 (equipment, task, rule):
@@ -6,17 +6,13 @@ Parquet has no MERGE, so an upsert is one FULL OUTER JOIN of the old snapshot an
 * key in both   -> stage values, old ``id`` kept (ON CONFLICT DO UPDATE);
 * stage only    -> inserted, ``id`` continues after the old maximum (``bigserial``), in key order;
 * old only      -> deleted when ``purge`` (the NOT EXISTS purge), else kept unchanged.
-
-The new table is committed as a new version (``operators.versions``): a crash leaves the previous version current, and
-readers never see a half-written or an empty table in between.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upkeep.operators import versions
 from upkeep.operators.ids import with_sequence
 from upkeep.sources.schemas import DUE_SOON, conform
 
@@ -33,7 +29,8 @@ def initial_snapshot(stage: DataFrame) -> DataFrame:
     return conform(with_sequence(stage, KEY, "id"), DUE_SOON)
 
 
-def upsert(old: DataFrame, stage: DataFrame, purge: bool = True) -> DataFrame:
+def upsert(old: DataFrame, stage: DataFrame, purge: bool = True, last_id: int | None = None) -> DataFrame:
+    """``old`` after the procedure; ids continue after ``last_id`` (else after the highest that ``old`` still has)."""
     o = old.select(*[F.col(c).alias(f"_o_{c}") for c in DUE_SOON.fieldNames()])
     s = stage.withColumn("_in_stage", F.lit(True))
     # computed once; new and kept rows are taken apart from the checkpoint
@@ -44,29 +41,10 @@ def upsert(old: DataFrame, stage: DataFrame, purge: bool = True) -> DataFrame:
         F.col("_o_id").alias("id"), *[F.when(in_stage, F.col(c)).otherwise(F.col(f"_o_{c}")).alias(c) for c in columns]
     )
     # only new rows are sorted and numbered
-    new = with_sequence(j.where(F.col("_o_id").isNull()).select(*columns), KEY, "id", max_id(old))
+    new = with_sequence(j.where(F.col("_o_id").isNull()).select(*columns), KEY, "id", max_id(old) if last_id is None else last_id)
     return conform(kept, DUE_SOON).unionByName(conform(new, DUE_SOON))
 
 
-# --------------------------------------------------------------------------------------------------------------
-# versioned table
-
-
-def current_version(spark: SparkSession, root: str) -> int | None:
-    return versions.current(spark, root)[0]
-
-
-def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """The newest committed version; a folder without any commit is an empty snapshot."""
-    _, path = versions.current(spark, root)
-    return spark.createDataFrame([], DUE_SOON) if path is None else spark.read.schema(DUE_SOON).parquet(path)
-
-
-def commit_snapshot(spark: SparkSession, df: DataFrame, root: str) -> int:
-    """Write ``df`` as the next version; returns its number."""
-    return versions.commit(spark, conform(df, DUE_SOON), root)
-
-
 # --------------------------------------------------------------------------------------------------------------
 # referential actions on delete
 

@@ -6,20 +6,25 @@ All queries run over the whole adapted tables of ``sf_dir`` with the scenario pa
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upkeep.operators import due
+from upkeep.operators import due, versions
+from upkeep.plans import due_store, refresh, views
 from upkeep.plans import oracle as O
-from upkeep.plans import refresh, views
+from upkeep.session import shared_path
 from upkeep.sources import testdata as td
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 PARAMS = refresh.RefreshParams(td.AS_OF, td.COMPUTED_AT, td.DAYS_AHEAD, td.HOURS_AHEAD, td.KM_AHEAD, True)
 PREVIOUS_GAP_DAYS = 60  # the previous snapshot is the refresh of 60 days earlier
+CHANGE_DAYS = (60, 40, 20, 0)  # days before as_of on which the change-driven store is refreshed
+STORE_BUCKETS = 16  # of the stored due lists of the given tables; large fleets take thousands
 
 
 def _t(spark: SparkSession, sf_dir: str):
@@ -91,20 +96,52 @@ def _snapshot(spark, sf_dir, purge: bool):
     return t, new
 
 
+def _refreshed_store(spark, sf_dir, root: str, purge: bool) -> None:
+    """Two scheduled runs against a stored due list: the earlier date, then today."""
+    t = _t(spark, sf_dir)
+    prev = refresh.shifted(PARAMS, PREVIOUS_GAP_DAYS)
+    then = t.with_(maintenance_log=t.maintenance_log.where(F.col("performed_on") <= F.lit(prev.as_of)))
+    due_store.refresh_store(spark, root, then, prev, n=STORE_BUCKETS)
+    due_store.refresh_store(spark, root, t, replace(PARAMS, purge=purge), n=STORE_BUCKETS)
+
+
+def stored_snapshot(spark, sf_dir, purge: bool = True):
+    """The tables and the committed due list of this input, refreshed once and read by every query after that."""
+    base = f"{td.domain_root(spark, sf_dir)}-due-{'purge' if purge else 'keep'}"
+    version = versions.current(spark, base)
+    if not version.number:
+        store = versions.new_folder(base)
+        _refreshed_store(spark, sf_dir, store, purge)
+        try:
+            version = versions.commit(spark, base, 0, {"due": store})
+        except versions.Conflict:  # another application was first with the same input
+            version = versions.current(spark, base)
+    return _t(spark, sf_dir), due_store.read_due(spark, version.parts["due"])
+
+
+def _new_store(spark, name: str) -> str:
+    return shared_path(spark, "snapshots", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
 def q_due_snapshot_versioned(spark, sf_dir):
-    """Two scheduled runs against a stored snapshot: the earlier date, then today (read back from storage)."""
-    import uuid
+    """Two scheduled runs against a stored snapshot, read back from storage."""
+    root = _new_store(spark, "due_soon")
+    _refreshed_store(spark, sf_dir, root, True)
+    return due_store.read_due(spark, root)
 
-    from upkeep.operators import snapshot
-    from upkeep.session import shared_path
 
+def q_due_refresh_changes(spark, sf_dir):
+    """A full refresh 60 days ago, then one every 20 days that looks only at units with new logs and at the calendar."""
     t = _t(spark, sf_dir)
-    root = shared_path(spark, "snapshots", f"due_soon-{uuid.uuid4().hex[:12]}")
-    prev = refresh.shifted(PARAMS, PREVIOUS_GAP_DAYS)
-    then = t.with_(maintenance_log=t.maintenance_log.where(F.col("performed_on") <= F.lit(prev.as_of)))
-    refresh.refresh_job(spark, then, root, prev)
-    refresh.refresh_job(spark, t, root, PARAMS)
-    return snapshot.read_snapshot(spark, root)
+    root = _new_store(spark, "due_changes")
+    last = None
+    for days in CHANGE_DAYS:
+        p = refresh.shifted(PARAMS, days)
+        logs = t.maintenance_log.where(F.col("performed_on") <= F.lit(p.as_of))
+        changed = None if last is None else due_store.changed_units(t, logs=logs.where(F.col("performed_on") > F.lit(last)))
+        due_store.refresh_store(spark, root, t.with_(maintenance_log=logs), p, changed, n=STORE_BUCKETS)
+        last = p.as_of
+    return due_store.read_due(spark, root)
 
 
 def q_due_snapshot_purge(spark, sf_dir):
@@ -116,17 +153,17 @@ def q_due_snapshot_keep(spark, sf_dir):
 
 
 def q_due_view(spark, sf_dir):
-    t, snap = _snapshot(spark, sf_dir, True)
+    t, snap = stored_snapshot(spark, sf_dir)
     return views.due_view(t, snap)
 
 
 def q_due_summary(spark, sf_dir):
-    t, snap = _snapshot(spark, sf_dir, True)
+    t, snap = stored_snapshot(spark, sf_dir)
     return views.due_summary(t, snap)
 
 
 def q_due_ordered(spark, sf_dir):
-    t, snap = _snapshot(spark, sf_dir, True)
+    t, snap = stored_snapshot(spark, sf_dir)
     return views.due_ordered(t, snap)
 
 
@@ -154,6 +191,7 @@ SPARK: dict[str, QueryFn] = {
     "due_snapshot_purge": q_due_snapshot_purge,
     "due_snapshot_keep": q_due_snapshot_keep,
     "due_snapshot_versioned": q_due_snapshot_versioned,
+    "due_refresh_changes": q_due_refresh_changes,
     "due_view": q_due_view,
     "due_summary": q_due_summary,
     "due_ordered": q_due_ordered,
@@ -186,6 +224,30 @@ def _snap(select: str, purge: bool = True) -> str:
     ) + "\n" + select
 
 
+def _chain(select: str) -> str:
+    """Refreshes on several days, each with the logs up to its own: a row keeps its id while it is staged day after day; every
+    entry (staged now, not the day before) takes the next id, by day and key."""
+    days = [refresh.shifted(PARAMS, d) for d in CHANGE_DAYS]
+    blocks = []
+    for k, p in enumerate(days):
+        log = f"a_log_{k}"
+        blocks.append(f"{log} AS (SELECT * FROM a_log WHERE performed_on <= DATE '{p.as_of.isoformat()}')")
+        blocks.append(O.procedure_ctes(f"_{k}", p.as_of, p.computed_at, log=log))
+    every = " UNION ALL ".join(f"SELECT {k} AS turn, * FROM stage_{k}" for k in range(len(days)))
+    key = "equipment_id, task_id, rule_id"
+    return O.with_(
+        O.adapter_ctes(),
+        *blocks,
+        f"staged AS ({every})",
+        f"entered AS (SELECT *, coalesce(turn - 1 <> lag(turn) OVER (PARTITION BY {key} ORDER BY turn), true) AS entry FROM staged)",
+        f"numbered AS (SELECT turn, {key}, row_number() OVER (ORDER BY turn, {key}) AS id FROM entered WHERE entry)",
+        f"""chain AS (
+  SELECT (SELECT max(n.id) FROM numbered n WHERE n.equipment_id = s.equipment_id AND n.task_id = s.task_id AND n.rule_id = s.rule_id) AS id,
+         {_STAGE_COLS}
+  FROM stage_{len(days) - 1} s)""",
+    ) + "\n" + select
+
+
 _VIEW_SELECT = """
 SELECT computed_at, company, farm, equipment, (SELECT name FROM a_task WHERE id = task_id) AS task, severity, next_due_date,
        days_until_due, next_due_at_hours, hours_remaining, next_due_at_km, km_remaining, rule_id, equipment_id, task_id
@@ -214,6 +276,7 @@ def _oracles() -> dict[str, str]:
         "due_snapshot_purge": _snap(f"SELECT id, {_STAGE_COLS} FROM snap_new", True),
         "due_snapshot_keep": _snap(f"SELECT id, {_STAGE_COLS} FROM snap_new", False),
         "due_snapshot_versioned": _snap(f"SELECT id, {_STAGE_COLS} FROM snap_new", True),
+        "due_refresh_changes": _chain(f"SELECT id, {_STAGE_COLS} FROM chain"),
         "due_view": _snap(_VIEW_SELECT),
         "due_summary": _snap(
             "SELECT company, severity, count(*) AS total FROM snap_new JOIN place USING (equipment_id) GROUP BY ALL ORDER BY ALL"

@@ -130,9 +130,9 @@ def q_cascade_delete(spark, sf_dir):
 
 
 def q_set_null_delete(spark, sf_dir):
-    from upkeep.plans.catalog import _snapshot
+    from upkeep.plans.catalog import stored_snapshot
 
-    t, snap = _snapshot(spark, sf_dir, True)
+    t, snap = stored_snapshot(spark, sf_dir)
     gone_company = t.company.where(F.col("name") == DELETED_COMPANY).select("id")
     gone_farms = t.farm.join(gone_company.select(F.col("id").alias("company_id")), "company_id", "left_semi").select("id")
     out = snapshot.set_null_on_delete(snap, "company_id", gone_company)
@@ -145,9 +145,9 @@ def q_set_null_delete(spark, sf_dir):
 
 def _all_tables(spark, sf_dir, purge: bool = True):
     """The ten tables and the snapshot computed from them."""
-    from upkeep.plans.catalog import _snapshot
+    from upkeep.plans.catalog import stored_snapshot
 
-    t, snap = _snapshot(spark, sf_dir, purge)
+    t, snap = stored_snapshot(spark, sf_dir, purge)
     return {**t.as_dict(), "due_soon": snap}
 
 
@@ -176,12 +176,12 @@ def q_dq_unique_model(spark, sf_dir):
 
 def q_dq_unique_snapshot(spark, sf_dir):
     """Snapshot and stage with their overdue rows written twice."""
-    from upkeep.plans.catalog import PARAMS, _snapshot
+    from upkeep.plans.catalog import PARAMS, stored_snapshot
 
     def spoilt(df):
         return df.unionByName(df.where(F.col("severity") == due.OVERDUE))
 
-    t, snap = _snapshot(spark, sf_dir, False)
+    t, snap = stored_snapshot(spark, sf_dir, False)
     return quality.unique_violations(spoilt(snap), snapshot.KEY, "due_soon").unionByName(
         quality.unique_violations(spoilt(refresh.due_stage(t, PARAMS)), snapshot.KEY, "due_soon_stage")
     )
@@ -239,7 +239,7 @@ def q_last_log_incremental(spark, sf_dir):
     root = shared_path(spark, "last_log", f"store-{uuid.uuid4().hex[:12]}")
     arrivals = [("recent", LOADED_BEFORE, None), ("archive", None, ARCHIVE_BEFORE), ("middle", ARCHIVE_BEFORE, LOADED_BEFORE)]
     for name, lo, hi in [*arrivals, arrivals[0]]:
-        last = due.update_last_log_store(spark, name, _logs_between(logs, lo, hi).drop(YEAR_COL), root)
+        last = due.update_last_log_store(spark, name, _logs_between(logs, lo, hi).drop(YEAR_COL), root, n=16)
     return last
 
 
@@ -274,9 +274,9 @@ def q_unit_timeline(spark, sf_dir):
 
 def q_snapshot_cascades(spark, sf_dir):
     """Deleting a model's units, a task and the rules of a kind takes their snapshot rows along."""
-    from upkeep.plans.catalog import _snapshot
+    from upkeep.plans.catalog import stored_snapshot
 
-    t, snap = _snapshot(spark, sf_dir, True)
+    t, snap = stored_snapshot(spark, sf_dir)
     for fk, gone in (
         ("equipment_id", t.equipment.where(F.col("equipment_model_id") == GONE_MODEL)),
         ("task_id", t.maintenance_task.where(F.col("name") == GONE_TASK)),
@@ -288,9 +288,9 @@ def q_snapshot_cascades(spark, sf_dir):
 
 def q_named_views(spark, sf_dir):
     """The dashboard views asked for by name in SQL."""
-    from upkeep.plans.catalog import _snapshot
+    from upkeep.plans.catalog import stored_snapshot
 
-    views.create_views(*_snapshot(spark, sf_dir, True))
+    views.create_views(*stored_snapshot(spark, sf_dir))
     return spark.sql(
         "SELECT s.company, s.severity, s.total, count(v.rule_id) AS listed FROM vw_due_soon_summary s "
         "JOIN vw_due_soon v ON v.company = s.company AND v.severity = s.severity GROUP BY ALL"
@@ -574,8 +574,8 @@ FROM snap_new""",
         ),
         "dq_unique_model": _a(
             """scoped_rule AS (
-  SELECT *, CASE WHEN equipment_id > 0 THEN 'equipment_id' WHEN equipment_model_id > 0 THEN 'equipment_model_id' ELSE 'part_type_id' END AS scope,
-         CASE WHEN equipment_id > 0 THEN equipment_id WHEN equipment_model_id > 0 THEN equipment_model_id ELSE part_type_id END AS scope_id
+  SELECT *, CASE WHEN equipment_id IS NOT NULL THEN 'equipment_id' WHEN equipment_model_id IS NOT NULL THEN 'equipment_model_id' ELSE 'part_type_id' END AS scope,
+         CASE WHEN equipment_id IS NOT NULL THEN equipment_id WHEN equipment_model_id IS NOT NULL THEN equipment_model_id ELSE part_type_id END AS scope_id
   FROM a_rule),
 installed AS (SELECT * FROM a_component WHERE removed_at IS NULL)""",
             select="\nUNION ALL\n".join(
@@ -681,8 +681,8 @@ ANTI JOIN (SELECT id AS rule_id FROM a_rule WHERE frequency_type = '{GONE_FREQUE
         "equipment_component": "SELECT DISTINCT equipment_id, slot_label FROM a_component WHERE removed_at IS NULL "
         "UNION ALL SELECT id, 'removed' FROM a_component WHERE removed_at IS NOT NULL",
         "maintenance_task": "SELECT DISTINCT name FROM a_task",
-        "maintenance_rule": "SELECT DISTINCT task_id, frequency_type, CASE WHEN equipment_id > 0 THEN 'u' || equipment_id "
-        "WHEN equipment_model_id > 0 THEN 'm' || equipment_model_id ELSE 'p' || part_type_id END FROM a_rule",
+        "maintenance_rule": "SELECT DISTINCT task_id, frequency_type, CASE WHEN equipment_id IS NOT NULL THEN 'u' || equipment_id "
+        "WHEN equipment_model_id IS NOT NULL THEN 'm' || equipment_model_id ELSE 'p' || part_type_id END FROM a_rule",
         "maintenance_log": "SELECT DISTINCT equipment_id, task_id FROM a_log",
         "maintenance_log_detail": "SELECT DISTINCT maintenance_log_id FROM a_detail",
     }

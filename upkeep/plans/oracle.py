@@ -145,7 +145,7 @@ kinds{sfx} AS (SELECT * FROM (VALUES {_values(_KINDS)}) v(frequency_type, kind))
 rooms{sfx} AS (SELECT kind, room::DECIMAL(12,2) AS room FROM (VALUES {room}) v(kind, room)),
 levelled{sfx} AS (
   SELECT id AS rule_id, task_id, frequency_type, value_numeric, interval_text, pattern, condition_note,
-         CASE WHEN equipment_id >= 0 THEN 1 WHEN equipment_model_id >= 0 THEN 2 ELSE 3 END AS precedence,
+         CASE WHEN equipment_id IS NOT NULL THEN 1 WHEN equipment_model_id IS NOT NULL THEN 2 ELSE 3 END AS precedence,
          coalesce(equipment_id, equipment_model_id, part_type_id) AS target
   FROM a_rule WHERE active),
 targets{sfx} AS (
@@ -159,7 +159,7 @@ picked_rules{sfx} AS (
     SELECT 1 FROM equipment_rules{sfx} other
     WHERE other.equipment_id = mine.equipment_id AND other.task_id = mine.task_id
       AND other.frequency_type = mine.frequency_type
-      AND other.precedence * 1000000000000 + other.rule_id < mine.precedence * 1000000000000 + mine.rule_id)),
+      AND (other.precedence, other.rule_id) < (mine.precedence, mine.rule_id))),
 measured{sfx} AS (
   SELECT equipment_id, task_id, rule_id, farm_id, company_id, frequency_type, kind, value_numeric,
          coalesce(last_date, equip_created) AS since,
@@ -170,7 +170,7 @@ measured{sfx} AS (
 due{sfx} AS (
   SELECT *, CASE WHEN kind = 'date' THEN {date} END AS at_date,
          CASE WHEN meter IS NOT NULL THEN seen + value_numeric END AS at_meter,
-         greatest(seen + value_numeric - meter, 0) + (meter - meter) AS left_over
+         CASE WHEN meter IS NOT NULL AND value_numeric IS NOT NULL THEN greatest(seen + value_numeric - meter, 0) END AS left_over
   FROM measured{sfx}),
 time_due{sfx} AS (SELECT equipment_id, rule_id, task_id, at_date AS next_due_date FROM due{sfx} WHERE kind = 'date'),
 hours_due{sfx} AS (

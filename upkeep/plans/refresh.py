@@ -62,13 +62,6 @@ def refresh_due(
     return snapshot.upsert(old_snapshot, stage, p.purge)
 
 
-def refresh_job(spark, t: Tables, snapshot_root: str, p: RefreshParams) -> int:
-    """The scheduled job (T-03 calls this once per day): read the current snapshot version, refresh it, commit
-    the result as the next version. Returns the committed version number."""
-    current = snapshot.read_snapshot(spark, snapshot_root) if snapshot.current_version(spark, snapshot_root) else None
-    return snapshot.commit_snapshot(spark, refresh_due(t, current, p), snapshot_root)
-
-
 def shifted(p: RefreshParams, days: int) -> RefreshParams:
     """The same refresh ``days`` earlier (used to build a realistic previous snapshot)."""
     return RefreshParams(

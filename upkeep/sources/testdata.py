@@ -248,25 +248,22 @@ def domain_root(spark: SparkSession, sf_dir: str) -> str:
     return shared_path(spark, "domain", f"v{ADAPTER_VERSION}", os.path.basename(os.path.normpath(sf_dir)) + "-" + tag)
 
 
-_MATERIALIZED: dict[tuple[str, str], str] = {}
-
-
 def materialize(spark: SparkSession, sf_dir: str) -> str:
-    """Write the adapted tables once per (shared folder, input) and return their root.
+    """Write the adapted tables once per (shared folder, state of the input) and return their root.
 
     Each attempt builds into a folder of its own and then commits it (``operators.versions``), so two applications never
     write into the same files and readers only ever see a complete folder.
     """
-    memo = (spark.sparkContext.applicationId, sf_dir)
-    if memo not in _MATERIALIZED:
-        base = domain_root(spark, sf_dir)
-        root = versions.current(spark, base)[1]
-        if root is None:
-            root = f"{base}/data/{uuid.uuid4().hex}"
-            write_tables(build_tables(spark, sf_dir), root)
-            versions.mark(spark, root, base)
-        _MATERIALIZED[memo] = root
-    return _MATERIALIZED[memo]
+    base = domain_root(spark, sf_dir)
+    version = versions.current(spark, base)
+    if not version.number:
+        root = versions.new_folder(base)
+        write_tables(build_tables(spark, sf_dir), root)
+        try:
+            version = versions.commit(spark, base, 0, {"tables": root})
+        except versions.Conflict:  # another application was first with the same input
+            version = versions.current(spark, base)
+    return version.parts["tables"]
 
 
 _LOADED: dict[tuple[str, str], Tables] = {}
