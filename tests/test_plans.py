@@ -15,7 +15,7 @@ from upkeep.sources.tables import YEAR_COL, read_table
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
 
-STREAMING = {"stream_close_previous", "stream_auto_detail"}
+STREAMING = {"stream_close_previous", "stream_late_arrivals", "stream_auto_detail"}
 
 
 def plan(df) -> str:

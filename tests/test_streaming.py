@@ -1,11 +1,14 @@
 """Streaming triggers (T-01, T-02) fold to exactly the batch results."""
 
 import datetime as dt
+import os
 import random
 
-from upkeep.operators import history
+import pytest
+
+from upkeep.operators import history, versions
 from upkeep.sources.schemas import EQUIPMENT_COMPONENT, MAINTENANCE_LOG, MAINTENANCE_LOG_DETAIL
-from upkeep.streaming.history_stream import run_auto_detail_stream, run_close_previous_stream
+from upkeep.streaming.history_stream import close_batch, in_order, run_auto_detail_stream, run_close_previous_stream, shuffled
 
 T0 = dt.datetime(2026, 1, 1)
 
@@ -23,6 +26,65 @@ def test_stream_slot_closing_equals_batch(spark):
     assert streamed == batch
 
 
+def component(i, unit, slot, day, removed=None):
+    return (i, unit, 1, slot, None, T0 + dt.timedelta(days=day), removed, None)
+
+
+def test_late_arrivals_are_linked_anew(spark, tmp_path):
+    """Ids in any order, several arrivals a slot, rows that arrive closed, and enough batches to rewrite the past."""
+    rng = random.Random(8)
+    rows = [component(i, rng.randint(1, 3), rng.choice(["A", "B", None]), rng.randint(0, 99), T0 if rng.random() < 0.1 else None) for i in range(1, 201)]
+    comps = spark.createDataFrame(rows, EQUIPMENT_COMPONENT)
+    streamed = {r.id: tuple(r) for r in run_close_previous_stream(spark, comps, 20, shuffled, str(tmp_path / "s"), 4).collect()}
+    assert streamed == {r.id: tuple(r) for r in history.close_previous(comps).collect()}
+    parts = versions.current(spark, str(tmp_path / "s" / "state")).parts
+    assert max(sum(n.startswith(f"past/{b}/") for n in parts) for b in range(4)) <= 16
+
+
+def test_a_batch_rewrites_the_buckets_it_touches(spark, tmp_path):
+    state = str(tmp_path / "state")
+
+    def frame(rows):
+        return spark.createDataFrame(rows, EQUIPMENT_COMPONENT)
+
+    close_batch(spark, state, str(tmp_path / "b0"), frame([component(i, i, "A", 0) for i in range(1, 101)]), 0, 16)
+    before = versions.current(spark, state)
+    listing = {p: sorted(os.listdir(p)) for p in before.parts.values()}
+    batch = frame([component(500, 7, "A", 5), component(501, 8, None, 5)])
+    close_batch(spark, state, str(tmp_path / "b1"), batch, 1)
+    after = versions.current(spark, state)
+    same = [n for n in before.parts if after.parts[n] == before.parts[n]]
+    assert len(same) == len(before.parts) - 1 and all(sorted(os.listdir(after.parts[n])) == listing[before.parts[n]] for n in same)
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "b1")).collect()) == [7, 500, 501]
+    close_batch(spark, state, str(tmp_path / "b1"), batch, 1)  # replayed after its commit: nothing is done again
+    assert versions.current(spark, state) == after
+
+
+def test_replay_after_a_crash_before_the_commit(spark, tmp_path, monkeypatch):
+    state, events = str(tmp_path / "state"), str(tmp_path / "b0")
+    batch = spark.createDataFrame([component(1, 1, "A", 0), component(2, 1, "A", 3)], EQUIPMENT_COMPONENT)
+
+    def crash(*args):
+        raise RuntimeError("lost driver")
+
+    with monkeypatch.context() as m:
+        m.setattr(versions, "commit", crash)
+        with pytest.raises(RuntimeError):
+            close_batch(spark, state, events, batch, 0)
+    first = sorted(map(tuple, spark.read.parquet(events).collect()), key=str)
+    close_batch(spark, state, events, batch, 0)
+    assert sorted(map(tuple, spark.read.parquet(events).collect()), key=str) == first and versions.current(spark, state).number == 1
+
+
+def test_empty_input(spark):
+    nothing = spark.createDataFrame([], EQUIPMENT_COMPONENT)
+    for deal in (in_order, shuffled):
+        assert run_close_previous_stream(spark, nothing, 2, deal).collect() == []
+    details = spark.createDataFrame([(5, 1, 10, "REPLACE", None, None, None, None)], MAINTENANCE_LOG_DETAIL)
+    kept = run_auto_detail_stream(spark, details, spark.createDataFrame([], MAINTENANCE_LOG))
+    assert [tuple(r) for r in kept.collect()] == [tuple(r) for r in details.collect()]
+
+
 def test_stream_auto_detail_equals_batch(spark):
     logs = spark.createDataFrame(
         [(i, 1, 1, dt.date(2026, 1, 1), None, None, None, i * 10 if i % 2 else None, None, None) for i in range(1, 41)],

@@ -71,6 +71,17 @@ def close_previous_incremental(open_rows: DataFrame, batch: DataFrame, now: dt.d
     return close_previous(prior.unionByName(batch), now)
 
 
+def relinked(known: DataFrame, batch: DataFrame, now: dt.datetime | None = None) -> DataFrame:
+    """What an arrival changes, whatever the order of ids: its rows as resolved, and known rows that close at another time now.
+
+    ``known``: the rows of the batch's slots as they had arrived -- of a slot whose arrivals all have higher ids the last one is
+    enough, of a slot with a late arrival (a lower id after a higher one) every row, as a late one comes between two neighbours.
+    """
+    before = close_previous(known, now).select("id", F.col("removed_at").alias("_before"), F.lit(True).alias("_known"))
+    after = close_previous(known.unionByName(batch), now).join(before, "id", "left")
+    return after.where(F.col("_known").isNull() | ~F.col("removed_at").eqNullSafe(F.col("_before"))).select(*batch.columns)
+
+
 def auto_detail(logs: DataFrame, start_after: int = 0) -> DataFrame:
     """Detail lines the trigger creates for ``logs`` (only rows naming a component fire it)."""
     fired = logs.where(F.col("equipment_component_id").isNotNull()).select(

@@ -352,7 +352,16 @@ def q_stream_close_previous(spark, sf_dir):
 
     t = _t(spark, sf_dir)
     as_inserted = t.equipment_component.withColumn("removed_at", F.lit(None).cast("timestamp_ntz"))
-    return run_close_previous_stream(spark, as_inserted)
+    return run_close_previous_stream(spark, as_inserted, state_buckets=16)
+
+
+def q_stream_late_arrivals(spark, sf_dir):
+    """The same arrivals, each with ids from everywhere: lower ids come after higher ones of their slot."""
+    from upkeep.streaming.history_stream import run_close_previous_stream, shuffled
+
+    t = _t(spark, sf_dir)
+    as_inserted = t.equipment_component.withColumn("removed_at", F.lit(None).cast("timestamp_ntz"))
+    return run_close_previous_stream(spark, as_inserted, deal=shuffled, state_buckets=16)
 
 
 def q_stream_auto_detail(spark, sf_dir):
@@ -365,6 +374,7 @@ def q_stream_auto_detail(spark, sf_dir):
 SPARK = {
     "close_previous": q_close_previous,
     "stream_close_previous": q_stream_close_previous,
+    "stream_late_arrivals": q_stream_late_arrivals,
     "stream_auto_detail": q_stream_auto_detail,
     "close_previous_history": q_close_previous_history,
     "auto_detail": q_auto_detail,
@@ -697,7 +707,7 @@ ANTI JOIN (SELECT id AS rule_id FROM a_rule WHERE frequency_type = '{GONE_FREQUE
 
     out["last_log_incremental"] = _proc("SELECT * FROM last_log")
     # the folded streams must equal the batch triggers
-    out["stream_close_previous"] = out["close_previous"]
+    out["stream_close_previous"] = out["stream_late_arrivals"] = out["close_previous"]
     out["stream_auto_detail"] = out["auto_detail"]
     return out
 

@@ -1,11 +1,16 @@
 """Structured Streaming forms of the two row triggers (T-01, T-02).
 
-T-01 slot closing: components arrive as files; each micro-batch is resolved by the batch operator
-(``close_previous_incremental``, native windows keyed by slot and id bucket) against the open rows of the slots it touches.
-The sink is an append-only changelog, one ``batch=<id>`` folder per micro-batch: arrivals as resolved so far, and again a
-row that was open and is closed now; folding it by ``id`` gives exactly the batch ``close_previous`` table. The open rows
-after a micro-batch are a table of that batch, so a replayed batch starts from the same state and rewrites its own
-folders.
+T-01 slot closing: components arrive as files; each micro-batch is resolved by native windows against what is stored of the
+slots it touches. The state is a versioned table in buckets by a hash of (unit, slot):
+
+* ``tail``: the row of the highest id of every slot, as it arrived; a batch rewrites the buckets of its own slots only;
+* ``past``: all other rows; a batch appends to the buckets of its own slots. It is read only for slots with a late arrival (an
+  id below the slot's highest), whose neighbours are linked anew.
+
+So a batch costs what it touches, and ids may arrive in any order. The sink is a changelog, one ``batch=<id>`` folder per
+micro-batch: arrivals as resolved so far, and again known rows that close at another time now; the latest event of each id
+gives exactly the batch ``close_previous`` table. Events are written before the state is committed with the number of
+its batch, so a replayed batch starts from the same state and writes the same events, or is known to be done.
 
 Replays (``run_*_stream``) deliver the input as arrivals written with full parallelism and drain each one with an
 ``availableNow`` run against the same checkpoint, so state and sink carry over exactly as across restarts.
@@ -19,42 +24,60 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from upkeep.operators.history import auto_detail, close_previous_incremental
+from upkeep.operators import buckets, versions
+from upkeep.operators.history import SLOT, auto_detail, relinked
 from upkeep.session import shared_path
 from upkeep.sources.schemas import EQUIPMENT_COMPONENT, MAINTENANCE_LOG, MAINTENANCE_LOG_DETAIL, conform
 
 EVENT_SCHEMA = EQUIPMENT_COMPONENT
+EVENTS = StructType([*EVENT_SCHEMA.fields, StructField("batch", IntegerType(), True)])  # the folder of the micro-batch
+STATE_BUCKETS = 64
+# appended pieces of a bucket of the past that are rewritten as one
+PIECES = 16
 
 
 def fold_changelog(events: DataFrame) -> DataFrame:
-    """Final state per component: both events carry the attributes; at most one carries a removal time."""
-    cols = [c for c in EVENT_SCHEMA.fieldNames() if c != "id"]
-    return conform(events.groupBy("id").agg(*[F.max(c).alias(c) for c in cols]), EQUIPMENT_COMPONENT)
+    """Final state per component: the event of its latest ``batch``."""
+    cols = EVENT_SCHEMA.fieldNames()
+    latest = events.groupBy("id").agg(F.max_by(F.struct(*cols), "batch").alias("e"))
+    return conform(latest.select("e.*"), EQUIPMENT_COMPONENT)
 
 
 def arrival_ranges(df: DataFrame, order_col: str, batches: int) -> list[tuple[int, int]]:
-    """``batches`` consecutive [lo, hi) ranges of ``order_col`` covering ``df`` (arrival order)."""
+    """``batches`` consecutive [lo, hi) ranges of ``order_col`` covering ``df`` (arrival order); none for an empty table."""
     bounds = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
+    if bounds["lo"] is None:
+        return []
     lo, hi = int(bounds["lo"]), int(bounds["hi"])
     step = max(1, (hi - lo + batches) // batches)
     return [(lo + k * step, lo + (k + 1) * step) for k in range(batches)]
 
 
-def replay(df: DataFrame, src: str, order_col: str, batches: int, run_once) -> None:
-    """Deliver ``df`` to the file source ``src`` in arrival order, one arrival at a time.
+def in_order(df: DataFrame, batches: int, order_col: str = "id") -> list[DataFrame]:
+    """The table as arrivals of rising ``order_col``."""
+    return [df.where((F.col(order_col) >= a) & (F.col(order_col) < b)) for a, b in arrival_ranges(df, order_col, batches)]
+
+
+def shuffled(df: DataFrame, batches: int) -> list[DataFrame]:
+    """The table as arrivals that each hold ids from everywhere."""
+    return [df.where(F.pmod(F.xxhash64("id"), F.lit(batches)) == F.lit(k)) for k in range(batches)]
+
+
+def replay(arrivals: Iterable[DataFrame], src: str, run_once: Callable[[], None]) -> None:
+    """Deliver frames to the file source ``src`` one after the other.
 
     Each arrival is written with full parallelism; ``run_once`` then drains it (``availableNow``, no file cap, so
     one arrival = one micro-batch, ordered inside by the operator) against the same checkpoint, so the state store
     and the sink carry over between arrivals exactly as after a restart.
     """
-    for k, (a, b) in enumerate(arrival_ranges(df, order_col, batches)):
-        df.where((F.col(order_col) >= a) & (F.col(order_col) < b)).write.mode("overwrite").parquet(
-            os.path.join(src, f"arrival={k:05d}")
-        )
+    for k, rows in enumerate(arrivals):
+        rows.write.mode("overwrite").parquet(os.path.join(src, f"arrival={k:05d}"))
         run_once()
 
 
@@ -62,28 +85,71 @@ def _stream_dir(spark: SparkSession, name: str) -> str:
     return shared_path(spark, "streams", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def run_close_previous_stream(spark: SparkSession, components: DataFrame, batches: int = 4) -> DataFrame:
-    """Replay ``components`` (as inserted) through the streaming trigger; return the folded table."""
-    base = _stream_dir(spark, "components")
-    src, sink, state, ckpt = (os.path.join(base, p) for p in ("source", "sink", "open", "checkpoint"))
-    spark.createDataFrame([], EVENT_SCHEMA).write.mode("overwrite").parquet(os.path.join(state, "batch=-1"))
+def _pieces(parts: dict[str, str], wanted: Iterable[int]) -> dict[str, str]:
+    """Parts of the past (``past/<bucket>/<piece>``) of some buckets."""
+    wanted = {str(b) for b in wanted}
+    return {n: p for n, p in parts.items() if n.startswith("past/") and n.split("/")[1] in wanted}
+
+
+def close_batch(spark: SparkSession, state: str, events: str, batch: DataFrame, batch_id: int, n: int = STATE_BUCKETS) -> None:
+    """One micro-batch of the slot trigger: write its events, then commit the state after it."""
+    base = versions.current(spark, state)
+    if base.facts.get("batch", -1) >= batch_id:
+        return  # its state is committed, so its events were written before
+    n = base.facts.get("buckets", n)
+    slotted = batch.where(F.col("slot_label").isNotNull())
+    touched = buckets.touched(slotted, SLOT, n)
+    slots = slotted.groupBy(*SLOT).agg(F.min("id").alias("_lowest"))
+    tails = buckets.read(spark, base.parts, "tail", EVENT_SCHEMA, touched)
+    last = tails.join(slots, SLOT).checkpoint()
+    late = last.where(F.col("_lowest") < F.col("id")).select(*SLOT)
+    crowded = buckets.touched(late, SLOT, n)
+    pieces = _pieces(base.parts, crowded)
+    past = spark.read.schema(EVENT_SCHEMA).parquet(*pieces.values()) if pieces else spark.createDataFrame([], EVENT_SCHEMA)
+    known = last.drop("_lowest").select(*EVENT_SCHEMA.fieldNames()).unionByName(past.join(late, SLOT, "left_semi").select(*EVENT_SCHEMA.fieldNames()))
+    relinked(known, batch).write.mode("overwrite").parquet(events)
+
+    now = last.select(*EVENT_SCHEMA.fieldNames()).unionByName(slotted)
+    place = F.row_number().over(Window.partitionBy(*SLOT).orderBy(F.desc("id")))
+    now = now.withColumn("_place", place).checkpoint()
+    other = tails.join(slots, SLOT, "left_anti").select(*EVENT_SCHEMA.fieldNames())
+    tail = other.unionByName(now.where(F.col("_place") == 1).drop("_place"))
+    parts = buckets.replaced(base.parts, "tail", touched, buckets.write(tail, state, "tail", SLOT, n) if touched else {})
+    behind = now.where(F.col("_place") > 1).drop("_place")
+    full = [b for b in touched if len(_pieces(parts, [b])) >= PIECES]
+    if full:
+        old = _pieces(parts, full)
+        behind = behind.unionByName(spark.read.schema(EVENT_SCHEMA).parquet(*old.values()))
+        parts = {name: path for name, path in parts.items() if name not in old}
+    parts |= {f"{name}/{batch_id}": path for name, path in buckets.write(behind, state, "past", SLOT, n).items()}
+    versions.commit(spark, state, base.number, parts, {"batch": batch_id, "buckets": n})
+
+
+def run_close_previous_stream(
+    spark: SparkSession,
+    components: DataFrame,
+    batches: int = 4,
+    deal: Callable[[DataFrame, int], list[DataFrame]] = in_order,
+    base: str | None = None,
+    state_buckets: int = STATE_BUCKETS,
+) -> DataFrame:
+    """Replay ``components`` (as inserted), dealt into arrivals by ``deal``, through the streaming trigger; return the folded
+    table."""
+    base = base or _stream_dir(spark, "components")
+    src, sink, state, ckpt = (os.path.join(base, p) for p in ("source", "sink", "state", "checkpoint"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        before = spark.read.schema(EVENT_SCHEMA).parquet(os.path.join(state, f"batch={batch_id - 1}"))
-        events = os.path.join(sink, f"batch={batch_id}")
-        close_previous_incremental(before, batch).write.mode("overwrite").parquet(events)
-        resolved = spark.read.schema(EVENT_SCHEMA).parquet(events)
-        still_open = resolved.where(F.col("removed_at").isNull() & F.col("slot_label").isNotNull())
-        untouched = before.join(resolved.select("id"), "id", "left_anti")
-        untouched.unionByName(still_open).write.mode("overwrite").parquet(os.path.join(state, f"batch={batch_id}"))
+        close_batch(spark, state, os.path.join(sink, f"batch={batch_id}"), batch.select(*EVENT_SCHEMA.fieldNames()), batch_id, state_buckets)
 
     def run_once() -> None:
         stream = spark.readStream.schema(EQUIPMENT_COMPONENT).option("recursiveFileLookup", "true").parquet(src)
         q = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt).trigger(availableNow=True)
         q.start().awaitTermination()
 
-    replay(conform(components, EQUIPMENT_COMPONENT), src, "id", batches, run_once)
-    return fold_changelog(spark.read.schema(EVENT_SCHEMA).parquet(sink))
+    replay(deal(conform(components, EQUIPMENT_COMPONENT), batches), src, run_once)
+    if not versions.children(spark, sink):
+        return spark.createDataFrame([], EQUIPMENT_COMPONENT)
+    return fold_changelog(spark.read.schema(EVENTS).parquet(sink))
 
 
 def run_auto_detail_stream(spark: SparkSession, details: DataFrame, logs: DataFrame, batches: int = 4) -> DataFrame:
@@ -115,5 +181,5 @@ def run_auto_detail_stream(spark: SparkSession, details: DataFrame, logs: DataFr
         q = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt).trigger(availableNow=True)
         q.start().awaitTermination()
 
-    replay(conform(logs, MAINTENANCE_LOG), src, "id", batches, run_once)
+    replay(in_order(conform(logs, MAINTENANCE_LOG), batches), src, run_once)
     return spark.read.schema(MAINTENANCE_LOG_DETAIL).parquet(sink).select(*MAINTENANCE_LOG_DETAIL.fieldNames())
