@@ -100,6 +100,28 @@ def test_odd(spark, odd_documents, no_documents):
     assert got(ngram_join.jaccard_components(no_documents)) == []
 
 
+def test_rows_of_one_id_are_one_node(spark):
+    a, b = "one two three four five six seven eight nine ten", "q w e r t y u i o p a s d f"
+    rows = [(5, a), (7, a), (7, b), (9, b + " "), (11, "other words that nobody shares at all"), (None, a), (None, None)]
+    found = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id or 0, r.component_id or 0) for r in found) == [(0, 0), (0, 0), (5, 5), (7, 5), (7, 5), (9, 5), (11, 11)]
+
+
+def test_one_of_each_loses_no_text(spark):
+    """Rows are judged by their texts: an unrelated text of a repeated id stays, copies go with any id or none."""
+    a, b = "one two three four five six seven eight nine ten", "q w e r t y u i o p a s d f"
+    c = " ".join(f"c{i}" for i in range(40))
+    rows = [(5, a, 1), (7, a, 2), (7, b, 3), (None, a, 4), (None, c, 5), (None, c + " more", 6), (None, c, 7), (8, None, 8), (8, None, 9), (None, "", 10)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, n int")
+    kept = ngram_join.one_of_each(df)
+    assert kept.columns == df.columns
+    got = [tuple(r) for r in kept.collect()]
+    assert sorted(r[2] for r in got if r[1] in (a, b)) == [1, 3] and sorted(r[2] for r in got if not r[1]) == [8, 9, 10]
+    assert len([r for r in got if r[1] and r[1].startswith("c0")]) == 1 and len(got) == 6
+    unique = df.where("n in (1, 3, 5)").withColumn("doc_id", df["n"])
+    assert sorted(r.n for r in ngram_join.one_of_each(unique).collect()) == [1, 3, 5]
+
+
 def test_long_chain_components(spark):
     n = 200
     order = np.random.default_rng(1).permutation(n).tolist()

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from upkeep.llm.common import LOWER, NON_SPACE_BYTE, Chunk, Hasher, chunks, list_array, mix, release, shingle_hashes, written
 from upkeep.llm.components import connected_components
+from upkeep.operators.ids import with_sequence
 
 K = 5
 PERCENT = 80
@@ -202,6 +203,19 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return needed.groupBy(*key).cogroup(dealt.groupBy(*key)).applyInArrow(_verify(percent), "a bigint, b bigint")
 
 
+def _links_of_repeated_ids(narrow: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): classes that rows of one doc_id belong to, by their representatives; none where ids are unique."""
+    spark = narrow.sparkSession
+    named = narrow.where("doc_id is not null and n > 0")
+    ids = named.agg(F.count("*"), F.countDistinct("doc_id")).first()
+    if ids[0] == ids[1]:
+        return spark.createDataFrame([], "a bigint, b bigint")
+    several = named.distinct().groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select("doc_id")
+    own = written(named.join(written(several, "several"), "doc_id").join(classes, ["n", "h1", "h2"]).select("doc_id", "rep").distinct(), "own-classes")
+    first = own.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    return written(own.join(first, "doc_id").where("rep != a").select("a", F.col("rep").alias("b")).distinct(), "links")
+
+
 def jaccard_components(docs: DataFrame, words: int = K, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
@@ -249,8 +263,8 @@ def jaccard_components(docs: DataFrame, words: int = K, percent: int = PERCENT)
 
     # if a shingle is the first that two sets share, they share no more than what either has from there on
     possible = F.expr(f"{100 + percent} * least(n - at, n2 - at2) >= {percent} * (n + n2)")
-    labels = spark.createDataFrame([], "node bigint, label bigint")
-    links = spark.createDataFrame([], "a bigint, b bigint")
+    links = _links_of_repeated_ids(narrow, classes)
+    labels = spark.createDataFrame([], "node bigint, label bigint") if links.isEmpty() else connected_components(links)
     for turn in range(STARS):
         # in each posting one set leads, another one each time; a set meets the leader it shares most postings with
         now = written(_labelled(postings, labels), "now")
@@ -297,13 +311,31 @@ def jaccard_components(docs: DataFrame, words: int = K, percent: int = PERCENT)
     )
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row``: a number for each distinct (doc_id, text), by doc_id (null last) and text digest."""
+    digest = F.coalesce(F.sha2("text", 256), F.lit(""))
+    keyed = docs.withColumns({"_id": F.col("doc_id").cast("bigint"), "_digest": digest})
+    order = [F.asc_nulls_last("_id"), F.asc("_digest")]
+    names = with_sequence(keyed.select("_id", "_digest").distinct(), order, "_row")
+    names = written(names.select(F.col("_id").alias("_named"), F.col("_digest").alias("_named_digest"), "_row"), "row-numbers")
+    same = F.col("_id").eqNullSafe(F.col("_named")) & (F.col("_digest") == F.col("_named_digest"))
+    return keyed.join(names, same).select(*docs.columns, "_row")
+
+
 def one_of_each(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each component (the smallest doc_id), all columns; documents without an id stay."""
-    components = jaccard_components(docs.select("doc_id", "text"), k, percent).where("doc_id is not null")
-    keep = written(components.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_copies")), "kept")
-    named = docs.where("doc_id is not null")
-    same = named["doc_id"].cast("bigint").eqNullSafe(keep["doc_id"])
-    out = named.join(keep.where("_copies = 1"), same, "left_semi")
-    if keep.where("_copies > 1").limit(1).count():
-        out = out.unionByName(named.join(keep.where("_copies > 1"), same, "left_semi").dropDuplicates(["doc_id"]))
-    return out.unionByName(docs.where("doc_id is null"))
+    """``docs`` with one row of each group of near copies (the one of the smallest doc_id), all columns; texts without words
+    stay.
+
+    Where ids repeat or are missing, rows are told apart by doc_id and text: texts without a near copy stay whatever their id,
+    and near copies without an id go like any other.
+    """
+    if (ids := docs.agg(F.count("*"), F.countDistinct("doc_id")).first())[0] == ids[1]:
+        components = jaccard_components(docs.select("doc_id", "text"), k, percent)
+        keep = written(components.where("doc_id = component_id").select("doc_id"), "kept")
+        return docs.join(keep, docs["doc_id"].cast("bigint") == keep["doc_id"], "left_semi")
+    numbered = written(_numbered(docs), "numbered")
+    components = jaccard_components(numbered.select(F.col("_row").alias("doc_id"), "text"), k, percent)
+    keep = components.where("doc_id = component_id").select(F.col("doc_id").alias("_row"), (F.col("n_shingles") > 0).alias("_words"))
+    kept = written(numbered.join(written(keep.distinct(), "kept"), "_row"), "kept-rows")
+    once = kept.where("_words").dropDuplicates(["_row"])
+    return once.unionByName(kept.where("NOT _words")).select(*docs.columns)
