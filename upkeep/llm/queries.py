@@ -110,6 +110,92 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+NGRAM_JOIN_SQL = """
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') as w
+  from documents
+), shingles as (
+  select distinct doc_id, unnest(list_transform(range(greatest(len(w) - 4, 1)), lambda i: array_to_string(w[i + 1 : i + 5], ' '))) as shingle
+  from words where len(w) > 0
+), sized as (
+  select doc_id, count(*) as n from shingles group by doc_id
+), shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c
+  from shingles a join shingles b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all
+), links as (
+  select a, b from shared join sized x on x.doc_id = a join sized y on y.doc_id = b where 100 * c >= 80 * (x.n + y.n - c)
+), edges as (
+  select a, b from links union all select b, a from links
+), reach as (
+  select doc_id as doc, doc_id as other from documents
+  union
+  select reach.doc, edges.b from reach join edges on edges.a = reach.other
+)
+select d.doc_id, coalesce(s.n, 0) as n_shingles, c.component_id
+from documents d left join sized s using (doc_id)
+join (select doc as doc_id, min(other) as component_id from reach group by doc) c using (doc_id)
+"""
+
+DECONTAMINATION_SQL = """
+with doc_words as (
+  select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+  from documents
+), item_words as (
+  select item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+  from benchmark
+), windows as (
+  select distinct item_id, least(len(w), 10) as size,
+    unnest(list_transform(range(greatest(len(w) - 9, 1)), lambda i: array_to_string(w[i + 1 : i + 10], ' '))) as words
+  from item_words where len(w) > 0
+), sizes as (
+  select distinct size from windows
+), places as (
+  select doc_id, size, unnest(range(len(w) - size + 1)) as place, w from doc_words, sizes where len(w) >= size
+), found as (
+  select p.doc_id, p.place, p.size, v.item_id
+  from (select doc_id, place, size, array_to_string(w[place + 1 : place + size], ' ') as words from places) p join windows v using (size, words)
+), hit as (
+  select doc_id, count(distinct word) as n_hit from (select doc_id, unnest(range(place, place + size)) as word from found) group by doc_id
+), items as (
+  select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as ids
+  from (select distinct doc_id, cast(item_id as varchar) as item_id from found) group by doc_id
+)
+select doc_id, cast(coalesce(len(w), 0) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from doc_words left join hit using (doc_id) left join items using (doc_id)
+"""
+
+SUFFIX_DEDUP_SQL = """
+with hexed as (
+  select doc_id, coalesce(hex(encode(text)), '') as h from documents
+), spans as (
+  select doc_id, start, substr(h, 2 * start + 1, 200) as bytes
+  from (select doc_id, h, unnest(range(len(h) // 2 - 99)) as start from hexed where len(h) >= 200)
+), ranked as (
+  select doc_id, start, row_number() over (partition by bytes order by doc_id, start) as place from spans
+), runs as (
+  select doc_id, start, sum(fresh) over (partition by doc_id order by start) as run
+  from (
+    select doc_id, start, case when start <= lag(start) over (partition by doc_id order by start) + 100 then 0 else 1 end as fresh
+    from ranked where place > 1
+  )
+), cuts as (
+  select doc_id, min(start) as s, max(start) + 100 as e from runs group by doc_id, run
+), pieces as (
+  select doc_id, s, e, coalesce(lag(e) over (partition by doc_id order by s), 0) as before from cuts
+), kept as (
+  select doc_id, count(*) as n_spans, sum(e - s) as n_removed, max(e) as last,
+    string_agg(substr(h, 2 * before + 1, 2 * (s - before)), '' order by s) as head
+  from pieces join hexed using (doc_id) group by doc_id
+)
+select doc_id, cast(len(h) // 2 as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, coalesce(n_spans, 0) as n_spans,
+  sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) as kept_sha256
+from hexed left join kept using (doc_id)
+"""
+
 RANKED_SEARCH_SQL = """
 with words as (
   select row_number() over () as row_id, doc_id,
@@ -196,4 +282,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filter": URL_FILTER_SQL, "op12_ranked_search": RANKED_SEARCH_SQL}
+    return {
+        "op3_ngram_join": NGRAM_JOIN_SQL,
+        "op4_decontamination": DECONTAMINATION_SQL,
+        "op5_url_filter": URL_FILTER_SQL,
+        "op9_suffix_dedup": SUFFIX_DEDUP_SQL,
+        "op12_ranked_search": RANKED_SEARCH_SQL,
+    }
