@@ -8,15 +8,19 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import uuid
 
 from pyspark.sql import functions as F
 
 from upkeep.functions.intervals import add_days, add_months_frac, add_weeks, add_years_frac
-from upkeep.operators import due, history, load, quality, snapshot
+from upkeep.operators import colocated, due, history, key_index, load, quality, quarantine, snapshot, stored
+from upkeep.operators.ids import with_sequence
 from upkeep.plans import oracle as O
 from upkeep.plans import refresh, views
+from upkeep.session import shared_path
 from upkeep.sources import testdata as td
 from upkeep.sources.schemas import METER, NOT_NULL, VARCHAR_LIMITS
+from upkeep.sources.seed import seed_tables
 from upkeep.sources.tables import YEAR_COL, read_table
 
 # Fixed values of the scenarios.
@@ -25,6 +29,7 @@ LOADED_BEFORE = dt.date(1999, 1, 1)  # logs before this are "already in the tabl
 DELETED_COMPANY = "EUROPE"  # company removed in the ON DELETE SET NULL scenario
 GONE_MODEL, GONE_TASK, GONE_FREQUENCY = 2, "3-MEDIUM", "KM"  # parents deleted in the snapshot cascades
 PENDING_STATUS = "P"  # pending orders arrive without a performed_on date
+COLOCATED_BUCKETS = 8  # of the stored sides of the due dates; large fleets take thousands
 THRESHOLD_SETS = [("null", None, None, None), ("negative", -30, -5, -5), ("zero", 0, 0, 0)]
 
 
@@ -256,6 +261,133 @@ def q_natural_key_reload(spark, sf_dir):
     return quality._union(frames)
 
 
+def q_natural_key_index(spark, sf_dir):
+    """The same two loads against stored key indexes instead of the loaded tables."""
+    frames = []
+    for name, rows in _t(spark, sf_dir).as_dict().items():
+        root = _scratch(spark, f"keys-{name}")
+        for step in ("first", "again"):
+            fresh = key_index.load_indexed(spark, root, name, rows, n=8)
+            frames.append(
+                fresh.agg(F.count(F.lit(1)).alias("inserted")).select(F.lit(name).alias("table_name"), F.lit(step).alias("load"), "inserted")
+            )
+    return quality._union(frames)
+
+
+def q_seed_load(spark, sf_dir):
+    """R-04: the seed's constant rows of the catalog tables inserted into the given ones, if absent by natural key; their ids
+    continue, and parents are looked up by name. Returns what was inserted."""
+    t, seed = _t(spark, sf_dir), seed_tables(spark, td.AS_OF)
+
+    def inserted(name, rows):
+        fresh = load.load_table(name, getattr(t, name), rows).drop("id").withColumnRenamed("_order", "order_")
+        return with_sequence(fresh, ["order_"], "id", snapshot.max_id(getattr(t, name)))
+
+    def ordered(name):
+        return getattr(seed, name).withColumn("_order", F.col("id"))
+
+    def found(name, rows):
+        """Names and ids after the insert."""
+        known = getattr(t, name).select("id", "name")
+        return known.unionByName(rows.select("id", "name"))
+
+    company, part = inserted("company", ordered("company")), inserted("part_type", ordered("part_type"))
+    model = inserted("equipment_model", ordered("equipment_model"))
+    farms = ordered("farm").join(seed.company.select(F.col("id").alias("company_id"), F.col("name").alias("company_name")), "company_id")
+    farms = load.lookup_id(farms.drop("company_id"), found("company", company), {"company_name": "name"}, as_name="company_id")
+    farm = inserted("farm", farms)
+    tasks = ordered("maintenance_task").join(
+        seed.part_type.select(F.col("id").alias("default_part_type_id"), F.col("name").alias("part_name")), "default_part_type_id", "left"
+    )
+    tasks = load.lookup_id(tasks.drop("default_part_type_id"), found("part_type", part), {"part_name": "name"}, as_name="default_part_type_id")
+    task = inserted("maintenance_task", tasks)
+    none = F.lit(None).cast("bigint")
+    return quality._union(
+        [
+            rows.select(F.lit(name).alias("table_name"), "id", F.col(label).alias("name"), parent.alias("parent_id"))
+            for name, rows, label, parent in (
+                ("company", company, "name", none),
+                ("farm", farm, "name", F.col("company_id")),
+                ("equipment_model", model, "model_name", none),
+                ("part_type", part, "name", none),
+                ("maintenance_task", task, "name", F.col("default_part_type_id")),
+            )
+        ]
+    )
+
+
+def q_time_due_colocated(spark, sf_dir):
+    """The due dates of the time rules from picked rules and last logs stored side by side."""
+    t = _t(spark, sf_dir)
+    path = _scratch(spark, "colocated")
+    picked = colocated.store(refresh.picked(t), path, "picked", COLOCATED_BUCKETS)
+    last = colocated.store(due.last_log(t.maintenance_log), path, "last_log", COLOCATED_BUCKETS)
+    values = refresh.due_values(t, picked, last)
+    return values.where(F.col("frequency_type").isin("DAYS", "WEEKS", "MONTHS", "YEARS")).select("equipment_id", "rule_id", "task_id", "next_due_date")
+
+
+def q_stored_deletes(spark, sf_dir):
+    """Old logs, the units of a model and a company deleted from the stored tables in one commit; what is left per table and
+    year."""
+    from upkeep.plans.catalog import stored_snapshot
+
+    t, snap = stored_snapshot(spark, sf_dir)
+    root = _scratch(spark, "stored")
+    version = stored.publish(spark, root, td.materialize(spark, sf_dir), snap, n=16)
+    old = _logs_between(stored.read_years(spark, version, "maintenance_log"), hi=ARCHIVE_BEFORE).select("id", YEAR_COL)
+    units = t.equipment.where(F.col("equipment_model_id") == GONE_MODEL).select("id")
+    companies = t.company.where(F.col("name") == DELETED_COMPANY).select("id")
+    version = stored.delete(spark, root, logs=old, units=units, companies=companies)
+    due_rows = stored.read_due(spark, version).withColumn(YEAR_COL, F.lit(None).cast("int"))
+    frames = [(n, stored.read_years(spark, version, n)) for n in stored.HEADER]
+    frames += [("due_soon", due_rows), ("due_soon without company", due_rows.where(F.col("company_id").isNull()))]
+    return quality._union(
+        [
+            rows.groupBy(YEAR_COL).agg(F.count(F.lit(1)).alias("rows_left"), F.sum("id").cast("bigint").alias("id_sum")).withColumn("table_name", F.lit(name))
+            for name, rows in frames
+        ]
+    )
+
+
+def _broken_copies(name, df):
+    """``df`` with the j-th of its k rules broken where ``id % (k + 1) = j``."""
+    rules = quarantine.rules_of(name)
+    turn = F.col("id") % F.lit(len(rules) + 1)
+    changes: dict = {}
+    for j, (rule, column) in enumerate(rules):
+        bad = {"not_null": F.lit(None), "varchar": F.repeat(F.lit("x"), F.lit(VARCHAR_LIMITS.get(name, {}).get(column, 0) + 1)), "foreign_key": -1 - F.col("id"), "scope": F.lit(None)}
+        for c in quarantine.SCOPES if rule == "scope" else [column]:
+            if rule != "repeated_id":
+                changes.setdefault(c, []).append((turn == F.lit(j), bad[rule]))
+    twice = df.unionByName(df.where(turn == F.lit(len(rules) - 1)))  # the last rule: repeated ids
+
+    def changed(c):
+        out = F.col(c)
+        for cond, value in changes[c]:
+            out = F.when(cond, value).otherwise(out)
+        return out
+
+    return twice.select(*[changed(c).alias(c) if c in changes else F.col(c) for c in df.columns])
+
+
+def q_dq_quarantine(spark, sf_dir):
+    """Every rule broken in every table, screened in one pass per table: rows counted by the pass and rows listed."""
+    whole = _all_tables(spark, sf_dir)
+    root = _scratch(spark, "quarantine")
+    frames = []
+    for name, df in whole.items():
+        seen = quarantine.screen(spark, root, name, _broken_copies(name, df), whole)
+        counts = [(name, r, c, n) for (r, c), n in seen.counts.items()]
+        every = spark.createDataFrame(counts, "table_name string, rule string, column_name string, violations bigint")
+        listed = seen.offenders.groupBy("rule", "column_name").agg(F.count(F.lit(1)).alias("listed"))
+        frames.append(every.join(listed, ["rule", "column_name"], "left").select(*every.columns, F.coalesce("listed", F.lit(0)).alias("listed")))
+    return quality._union(frames)
+
+
+def _scratch(spark, name: str) -> str:
+    return shared_path(spark, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
 def _busiest_unit(t):
     """The unit with the most logs (lowest id of several): one scalar, the ``:eq_id`` of the reference's queries."""
     busiest = t.maintenance_log.groupBy("equipment_id").count().orderBy(F.desc("count"), "equipment_id").first()
@@ -394,6 +526,11 @@ SPARK = {
     "yearly_log_counts": q_yearly_log_counts,
     "last_log_incremental": q_last_log_incremental,
     "natural_key_reload": q_natural_key_reload,
+    "natural_key_index": q_natural_key_index,
+    "seed_load": q_seed_load,
+    "time_due_colocated": q_time_due_colocated,
+    "stored_deletes": q_stored_deletes,
+    "dq_quarantine": q_dq_quarantine,
     "unit_components": q_unit_components,
     "unit_timeline": q_unit_timeline,
     "snapshot_cascades": q_snapshot_cascades,
@@ -502,6 +639,53 @@ def _dq_selects(kind: str) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _quarantine_select() -> str:
+    """Each rule is broken by every (k + 1)-th row of its table, the last one (ids that repeat) by rows that come twice."""
+    sources = dict(_TABLE_CTES, due_soon="snap_new")
+    parts = []
+    for name, required in _REQUIRED.items():
+        rules = [("not_null", c) for c in required.split()]
+        rules += [("varchar", c) for c, _ in _pairs(_LONGEST.get(name, ""))]
+        rules += [("foreign_key", c) for c, _ in _pairs(_PARENTS.get(name, ""))]
+        rules += [("scope", "")] if name == "maintenance_rule" else []
+        rules.append(("repeated_id", "id"))
+        for j, (rule, column) in enumerate(rules):
+            rows = f"count(*) FILTER (WHERE id % {len(rules) + 1} = {j})" + (" * 2" if rule == "repeated_id" else "")
+            parts.append(f"SELECT '{name}' AS table_name, '{rule}' AS rule, '{column}' AS column_name, {rows} AS violations, {rows} AS listed FROM {sources[name]}")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _seed_load_oracle() -> str:
+    """The seed's catalog rows (fixed values) numbered after the given ones."""
+    return _a(
+        """s_company(n, name) AS (VALUES (1, 'Acme Farms'), (2, 'GreenFields Co.')),
+s_farm(n, name, company) AS (VALUES (1, 'North Farm', 'Acme Farms'), (2, 'South Farm', 'Acme Farms'), (3, 'Valley Farm', 'GreenFields Co.')),
+s_model(n, manufacturer, name) AS (VALUES (1, 'John Deere', '6110'), (2, 'Case IH', 'Axial-Flow 8250'), (3, 'Ford', 'F-250')),
+s_part(n, name) AS (VALUES (1, 'Oil Filter Type A'), (2, 'Oil Filter Type B'), (3, 'Hydraulic Filter H100'), (4, 'Front Tire 18"'), (5, 'Engine Oil 15W-40')),
+s_task(n, name, part) AS (VALUES (1, 'Change Engine Oil', 'Engine Oil 15W-40'), (2, 'Replace Oil Filter', 'Oil Filter Type A'), (3, 'Grease Fittings', NULL),
+  (4, 'Inspect Tires', NULL), (5, 'Replace Hydraulic Filter', NULL)),
+n_company AS (SELECT (SELECT coalesce(max(id), 0) FROM a_company) + row_number() OVER (ORDER BY n) AS id, name FROM s_company WHERE name NOT IN (SELECT name FROM a_company)),
+n_part AS (SELECT (SELECT coalesce(max(id), 0) FROM a_part) + row_number() OVER (ORDER BY n) AS id, name FROM s_part WHERE name NOT IN (SELECT name FROM a_part)),
+every_company AS (SELECT id, name FROM a_company UNION ALL SELECT id, name FROM n_company),
+every_part AS (SELECT id, name FROM a_part UNION ALL SELECT id, name FROM n_part),
+p_farm AS (SELECT n, s.name, c.id AS parent_id FROM s_farm s JOIN every_company c ON c.name = s.company),
+n_farm AS (
+  SELECT (SELECT coalesce(max(id), 0) FROM a_farm) + row_number() OVER (ORDER BY n) AS id, name, parent_id FROM p_farm p
+  WHERE NOT EXISTS (SELECT 1 FROM a_farm f WHERE f.name = p.name AND f.company_id = p.parent_id)),
+n_model AS (
+  SELECT (SELECT coalesce(max(id), 0) FROM a_model) + row_number() OVER (ORDER BY n) AS id, name FROM s_model s
+  WHERE NOT EXISTS (SELECT 1 FROM a_model m WHERE m.manufacturer = s.manufacturer AND m.model_name = s.name)),
+n_task AS (
+  SELECT (SELECT coalesce(max(id), 0) FROM a_task) + row_number() OVER (ORDER BY n) AS id, name, (SELECT p.id FROM every_part p WHERE p.name = s.part) AS parent_id
+  FROM s_task s WHERE name NOT IN (SELECT name FROM a_task))""",
+        select="""SELECT 'company' AS table_name, id, name, NULL::BIGINT AS parent_id FROM n_company
+UNION ALL SELECT 'farm', id, name, parent_id FROM n_farm
+UNION ALL SELECT 'equipment_model', id, name, NULL FROM n_model
+UNION ALL SELECT 'part_type', id, name, NULL FROM n_part
+UNION ALL SELECT 'maintenance_task', id, name, parent_id FROM n_task""",
+    )
+
+
 def _oracles() -> dict[str, str]:
     from upkeep.plans.catalog import PARAMS, PREVIOUS_GAP_DAYS, _STAGE_COLS
 
@@ -702,10 +886,28 @@ ANTI JOIN (SELECT id AS rule_id FROM a_rule WHERE frequency_type = '{GONE_FREQUE
             for n, q in identities.items()
         )
     )
+    out["natural_key_index"] = out["natural_key_reload"]
+    out["seed_load"] = _seed_load_oracle()
+    out["stored_deletes"] = _a(
+        *snap_blocks,
+        O.snapshot_ctes(True),
+        f"""left_log AS (SELECT *, CAST(year(performed_on) AS INTEGER) AS performed_year FROM a_log WHERE performed_on >= DATE '{ARCHIVE_BEFORE.isoformat()}'),
+left_line AS (SELECT d.id, l.performed_year FROM a_detail d JOIN left_log l ON l.id = d.maintenance_log_id),
+left_due AS (SELECT * FROM snap_new WHERE equipment_id NOT IN (SELECT id FROM a_equipment WHERE equipment_model_id = {GONE_MODEL})),
+left_rows AS (
+  SELECT 'maintenance_log' AS table_name, performed_year, id FROM left_log
+  UNION ALL SELECT 'maintenance_log_detail', performed_year, id FROM left_line
+  UNION ALL SELECT 'due_soon', NULL, id FROM left_due
+  UNION ALL SELECT 'due_soon without company', NULL, id FROM left_due
+  WHERE company_id IS NULL OR company_id IN (SELECT id FROM a_company WHERE name = '{DELETED_COMPANY}'))""",
+        select="SELECT table_name, performed_year, count(*) AS rows_left, CAST(sum(id) AS BIGINT) AS id_sum FROM left_rows GROUP BY ALL",
+    )
+    out["dq_quarantine"] = _a(*snap_blocks, O.snapshot_ctes(True), select=_quarantine_select())
     # incremental maintenance must equal the full recomputation
     from upkeep.plans.catalog import _proc
 
     out["last_log_incremental"] = _proc("SELECT * FROM last_log")
+    out["time_due_colocated"] = _proc("SELECT * FROM time_due")
     # the folded streams must equal the batch triggers
     out["stream_close_previous"] = out["stream_late_arrivals"] = out["close_previous"]
     out["stream_auto_detail"] = out["auto_detail"]
