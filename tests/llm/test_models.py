@@ -72,6 +72,74 @@ def test_language_odd(spark, odd_documents, no_documents):
     assert language.identify(no_documents, model).collect() == []
 
 
+def test_quality_scores_are_a_walk_down_each_tree(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    trees = quality.fit_quality(docs, labels)
+    rows = docs.select("doc_id", "text").limit(80).collect()
+    got = {r.doc_id: r.score for r in quality.quality_scores(docs, trees).collect()}
+    for r in rows:
+        x = quality.statistics(next(chunks(pa.array([r.text], pa.string()))), Hasher())[0]
+        total = trees.base
+        for feature, threshold, leaf in zip(trees.feature, trees.threshold, trees.leaf):
+            node = 0
+            while node < len(feature):
+                node = 2 * node + (2 if x[feature[node]] > threshold[node] else 1)
+            total += leaf[node - len(feature)]
+        assert abs(got[r.doc_id] - 1 / (1 + np.exp(-total))) < 1e-9
+
+
+def test_statistics_by_hand():
+    x = dict(zip(quality.FEATURES, quality.statistics(next(chunks(pa.array(["Ab ab, ab ab!\n12 #x"]))), Hasher())[0]))
+    assert np.isclose(x["log_bytes"], np.log1p(19)) and np.isclose(x["log_words"], np.log1p(6)) and np.isclose(x["log_lines"], np.log1p(2))
+    assert np.isclose(x["upper_share"], 1 / 19) and np.isclose(x["digit_share"], 2 / 19) and np.isclose(x["space_share"], 5 / 19) and np.isclose(x["symbol_share"], 2 / 19)
+    assert np.isclose(x["word_mean"], 14 / 6) and np.isclose(x["word_longest"], np.log1p(3)) and np.isclose(x["distinct_words"], 1) and x["repeated_next"] == 0
+    assert np.isclose(x["symbol_words"], 2 / 6) and np.isclose(x["distinct_lines"], 1)
+
+
+def plain_subwords(text):
+    """Buckets of the 2-, 3- and 4-grams of a text, one by one."""
+    data = (text or "").encode()
+    code = [c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in data]
+    out = []
+    for n in (2, 3, 4):
+        for i in range(len(code) - n + 1):
+            if code[i] == 32 and code[i + 1] == 32:
+                continue
+            value = code[i]
+            for c in code[i + 1 : i + n]:
+                value = (value * 0x01000193 & 0xFFFFFFFF) ^ c
+            mixed = ((value ^ (value >> 15)) * 0x85EBCA6B + n) & 0xFFFFFFFF
+            out.append((mixed ^ (mixed >> 13)) & (language.BUCKETS - 1))
+    return out
+
+
+def test_language_scores_are_plain_means(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language.fit_language(docs)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs, model).collect()}
+    for r in docs.select("doc_id", "text").limit(40).collect():
+        found = plain_subwords(r.text)
+        mean = sum(model.table[b].astype(float) for b in found) / max(len(found), 1)
+        z = (mean + model.bias) / model.temperature
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert got[r.doc_id][0] == model.languages[int(p.argmax())] and abs(got[r.doc_id][1] - p.max()) < 1e-6
+
+
+def test_samples_are_bounded_in_rows(spark):
+    """An id with many texts gives one of them; classes are sampled to their bound; the same rows give the same sample."""
+    from upkeep.llm.common import one_text_each, sample_of_classes
+
+    known = spark.range(3000).selectExpr("id as doc_id", "if(id % 3 = 0, 'a', 'b') as lang")
+    sample = sample_of_classes(known, 100)
+    assert sample == sample_of_classes(known.repartition(5), 100)
+    assert all(70 <= sum(c == k for _, c in sample) <= 100 for k in "ab")
+    assert sorted(sample_of_classes(known, 10**6)) == [(i, "b" if i % 3 else "a") for i in range(3000)]
+    assert sample_of_classes(known.limit(0), 5) == []
+    hot = spark.range(5000).selectExpr("7L as doc_id", "if(id % 2 = 0, 'a', 'b') as lang", "concat('text ', id % 50) as text")
+    rows = one_text_each(hot, spark.createDataFrame([(7, "b"), (8, "a")], "doc_id bigint, lang string"), on=("lang",)).collect()
+    assert [(r.doc_id, r.lang) for r in rows] == [(7, "b")] and int(rows[0].text.split()[1]) % 2 == 1
+
+
 def test_language_letters():
     chunk = next(chunks(pa.array(["12 !", "1 ж", "€ 5", "a", "", "中"])))
     assert language.has_letter(chunk).tolist() == [False, True, False, True, False, True]

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from upkeep.session import ensure_checkpoint_dir
 
@@ -177,6 +178,38 @@ def list_array(values: pa.Array, sizes: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), values)
 
 
+_PLACES = 1 << 40
+
+
+def sample_of_classes(labelled: DataFrame, per_class: int) -> list[tuple[int, object]]:
+    """(doc_id, class) of at most ``per_class`` documents of each class of ``labelled`` (doc_id, class), distinct by doc_id.
+
+    The ids are those whose hash is below a bound that follows from the number of each class: rows are counted, then filtered
+    where they are, so no task and no key sees more than its share, and what comes to the driver is bounded by the sample. The
+    same rows give the same sample.
+    """
+    doc, kind = labelled.columns
+    sizes = {r[0]: r[1] for r in labelled.groupBy(kind).agg(F.count("*")).collect()}
+    if not sizes:
+        return []
+    place = F.pmod(F.xxhash64(doc), F.lit(_PLACES))
+    bound = F.coalesce(*(F.when(F.col(kind) == F.lit(c), F.lit(int(min(1.0, per_class / n) * _PLACES))) for c, n in sizes.items()), F.lit(0))
+    chosen = labelled.where(place < bound).select(doc, kind, place).collect()  # about per_class of each class
+    out: dict[object, list] = {}
+    for row in sorted(chosen, key=lambda r: (r[2], r[0])):
+        out.setdefault(row[1], []).append((row[0], row[1]))
+    return [pair for rows in out.values() for pair in rows[:per_class]]
+
+
+def one_text_each(docs: DataFrame, ids: DataFrame, on: tuple[str, ...] = ()) -> DataFrame:
+    """``ids`` (doc_id, label) with the text of their documents (that agree ``on`` further columns); of a repeated id the text with
+    the least hash, taken map-side."""
+    further = [F.col(c).cast("string").alias(c) for c in on]
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *further, "text").where(F.col("text").isNotNull())
+    same = texts.join(F.broadcast(ids), ["doc_id", *on])  # as many ids as the sample has
+    return same.groupBy(*ids.columns).agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of finished steps whose results are written tables."""
     gc.collect()

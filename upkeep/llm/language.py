@@ -2,8 +2,8 @@
 
 A document is the mean of the embeddings of its byte 2-, 3- and 4-grams (letters lower-cased, all else one separator),
 hashed into ``BUCKETS`` rows; a linear softmax over that mean gives the language. Both are trained together by
-stochastic gradient descent in numpy on a bounded sample: ``per_language`` documents of each language, the smallest
-hashes of doc_id. As the model is linear, embedding times output weights is one table of scores per bucket, and applying
+stochastic gradient descent in numpy on a bounded sample: ``per_language`` documents of each language by a hash of doc_id, one
+text each. As the model is linear, embedding times output weights is one table of scores per bucket, and applying
 it to whole texts is a gather and a sum per document.
 
 The last part of the sample is not trained on: it sets the temperature of the softmax and the score below which a
@@ -20,14 +20,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upkeep.llm.common import LOWER, Chunk, chunks
+from upkeep.llm.common import LOWER, Chunk, chunks, one_text_each, sample_of_classes
 
 BUCKETS = 1 << 16
 DIMENSIONS = 16
-PER_LANGUAGE = 1000  # the largest limit that Spark applies before the shuffle (windowGroupLimitThreshold)
+PER_LANGUAGE = 1200
 HELD_OUT_MODULUS = 3
 HELD_OUT_REMAINDER = 1
 UNDETERMINED = "und"
@@ -146,20 +146,16 @@ def held_out() -> F.Column:
 
 def fit_language(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
     """Model learned from at most ``per_language`` documents of each language outside the held-out fold."""
-    spark = docs.sparkSession
     known = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang")).where(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
     ).where(~held_out())
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= per_language).select("doc_id", "lang").distinct().collect()
-    if not ids:
+    # of an id with several languages the first in order counts
+    known = known.groupBy("doc_id").agg(F.min("lang").alias("lang"))
+    sample = sample_of_classes(known, per_language)
+    if not sample:
         return LanguageModel([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0, 1.0)
-    chosen = spark.createDataFrame([(r["doc_id"], r["lang"]) for r in ids], "doc_id bigint, lang string")
-    texts = (
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
-        .where(F.col("text").isNotNull())
-        .join(F.broadcast(chosen), ["doc_id", "lang"])
-    )
+    ids = docs.sparkSession.createDataFrame(sample, "doc_id bigint, lang string")
+    texts = one_text_each(docs, ids, on=("lang",))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

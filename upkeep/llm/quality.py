@@ -1,7 +1,7 @@
 """Quality classifier: histogram gradient-boosted trees over document statistics.
 
 The statistics are computed from the whole text, vectorised over the bytes of a batch. The trees are fitted in numpy on
-a bounded sample of labelled documents (``max_train`` rows, the smallest hashes of doc_id, so the same rows each time),
+a bounded sample of labelled documents (``max_train`` of them by a hash of doc_id, so the same ones each time, one text each),
 flattened into arrays and applied by vectorised traversal inside Spark tasks.
 
 Null and empty texts have all statistics 0 and get a score like any other text. Labels that are null are ignored,
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upkeep.llm.common import NON_SPACE_BYTE, Chunk, Hasher, chunks
+from upkeep.llm.common import NON_SPACE_BYTE, Chunk, Hasher, chunks, one_text_each, sample_of_classes
 
 MAX_TRAIN = 20_000
 HELD_OUT_MODULUS = 4
@@ -191,21 +191,18 @@ def held_out() -> F.Column:
 
 def fit_quality(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Trees:
     """Trees fitted on at most ``max_train`` labelled documents outside the held-out fold."""
-    spark = docs.sparkSession
-    sample = (
+    known = (
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
         .select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("double").alias("quality"))
         .where(~held_out())
         .groupBy("doc_id")
         .agg(F.avg("quality").alias("quality"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(max_train)
     )
-    wanted = {r["doc_id"]: r["quality"] for r in sample.collect()}  # at most max_train rows
-    if not wanted:
+    sample = sample_of_classes(known.select("doc_id", F.lit(1).alias("any")), max_train)
+    if not sample:
         return fit_trees(np.zeros((0, len(FEATURES))), np.zeros(0))
-    chosen = spark.createDataFrame(list(wanted.items()), "doc_id bigint, quality double")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+    ids = docs.sparkSession.createDataFrame([(doc,) for doc, _ in sample], "doc_id bigint")
+    texts = one_text_each(docs, known.join(F.broadcast(ids), "doc_id"))  # at most max_train ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
@@ -216,7 +213,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN)
                 yield pa.RecordBatch.from_arrays([doc, label, pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "quality", "x"])
 
     rows = texts.select("doc_id", "quality", "text").mapInArrow(run, "doc_id bigint, quality double, x array<double>").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["x"]))  # the order in which tasks end must not show in the trees
+    rows.sort(key=lambda r: r["doc_id"])  # the order in which tasks end must not show in the trees
     if not rows:
         return fit_trees(np.zeros((0, len(FEATURES))), np.zeros(0))
     return fit_trees(np.array([r["x"] for r in rows]), np.array([r["quality"] for r in rows]))

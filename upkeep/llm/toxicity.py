@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upkeep.llm.common import LOWER, WORD_BYTE, Chunk, Hasher, chunks, mix
+from upkeep.llm.common import LOWER, WORD_BYTE, Chunk, Hasher, chunks, mix, one_text_each, sample_of_classes
 
 BUCKETS = 1 << 18
 PREFIXES = (3, 4, 5, 6)
@@ -172,12 +172,7 @@ def held_out() -> F.Column:
 
 
 def training_texts(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
-    """(doc_id, toxic, text): at most ``per_class`` labelled documents of each class outside the held-out fold, one text each.
-
-    The ids are those below a bound on a hash of the id that follows from the number of each class, so no task sees more than its
-    share; of a repeated id the text with the least hash is taken map-side.
-    """
-    spark = docs.sparkSession
+    """(doc_id, toxic, text): at most ``per_class`` labelled documents of each class outside the held-out fold, one text each."""
     known = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
         .select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("double").alias("toxic"))
@@ -185,15 +180,8 @@ def training_texts(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLAS
         .groupBy("doc_id")
         .agg((F.avg("toxic") >= 0.5).cast("int").alias("toxic"))
     )
-    sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
-    share = F.coalesce(*(F.when(F.col("toxic") == c, F.lit(int(min(1.0, per_class / n) * (1 << 40)))) for c, n in sizes.items()), F.lit(0))
-    chosen = known.where(place < share).withColumn("place", place).collect()  # about per_class of each class
-    kept = [r for c in sizes for r in sorted((r for r in chosen if r["toxic"] == c), key=lambda r: (r["place"], r["doc_id"]))[:per_class]]
-    ids = spark.createDataFrame([(r["doc_id"], r["toxic"]) for r in kept], "doc_id bigint, toxic int")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where(F.col("text").isNotNull())
-    same = texts.join(F.broadcast(ids), "doc_id")  # at most 2 * per_class ids
-    return same.groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    ids = docs.sparkSession.createDataFrame(sample_of_classes(known, per_class), "doc_id bigint, toxic int")
+    return one_text_each(docs, ids)
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, strength: float = STRENGTH) -> ToxicityModel:
