@@ -52,13 +52,14 @@ def test_ties_copies_and_odd_rows(spark):
         rows.append((i, [float(np.float32(x)) for x in v]))
     bad = [(900, None), (950, [0.0] * 8), (1000, [1.0] * 7 + [float("nan")]), (1050, [1.0] * 7 + [None]), (1100, [float("inf")] * 8), (None, hot), (1150, []), (1200, [1.0, 2.0])]
     order = random.permutation(len(rows))
-    df = spark.createDataFrame([rows[i] for i in order] + bad + rows[:60:6], "vec_id bigint, embedding array<float>").withColumnRenamed("label", "h")
+    df = spark.createDataFrame([rows[i] for i in order] + bad + rows[:60:6], "vec_id bigint, embedding array<float>")
+    df = df.selectExpr("*", "1 as h", "'x' as q", "2 as list", "0.5D as score", "3 as rank", "array(9) as ids", "7 as part")
     assert got(neighbours.nearest(df)) == brute(rows)
 
 
 def test_blocks_and_lists(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "LIST_SIZE", 30)
-    monkeypatch.setattr(neighbours, "BLOCK", 16)
+    monkeypatch.setattr(neighbours, "BLOCK", 16)  # lists of several blocks, asked by several groups of queries
     random = np.random.default_rng(5)
     centres = random.normal(size=(12, 16))
     rows = [(i, (centres[i % 12] + 0.3 * random.normal(size=16)).astype(np.float32).tolist()) for i in range(1500)]

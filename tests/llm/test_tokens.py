@@ -146,3 +146,28 @@ def test_differencing_is_near_equal(seed):
 def test_windows_of_full_items():
     assert sorted(map(len, packing.windows([4096] * 5))) == [1] * 5
     assert packing.windows([3000, 3000, 3000]) and len([g for g in packing.windows([3000, 3000, 3000]) if g]) == 3
+
+
+def test_rows_that_repeat_spread_over_buckets():
+    """A task deals the same again in whatever order its rows come, and equal rows go to all buckets."""
+    rows = np.concatenate([np.full(20_000, 77), np.arange(5_000)]).astype(np.int64)
+    first = packing.dealt(rows, {}, 3, 50)
+    assert np.bincount(first, minlength=50).max() < 1.3 * len(rows) / 50
+    order = np.random.default_rng(0).permutation(len(rows))
+    again = packing.dealt(rows[order], {}, 3, 50)
+    assert sorted(zip(rows.tolist(), first.tolist())) == sorted(zip(rows[order].tolist(), again.tolist()))
+    halves, seen = [], {}
+    for part in np.array_split(rows, 7):
+        halves.append(packing.dealt(part, seen, 3, 50))
+    assert np.array_equal(np.concatenate(halves), first)
+    assert np.mean(packing.dealt(rows, {}, 4, 50) == first) < 0.1  # another task deals its equal rows elsewhere
+
+
+def test_many_equal_rows(spark):
+    docs = spark.createDataFrame([(None, "the same few words"), (5, "the same few words")] * 1000, "doc_id bigint, text string").repartition(3)
+    pieces = packing.pack(docs, WORDS, docs_per_bucket=100).collect()
+    buckets = {}
+    for p in pieces:
+        buckets.setdefault(p.sequence_id >> 32, []).append(p)
+    assert len(buckets) == 20 and max(map(len, buckets.values())) < 250
+    assert sum(p.length for p in pieces) == 2000 * pieces[0].doc_tokens

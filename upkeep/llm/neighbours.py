@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by balanced posting lists (largest cosine).
 
-1. On a bounded sample (``MAX_SAMPLE`` vectors, the smallest hashes of vec_id) the unit vectors are split in halves along
+1. On a bounded sample (``MAX_SAMPLE`` vectors by a hash of vec_id) the unit vectors are split in halves along
    their principal direction until there are enough lists, then moved a few times to the nearest centre with a penalty on
    full ones: lists of near-equal size. Their centroids are linked into a graph (nearest neighbours both ways and a ring),
    which is broadcast; its size is bounded by ``MAX_LISTS``.
@@ -9,8 +9,8 @@
 3. A query's lists come from the same graph, pruned by distance ratio (``PROBE_RATIO``), at least ``LEAST_PROBES`` and at
    most as many as this table needs: for ``TRIALS`` queries the true neighbours are found in the whole table, and from
    ``PROBES`` on the limit rises until ``RECALL`` of them are in a list that is read. Where the ratio prunes too much for
-   that, it is given up, so in the end all lists are read. Lists are dealt to blocks of about ``BLOCK`` vectors, so a list
-   of any size is no single task.
+   that, it is given up, so in the end all lists are read. Lists are dealt to blocks of about ``BLOCK`` vectors and their
+   queries to groups of as many, so a list of any size, however often it is asked, is no single task.
 4. Blocks are scored exactly, in double precision, on the original vectors; the best are merged per query.
 
 Equal vectors are searched once: of those only the ``k + 1`` smallest ids can be among the ``k`` nearest, as ties go to
@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from upkeep.llm.common import written
@@ -249,6 +249,14 @@ def enough(graph: CentroidGraph, queries: np.ndarray, true: list[tuple[int, list
     return lists, float("inf")
 
 
+def _some(rows: DataFrame, key: Column, count: int, most: int) -> DataFrame:
+    """At most ``most`` of ``count`` rows, the same ones each time: those below a bound on a hash first, so that no more than about
+    that many come together, then the smallest hashes."""
+    place = F.pmod(F.xxhash64(key), F.lit(1 << 40))
+    share = min(1.0, 1.25 * most / max(count, 1) + 64 / max(count, 1))
+    return rows.where(place < F.lit(int(share * (1 << 40)))).orderBy(place, key).limit(most)
+
+
 def nearest(vectors: DataFrame, every: int = 50, k: int = 5, probes: int = PROBES) -> DataFrame:
     """The ``k`` nearest rows of each row whose vec_id is divisible by ``every``: query_id, rank, vec_id, score.
 
@@ -263,7 +271,7 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, probes: int = PROBE
 
     count = classes.count()
     lists = min(MAX_LISTS, max(1, count // LIST_SIZE)) if count > 2 * LIST_SIZE else 1
-    sample = classes.orderBy(F.xxhash64(F.get("ids", F.lit(0))), F.get("ids", F.lit(0))).limit(MAX_SAMPLE).select("embedding").toArrow()
+    sample = _some(classes, F.get("ids", F.lit(0)), count, MAX_SAMPLE).select("embedding").toArrow()
     if not sample.num_rows:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     graph = spark.sparkContext.broadcast(fit_graph(_matrix(sample.column(0)), lists))
@@ -275,7 +283,7 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, probes: int = PROBE
     one = asked.groupBy("h", "embedding").agg(F.min("vec_id").alias("q")).select("q", F.col("h").alias("qh"), "embedding")
     limit, ratio = probes, PROBE_RATIO
     if len(graph.value.centroids) > LEAST_PROBES:  # else all lists are read
-        trial = one.orderBy(F.xxhash64("qh"), "q").limit(TRIALS).select("qh", "embedding").toArrow()
+        trial = _some(one, F.col("q"), one.count(), TRIALS).select("qh", "embedding").toArrow()
         if trial.num_rows:
             queries = _matrix(trial.column(1))
             asking = spark.sparkContext.broadcast((trial.column(0).to_numpy(), queries))
@@ -284,11 +292,17 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, probes: int = PROBE
             true = true.withColumn("_r", F.row_number().over(closest)).where(F.col("_r") <= F.lit(k)).select("t", "lists").collect()
             limit, ratio = enough(graph.value, queries, [(t, x) for t, x in true], probes)
     probed = one.mapInArrow(_place(graph, limit, LEAST_PROBES, ratio), "q bigint, qh bigint, embedding array<double>, lists array<int>")
-    probed = probed.select("q", "qh", "embedding", F.explode("lists").alias("list")).join(blocks, "list")
-    probed = probed.select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "q", "qh", "embedding")
+    probed = written(probed.select("q", "qh", "embedding", F.explode("lists").alias("list")), "probes")
+    # the queries of a list are dealt to groups as its vectors are to blocks; each block meets each group in a task of its own
+    groups = written(probed.groupBy("list").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("groups")), "query-groups")
+    probed = probed.join(groups, "list").join(blocks, "list")
+    probed = probed.select(
+        "list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("qh", "q"), "groups").cast("int").alias("part"), "q", "qh", "embedding"
+    )
+    dealt = dealt.join(groups, "list").select("list", "block", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"), "ids", "embedding")
     found = (
-        dealt.groupBy("list", "block")
-        .cogroup(probed.groupBy("list", "block"))
+        dealt.groupBy("list", "block", "part")
+        .cogroup(probed.groupBy("list", "block", "part"))
         .applyInArrow(_score(k + 1), "q bigint, qh bigint, vec_id bigint, score double")
         .groupBy("q", "qh", "vec_id")
         .agg(F.max("score").alias("score"))

@@ -2,7 +2,9 @@
 
 1. Every document is tokenized and closed with an end id. Whole windows of a long document are cut off at once; at
    most one remainder shorter than a window is left, so what is shuffled per document is bounded.
-2. Remainders are hashed into buckets of about ``DOCS_PER_BUCKET`` documents. Within a bucket Karmarkar-Karp merges
+2. Remainders are dealt into buckets of about ``DOCS_PER_BUCKET`` documents by a hash of the row, of the task that reads it
+   and of how many equal rows that task had before, so rows that repeat by the million spread like any others, and a task
+   that runs again deals the same. Within a bucket Karmarkar-Karp merges
    partial partitions with opposing imbalances until one partition into ``k`` near-equal windows is left. ``k`` starts
    at the least possible count and rises while the fullest window exceeds the capacity.
 3. As documents may be cut anywhere, the emptiest windows are then dissolved to top the others up, and the last one is
@@ -21,11 +23,12 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from upkeep.llm.bpe import Merger, Remembered, runs_of_texts, split_pattern, whole_tokenizer
-from upkeep.llm.common import per_process
+from upkeep.llm.common import mix, per_process
 
 CAPACITY = 4096
 DOCS_PER_BUCKET = 512
@@ -170,6 +173,15 @@ def top_up(groups: list[list[int]], sizes: list[int], capacity: int = CAPACITY)
     return out
 
 
+def dealt(rows: np.ndarray, seen: dict[int, int], task: int, buckets: int) -> np.ndarray:
+    """Bucket of each row given by its hash: equal rows of a task (counted in ``seen``) and of other tasks go to others."""
+    turns = np.empty(len(rows), dtype=np.uint64)
+    for i, h in enumerate(rows.tolist()):
+        turns[i] = seen[h] = seen.get(h, -1) + 1
+    turns = mix(turns + mix(np.array([task + 1], dtype=np.uint64)))
+    return (mix(rows.view(np.uint64) ^ turns) % np.uint64(buckets)).astype(np.int64)
+
+
 def pack(
     docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = CAPACITY, docs_per_bucket: int = DOCS_PER_BUCKET
 ) -> DataFrame:
@@ -181,13 +193,14 @@ def pack(
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = per_process(f"encoder {tokenizer_path}", lambda: Encoder(tokenizer_path))
+        seen, task = {}, TaskContext.get().partitionId()
         schema = pa.schema([("bucket", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("ids", pa.binary())])
         for batch in batches:
             rows = []
             texts = batch.column(2).fill_null("").to_pylist()
             encoded = (ids for part in runs_of_texts(texts) for ids in encoder.encode(texts[part]))
             end = np.array([end_id], dtype=encoder.dtype)
-            for bucket, doc, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), encoded):
+            for bucket, doc, ids in zip(dealt(batch.column(0).to_numpy(), seen, task, buckets).tolist(), batch.column(1).to_pylist(), encoded):
                 ids = np.concatenate([ids, end])
                 whole = len(ids) // capacity * capacity
                 for s in range(0, whole, capacity):
@@ -223,7 +236,7 @@ def pack(
         return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, columns)})
 
     rows = docs.select(
-        F.pmod(F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text")), F.lit(buckets)).alias("bucket"),
+        F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text")).alias("row"),
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.col("text"),
     )
