@@ -8,6 +8,7 @@ import pytest
 
 from upkeep.operators import history, versions
 from upkeep.sources.schemas import EQUIPMENT_COMPONENT, MAINTENANCE_LOG, MAINTENANCE_LOG_DETAIL
+from upkeep.streaming import history_stream
 from upkeep.streaming.history_stream import close_batch, in_order, run_auto_detail_stream, run_close_previous_stream, shuffled
 
 T0 = dt.datetime(2026, 1, 1)
@@ -30,15 +31,16 @@ def component(i, unit, slot, day, removed=None):
     return (i, unit, 1, slot, None, T0 + dt.timedelta(days=day), removed, None)
 
 
-def test_late_arrivals_are_linked_anew(spark, tmp_path):
+def test_late_arrivals_are_linked_anew(spark, tmp_path, monkeypatch):
     """Ids in any order, several arrivals a slot, rows that arrive closed, and enough batches to rewrite the past."""
+    monkeypatch.setattr(history_stream, "PIECES", 2)
     rng = random.Random(8)
     rows = [component(i, rng.randint(1, 3), rng.choice(["A", "B", None]), rng.randint(0, 99), T0 if rng.random() < 0.1 else None) for i in range(1, 201)]
     comps = spark.createDataFrame(rows, EQUIPMENT_COMPONENT)
-    streamed = {r.id: tuple(r) for r in run_close_previous_stream(spark, comps, 20, shuffled, str(tmp_path / "s"), 4).collect()}
+    streamed = {r.id: tuple(r) for r in run_close_previous_stream(spark, comps, 6, shuffled, str(tmp_path / "s"), 2).collect()}
     assert streamed == {r.id: tuple(r) for r in history.close_previous(comps).collect()}
     parts = versions.current(spark, str(tmp_path / "s" / "state")).parts
-    assert max(sum(n.startswith(f"past/{b}/") for n in parts) for b in range(4)) <= 16
+    assert max(sum(n.startswith(f"past/{b}/") for n in parts) for b in range(2)) <= 2
 
 
 def test_a_batch_rewrites_the_buckets_it_touches(spark, tmp_path):
