@@ -75,3 +75,24 @@ def test_cascade_is_exact_over_its_universe(spark):
     assert len(cascade.levels) > 2
     kept = universe.where(cascade.has(F.col("key")))
     assert kept.exceptAll(listed).count() == 0 and kept.count() == listed.count()
+
+
+@pytest.mark.parametrize("listed_of_seven", [3, -1])
+def test_sharded_cascade_is_exact_over_its_universe(spark, monkeypatch, listed_of_seven):
+    monkeypatch.setattr(url_filter, "SHARD_KEYS", 128)
+    monkeypatch.setattr(url_filter, "ROWS_PER_TASK", 64)
+    universe = spark.range(4000).select(F.concat(F.lit("k"), "id").alias("key"))
+    listed = universe.where(f"cast(substring(key, 2) as int) % 7 = {listed_of_seven}")
+    cascade = url_filter.build_shards(listed, universe)
+    kept = cascade.holding(universe, 4000)
+    assert kept.exceptAll(listed).count() == 0 and kept.count() == listed.count()
+    if listed_of_seven >= 0:
+        assert cascade.shards == 5 and cascade.table.count() == 5
+        assert cascade.table.selectExpr("max(size(levels))").first()[0] > 2
+
+
+def test_keys_that_agree_in_no_level(spark):
+    """Levels hash anew: a list that is nearly the whole universe still ends."""
+    universe = spark.range(2000).select(F.concat(F.lit("k"), "id").alias("key"))
+    listed = universe.where("key != 'k7'")
+    assert [r.key for r in universe.where(~url_filter.build_cascade(listed, universe).has(F.col("key"))).collect()] == ["k7"]
