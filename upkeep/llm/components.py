@@ -26,9 +26,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         )
         hooked = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         hooked = written(hooked, "hooked")
-        jump = hooked.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        new = written(hooked.join(jump, "label").select("node", "old", F.least("label", "further").alias("label")), "labels")
-        moved = new.where("label != old").limit(1).count()
-        labels = new.select("node", "label")
-        if not moved:
+        if hooked.where("label != old").isEmpty():  # both ends of every link agree
             return labels
+        jump = hooked.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        labels = written(hooked.join(jump, "label").select("node", F.least("label", "further").alias("label")), "labels")
