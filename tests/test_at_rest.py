@@ -7,6 +7,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from upkeep.operators import colocated, due, key_index, load, quarantine, snapshot, stored, versions
 from upkeep.plans import refresh, views
@@ -100,6 +101,30 @@ def test_quarantine_scans_the_whole_rows_once(spark, tmp_path):
     assert wide and sum("display_name:string" in s for s in scans.split("ReadSchema:")[1:]) == 1
 
 
+def test_quarantine_deals_frequent_and_missing_keys(spark):
+    """Values that many rows share, lost, repeated or right, and nulls: the same tags, and no task gets them all."""
+    t = seed_tables(spark, DAY)
+    farms = [1, 1, 99, None]  # right, lost, missing
+    units = [(i if i % 5 else (7 if i % 2 else None), f"u{i}", None, 1, farms[i % 4], None, True, None, None, dt.datetime(2025, 3, 1)) for i in range(1, 2001)]
+    loose = StructType([StructField(f.name, f.dataType, True) for f in EQUIPMENT.fields])
+    df = spark.createDataFrame(units, loose).repartition(8)
+    parents = t.as_dict()
+    plain = rows(quarantine.tagged("equipment", df, parents))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dealt = quarantine.tagged("equipment", df, parents, hot_rows=50, broadcast_keys=0)
+        assert rows(dealt) == plain
+        sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 2 * 2000 / 8
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    got = {r.display_name: sorted(r._broken) for r in dealt.collect()}
+    assert got["u1"] == [] and got["u2"] == ["foreign_key:farm_id"] and got["u3"] == ["not_null:farm_id"]
+    assert got["u5"] == ["repeated_id:id"] and got["u10"] == ["foreign_key:farm_id", "not_null:id"]
+
+
 def test_key_index_reads_the_buckets_of_the_batch(spark, tmp_path):
     root = str(tmp_path)
     models = spark.createDataFrame([(i, "m", f"n{i}", "t", None) for i in range(300)], "id long, manufacturer string, model_name string, equipment_type string, description string")
