@@ -97,3 +97,18 @@ def test_stream_auto_detail_equals_batch(spark):
     batch = sorted(map(tuple, history.insert_logs_with_trigger(details, logs).collect()))
     assert streamed == batch
     assert len(batch) == 21
+
+
+def test_an_arrival_is_linked_in_one_pass(spark):
+    """The same changes as by resolving the known rows and all rows apart, across id buckets; whole rows are dealt once."""
+    rng = random.Random(5)
+    rows = [component(i, rng.randint(1, 4), rng.choice(["A", "B", None]), rng.randint(0, 99), T0 if rng.random() < 0.2 else None) for i in range(1, 401)]
+    rng.shuffle(rows)
+    known, batch = (spark.createDataFrame(part, EQUIPMENT_COMPONENT).repartition(4) for part in (rows[:250], rows[250:]))
+    before = {r.id: r.removed_at for r in history.close_previous(known).collect()}
+    after = history.close_previous(known.unionByName(batch)).collect()
+    want = sorted(tuple(r) for r in after if r.id not in before or before[r.id] != r.removed_at)
+    for bucket_ids in (1000, 37, 1):
+        assert sorted(map(tuple, history.relinked(known, batch, bucket_ids=bucket_ids).collect())) == want
+    plan = history.relinked(known, batch)._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("part_type_id") and "hashpartitioning(id" not in plan

@@ -99,23 +99,29 @@ def close_batch(spark: SparkSession, state: str, events: str, batch: DataFrame,
     n = base.facts.get("buckets", n)
     slotted = batch.where(F.col("slot_label").isNotNull())
     touched = buckets.touched(slotted, SLOT, n)
-    slots = slotted.groupBy(*SLOT).agg(F.min("id").alias("_lowest"))
+    columns = EVENT_SCHEMA.fieldNames()
     tails = buckets.read(spark, base.parts, "tail", EVENT_SCHEMA, touched)
-    last = tails.join(slots, SLOT).checkpoint()
+    # the slots' stored and new rows meet once: who is last now, and the lowest id that came
+    slot = Window.partitionBy(*SLOT)
+    met = tails.withColumn("_stored", F.lit(True)).unionByName(slotted.withColumn("_stored", F.lit(False)))
+    now = met.repartition(*SLOT).withColumns(
+        {
+            "_place": F.row_number().over(slot.orderBy(F.desc("id"))),
+            "_lowest": F.min(F.when(~F.col("_stored"), F.col("id"))).over(slot),
+            "_came": F.max(~F.col("_stored")).over(slot),
+        }
+    ).checkpoint()
+    last = now.where("_stored AND _came AND equipment_id IS NOT NULL")  # rows without a unit link within their batch only
     late = last.where(F.col("_lowest") < F.col("id")).select(*SLOT)
     crowded = buckets.touched(late, SLOT, n)
     pieces = _pieces(base.parts, crowded)
     past = spark.read.schema(EVENT_SCHEMA).parquet(*pieces.values()) if pieces else spark.createDataFrame([], EVENT_SCHEMA)
-    known = last.drop("_lowest").select(*EVENT_SCHEMA.fieldNames()).unionByName(past.join(late, SLOT, "left_semi").select(*EVENT_SCHEMA.fieldNames()))
+    known = last.select(*columns).unionByName(past.join(late, SLOT, "left_semi").select(*columns))
     relinked(known, batch).write.mode("overwrite").parquet(events)
 
-    now = last.select(*EVENT_SCHEMA.fieldNames()).unionByName(slotted)
-    place = F.row_number().over(Window.partitionBy(*SLOT).orderBy(F.desc("id")))
-    now = now.withColumn("_place", place).checkpoint()
-    other = tails.join(slots, SLOT, "left_anti").select(*EVENT_SCHEMA.fieldNames())
-    tail = other.unionByName(now.where(F.col("_place") == 1).drop("_place"))
+    tail = now.where(F.col("_place") == 1).select(*columns)
     parts = buckets.replaced(base.parts, "tail", touched, buckets.write(tail, state, "tail", SLOT, n) if touched else {})
-    behind = now.where(F.col("_place") > 1).drop("_place")
+    behind = now.where(F.col("_place") > 1).select(*columns)
     full = [b for b in touched if len(_pieces(parts, [b])) >= PIECES]
     if full:
         old = _pieces(parts, full)
