@@ -197,3 +197,13 @@ def test_rules_of_one_month_of_creation_are_dealt_to_tasks(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "hashpartitioning(created_month" in plan and "salt" in plan.split("hashpartitioning(created_month")[1][:60]
+
+
+def test_first_arrivals_are_taken_before_known_keys(spark):
+    """A key with many rows is dealt once, whether it is known or not."""
+    batch = spark.createDataFrame([(i, f"k{i % 3}" if i % 10 else None) for i in range(1, 1001)], "id long, name string").repartition(4)
+    known = spark.createDataFrame([("k1",)], "name string")
+    fresh = load.new_rows(known, batch, ["name"])
+    assert sorted(r.id for r in fresh.where("name is not null").collect()) == [2, 3] and fresh.count() == 102
+    plan = fresh._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftAnti") < plan.index("WindowGroupLimit")  # the limit stands below the join

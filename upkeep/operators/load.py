@@ -64,15 +64,16 @@ def append_with_defaults(rows: DataFrame, defaults: dict[str, Column]) -> DataFr
 def new_rows(known: DataFrame, batch: DataFrame, key: Sequence[str], arrival: str = "id") -> DataFrame:
     """Batch rows whose key is not in ``known``, first arrival per key.
 
-    Keys use SQL equality, so a NULL key part never matches (a NULL key is always inserted, like NOT EXISTS).
+    Keys use SQL equality, so a NULL key part never matches (a NULL key is always inserted, like NOT EXISTS). A key is let in or
+    not whichever of its rows is looked at, so the first arrivals are taken before the known keys: only they are dealt by key.
     """
     key = list(key)
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
-    fresh = batch.join(known.select(*key).where(complete).distinct(), key, "left_anti").select(*batch.columns)
     first = Window.partitionBy(*key).orderBy(arrival)
-    first_rows = fresh.where(complete).withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") == 1).drop("_rn")
+    first_rows = batch.where(complete).withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") == 1).drop("_rn")
+    fresh = first_rows.join(known.select(*key).where(complete).distinct(), key, "left_anti").select(*batch.columns)
     # a key with a NULL part never equals anything, so every such row passes its guard
-    return first_rows.unionByName(fresh.where(~complete))
+    return fresh.unionByName(batch.where(~complete))
 
 
 def insert_if_absent(existing: DataFrame, batch: DataFrame, key: Sequence[str], arrival: str = "id") -> DataFrame:
