@@ -199,6 +199,20 @@ def test_rules_of_one_month_of_creation_are_dealt_to_tasks(spark):
     assert "hashpartitioning(created_month" in plan and "salt" in plan.split("hashpartitioning(created_month")[1][:60]
 
 
+def test_copies_of_equal_rules_are_made_by_all_tasks(spark, monkeypatch):
+    """Few units under many equal rules: the whole result, in blocks that no task has most of."""
+    t = seed_tables(spark, DAY)
+    units = [(i, f"u{i}", None, 1, 1, None, True, None, None, dt.datetime(2025, 3, 1)) for i in range(1, 5)]
+    r = dict.fromkeys(MAINTENANCE_RULE.fieldNames()) | {"task_id": 1, "frequency_type": "MONTHS", "value_numeric": Decimal(3), "active": True, "is_default": True}
+    rules = [tuple((r | {"id": i})[c] for c in MAINTENANCE_RULE.fieldNames()) for i in range(1, 1001)]
+    t = t.with_(equipment=spark.createDataFrame(units, EQUIPMENT), maintenance_rule=spark.createDataFrame(rules, MAINTENANCE_RULE))
+    monkeypatch.setattr(views, "COPIES_PER_ROW", 10)
+    due_rows = views.month_rules_due(t, DAY, 30)
+    sizes = [n["count"] for n in due_rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) < 2000
+    assert {tuple(n) for n in due_rows.groupBy("equipment").count().collect()} == {(f"u{i}", 1000) for i in range(1, 5)}
+
+
 def test_first_arrivals_are_taken_before_known_keys(spark):
     """A key with many rows is dealt once, whether it is known or not."""
     batch = spark.createDataFrame([(i, f"k{i % 3}" if i % 10 else None) for i in range(1, 1001)], "id long, name string").repartition(4)
