@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from upkeep.functions.intervals import add_frequency
 from upkeep.operators import due, history, load, snapshot
-from upkeep.operators.ids import with_sequence
+from upkeep.operators.ids import with_offsets, with_sequence
 from upkeep.plans import refresh
 from upkeep.sources.schemas import EQUIPMENT_COMPONENT, MAINTENANCE_RULE
 from upkeep.sources.seed import seed_tables
@@ -317,3 +317,13 @@ def test_a_cluster_must_name_its_shared_folder(monkeypatch):
     fake = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *a: None))
     with pytest.raises(ValueError):
         session.ensure_checkpoint_dir(fake)
+
+
+def test_offsets_by_key_number_rows_like_a_sequence(spark):
+    rng = random.Random(4)
+    df = spark.createDataFrame([(k, rng.randint(1, 5)) for k in rng.sample(range(1000), 300)], "k long, n long").repartition(5)
+    total, want = 0, {}
+    for k, n in sorted(map(tuple, df.collect())):
+        want[k], total = total, total + n
+    assert {r.k: r.before for r in with_offsets(df, "k", "n", "before", num_partitions=7).collect()} == want
+    assert with_offsets(df.limit(0), "k", "n", "before").collect() == []
