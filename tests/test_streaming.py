@@ -6,7 +6,9 @@ import random
 
 import pytest
 
-from upkeep.operators import history, versions
+from pyspark.sql.types import StructField, StructType
+
+from upkeep.operators import buckets, history, versions
 from upkeep.sources.schemas import EQUIPMENT_COMPONENT, MAINTENANCE_LOG, MAINTENANCE_LOG_DETAIL
 from upkeep.streaming import history_stream
 from upkeep.streaming.history_stream import close_batch, in_order, run_auto_detail_stream, run_close_previous_stream, shuffled
@@ -112,3 +114,43 @@ def test_an_arrival_is_linked_in_one_pass(spark):
         assert sorted(map(tuple, history.relinked(known, batch, bucket_ids=bucket_ids).collect())) == want
     plan = history.relinked(known, batch)._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
     assert plan.count("part_type_id") and "hashpartitioning(id" not in plan
+
+
+def test_rows_meet_in_one_shuffle_and_the_state_is_written_from_there(spark, tmp_path, monkeypatch):
+    """Late arrivals, rows without a unit and repeated slots: nothing is checkpointed, whole rows are dealt once, the state is whole."""
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", lambda *a, **k: pytest.fail("rows were written a second time"))
+    rng = random.Random(11)
+    rows = [component(i, rng.choice([1, 2, 3, None]), rng.choice(["A", "B", None]), rng.randint(0, 99), T0 if rng.random() < 0.1 else None) for i in range(1, 121)]
+    rng.shuffle(rows)
+    loose = StructType([StructField(f.name, f.dataType, True) for f in EQUIPMENT_COMPONENT.fields])
+    state, seen = str(tmp_path / "state"), []
+    for k in range(3):
+        part = rows[40 * k : 40 * k + 40]
+        close_batch(spark, state, str(tmp_path / f"batch={k}"), spark.createDataFrame(part, loose), k, 4)
+        seen += [r for r in part if r[3] is not None]
+        parts = versions.current(spark, state).parts
+        tail, past = (sorted((tuple(r) for n, p in parts.items() if n.startswith(kind) for r in spark.read.schema(loose).parquet(p).collect()), key=str) for kind in ("tail", "past"))
+        slots = {r[1::2][:2] for r in seen if r[1] is not None}
+        top = sorted((max(r for r in seen if (r[1], r[3]) == s) for s in slots), key=str)
+        assert tail == top and sorted(tail + past, key=str) == sorted(seen, key=str)
+    known, batch = (spark.createDataFrame(part, loose).repartition(4) for part in (rows[:60], rows[60:]))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = history.linked(known.where("equipment_id IS NOT NULL"), batch, deal=[buckets.piece(history.SLOT, 4, 8)])
+        plan = out.where("NOT _last")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning(_deal_0") == 1  # the others are of hot slots only
+
+
+def test_slots_are_closed_alike_whether_hot_or_not(spark):
+    rng = random.Random(4)
+    rows = [component(i, rng.randint(1, 3), rng.choice(["A", "B", None]), rng.randint(0, 99), T0 if rng.random() < 0.1 else None) for i in range(1, 301)]
+    comps = spark.createDataFrame(rows, EQUIPMENT_COMPONENT)
+    want = sorted(map(tuple, history.close_previous(comps).collect()), key=str)
+    for most in (60, 10, 1):
+        assert sorted(map(tuple, history.close_previous(comps, bucket_ids=most).collect()), key=str) == want
+    plan = history.close_previous(comps).where("id > 0")
+    plan.collect()
+    final = plan._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("min_by") == 0  # no first row per slot is gathered while no slot is hot

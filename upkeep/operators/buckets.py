@@ -14,8 +14,12 @@ from pyspark.sql.types import StructType
 
 from upkeep.operators import versions
 
+# codec of tables at rest: about a quarter smaller than Spark's default
+AT_REST = "zstd"
 # tasks that write one bucket side by side
 WRITERS_PER_BUCKET = 2
+# pieces of buckets that one task gets of rows dealt by them
+PIECES_PER_TASK = 4
 
 
 def bucket(columns: list[str], n: int) -> Column:
@@ -36,12 +40,21 @@ def read(spark: SparkSession, parts: dict[str, str], kind: str, schema: StructTy
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
-def write(df: DataFrame, root: str, kind: str, columns: list[str], n: int) -> dict[str, str]:
-    """Write the rows into new bucket folders; returns the parts that exist now (a bucket without rows has none)."""
+def piece(columns: list[str], n: int, tasks: int) -> Column:
+    """A number for dealing rows to ``tasks`` tasks, so that each gets rows of few buckets only: every piece lies in one bucket."""
+    return F.pmod(F.xxhash64(*columns), F.lit(n * -(-PIECES_PER_TASK * tasks // n))).cast("int")
+
+
+def write(df: DataFrame, root: str, kind: str, columns: list[str], n: int, dealt: bool = False) -> dict[str, str]:
+    """Write the rows into new bucket folders; returns the parts that exist now (a bucket without rows has none).
+
+    ``dealt``: each task has rows of few buckets already (``piece``), so they are written from where they are.
+    """
     folder = versions.new_folder(root)
-    dealt = df.withColumn("_bucket", bucket(columns, n))
-    salt = F.pmod(F.xxhash64(*(c for c in df.columns)), F.lit(WRITERS_PER_BUCKET))
-    dealt.repartition("_bucket", salt).write.partitionBy("_bucket").parquet(folder)
+    rows = df.withColumn("_bucket", bucket(columns, n))
+    if not dealt:
+        rows = rows.repartition("_bucket", F.pmod(F.xxhash64(*(c for c in df.columns)), F.lit(WRITERS_PER_BUCKET)))
+    rows.write.partitionBy("_bucket").option("compression", AT_REST).parquet(folder)
     found = [c for c in versions.children(df.sparkSession, folder) if c.startswith("_bucket=")]
     return {f"{kind}/{c.removeprefix('_bucket=')}": f"{folder}/{c}" for c in found}
 

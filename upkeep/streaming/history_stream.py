@@ -4,8 +4,10 @@ T-01 slot closing: components arrive as files; each micro-batch is resolved by n
 slots it touches. The state is a versioned table in buckets by a hash of (unit, slot):
 
 * ``tail``: the row of the highest id of every slot, as it arrived; a batch rewrites the buckets of its own slots only;
-* ``past``: all other rows; a batch appends to the buckets of its own slots. It is read only for slots with a late arrival (an
-  id below the slot's highest), whose neighbours are linked anew.
+* ``past``: all other rows, and those without a unit; a batch appends to the buckets of its own slots. It is read only for groups of
+  slots with a late arrival (an id below a slot's highest), whose neighbours are linked anew.
+
+Stored and new rows meet in one shuffle by pieces of buckets; events and state are written from where it leaves them.
 
 So a batch costs what it touches, and ids may arrive in any order. The sink is a changelog, one ``batch=<id>`` folder per
 micro-batch: arrivals as resolved so far, and again known rows that close at another time now; the latest event of each id
@@ -26,27 +28,31 @@ import os
 import uuid
 from collections.abc import Callable, Iterable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from upkeep.operators import buckets, versions
-from upkeep.operators.history import SLOT, auto_detail, relinked
+from upkeep.operators.buckets import AT_REST
+from upkeep.operators.history import SLOT, auto_detail, linked, relinked
 from upkeep.session import shared_path
 from upkeep.sources.schemas import EQUIPMENT_COMPONENT, MAINTENANCE_LOG, MAINTENANCE_LOG_DETAIL, conform
 
 EVENT_SCHEMA = EQUIPMENT_COMPONENT
 EVENTS = StructType([*EVENT_SCHEMA.fields, StructField("batch", IntegerType(), True)])  # the folder of the micro-batch
 STATE_BUCKETS = 64
+# late arrivals are told by so many groups of slots: the list of those with one is broadcast
+LATE_GROUPS = 1 << 16
 # appended pieces of a bucket of the past that are rewritten as one
 PIECES = 16
 
 
 def fold_changelog(events: DataFrame) -> DataFrame:
     """Final state per component: the event of its latest ``batch``."""
-    cols = EVENT_SCHEMA.fieldNames()
-    latest = events.groupBy("id").agg(F.max_by(F.struct(*cols), "batch").alias("e"))
-    return conform(latest.select("e.*"), EQUIPMENT_COMPONENT)
+    # not by a row number, for which Spark would sort the rows by id before they are dealt: they lie by slot, which packs better
+    later = F.lead(F.lit(True)).over(Window.partitionBy("id").orderBy("batch"))
+    return conform(events.withColumn("_later", later).where(F.col("_later").isNull()), EQUIPMENT_COMPONENT)
 
 
 def arrival_ranges(df: DataFrame, order_col: str, batches: int) -> list[tuple[int, int]]:
@@ -77,7 +83,7 @@ def replay(arrivals: Iterable[DataFrame], src: str, run_once: Callable[[], None]
     and the sink carry over between arrivals exactly as after a restart.
     """
     for k, rows in enumerate(arrivals):
-        rows.write.mode("overwrite").parquet(os.path.join(src, f"arrival={k:05d}"))
+        rows.write.mode("overwrite").option("compression", AT_REST).parquet(os.path.join(src, f"arrival={k:05d}"))
         run_once()
 
 
@@ -101,33 +107,41 @@ def close_batch(spark: SparkSession, state: str, events: str, batch: DataFrame,
     touched = buckets.touched(slotted, SLOT, n)
     columns = EVENT_SCHEMA.fieldNames()
     tails = buckets.read(spark, base.parts, "tail", EVENT_SCHEMA, touched)
-    # the slots' stored and new rows meet once: who is last now, and the lowest id that came
-    slot = Window.partitionBy(*SLOT)
-    met = tails.withColumn("_stored", F.lit(True)).unionByName(slotted.withColumn("_stored", F.lit(False)))
-    now = met.repartition(*SLOT).withColumns(
-        {
-            "_place": F.row_number().over(slot.orderBy(F.desc("id"))),
-            "_lowest": F.min(F.when(~F.col("_stored"), F.col("id"))).over(slot),
-            "_came": F.max(~F.col("_stored")).over(slot),
-        }
-    ).checkpoint()
-    last = now.where("_stored AND _came AND equipment_id IS NOT NULL")  # rows without a unit link within their batch only
-    late = last.where(F.col("_lowest") < F.col("id")).select(*SLOT)
-    crowded = buckets.touched(late, SLOT, n)
+    with_unit = F.col("equipment_id").isNotNull()  # rows without a unit link within their batch only
+    last = tails.where(with_unit)
+    # groups of slots where an id came that is below the highest of a slot: those read the past
+    group = F.pmod(F.xxhash64(*SLOT), F.lit(LATE_GROUPS)).cast("int")
+    came = slotted.where(with_unit).groupBy(group.alias("_group")).agg(F.min("id").alias("_lowest"))
+    stood = last.groupBy(group.alias("_group"), buckets.bucket(SLOT, n).alias("_bucket")).agg(F.max("id").alias("_highest"))
+    late = stood.join(came, "_group").where(F.col("_lowest") < F.col("_highest")).select("_group", "_bucket").persist()
+    crowded = sorted(r[0] for r in late.select("_bucket").distinct().collect())
     pieces = _pieces(base.parts, crowded)
-    past = spark.read.schema(EVENT_SCHEMA).parquet(*pieces.values()) if pieces else spark.createDataFrame([], EVENT_SCHEMA)
-    known = last.select(*columns).unionByName(past.join(late, SLOT, "left_semi").select(*columns))
-    relinked(known, batch).write.mode("overwrite").parquet(events)
-
-    tail = now.where(F.col("_place") == 1).select(*columns)
-    parts = buckets.replaced(base.parts, "tail", touched, buckets.write(tail, state, "tail", SLOT, n) if touched else {})
-    behind = now.where(F.col("_place") > 1).select(*columns)
-    full = [b for b in touched if len(_pieces(parts, [b])) >= PIECES]
-    if full:
-        old = _pieces(parts, full)
-        behind = behind.unionByName(spark.read.schema(EVENT_SCHEMA).parquet(*old.values()))
-        parts = {name: path for name, path in parts.items() if name not in old}
-    parts |= {f"{name}/{batch_id}": path for name, path in buckets.write(behind, state, "past", SLOT, n).items()}
+    known = last.withColumn("_past", F.lit(False))
+    if pieces:
+        past = spark.read.schema(EVENT_SCHEMA).parquet(*pieces.values()).where(with_unit).withColumn("_group", group)
+        past = past.join(F.broadcast(late.select("_group").distinct()), "_group", "left_semi").drop("_group")
+        known = known.unionByName(past.withColumn("_past", F.lit(True)))
+
+    # one shuffle of the rows, by pieces of buckets: the events, the new tail and what comes to the past are written from there
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = linked(known, slotted.withColumn("_past", F.lit(False)), deal=[buckets.piece(SLOT, n, tasks)]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        relinked(known, batch, rows=rows).write.mode("overwrite").option("compression", AT_REST).parquet(events)
+        as_arrived = rows.select(*(F.col("_arrived").alias(c) if c == "removed_at" else F.col(c) for c in columns), "_last", "_past")
+        tail = as_arrived.where(F.col("_last") & with_unit).select(*columns)
+        parts = buckets.replaced(base.parts, "tail", touched, buckets.write(tail, state, "tail", SLOT, n, dealt=True) if touched else {})
+        behind = as_arrived.where(~F.col("_past") & ~(F.col("_last") & with_unit)).select(*columns)
+        behind = behind.unionByName(tails.where(~with_unit))
+        full = [b for b in touched if len(_pieces(parts, [b])) >= PIECES]
+        if full:
+            old = _pieces(parts, full)
+            behind = behind.unionByName(spark.read.schema(EVENT_SCHEMA).parquet(*old.values()))
+            parts = {name: path for name, path in parts.items() if name not in old}
+        written = buckets.write(behind, state, "past", SLOT, n, dealt=not full)
+        parts |= {f"{name}/{batch_id}": path for name, path in written.items()}
+    finally:
+        rows.unpersist()
+        late.unpersist()
     versions.commit(spark, state, base.number, parts, {"batch": batch_id, "buckets": n})
 
 
