@@ -125,6 +125,30 @@ def test_quarantine_deals_frequent_and_missing_keys(spark):
     assert got["u5"] == ["repeated_id:id"] and got["u10"] == ["foreign_key:farm_id", "not_null:id"]
 
 
+def test_quarantine_moves_only_rows_that_may_be_bad(spark, monkeypatch):
+    """Long lists of bad values: the same tags, rows that pass no sieve stay where they are; also with sieves that let all pass."""
+    t = seed_tables(spark, DAY)
+    parents = t.as_dict()
+    units = [(i if i % 7 else 3, f"u{i}", None, 1 if i % 11 else -i, (1, 2, None, -i)[(i % 13 == 0) + 2 * (i % 17 == 0)], None, True, None, None, dt.datetime(2025, 3, 1)) for i in range(1, 2001)]
+    loose = StructType([StructField(f.name, f.dataType, True) for f in EQUIPMENT.fields])
+    df = spark.createDataFrame(units, loose).repartition(8).localCheckpoint()
+    plain = rows(quarantine.tagged("equipment", df, parents))
+    assert {len(r[-1]) for r in quarantine.tagged("equipment", df, parents).collect()} == {0, 1, 2, 3}
+    where = {r[0]: r[1] for r in df.select("display_name", F.spark_partition_id()).collect()}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for most, unmoved in ((quarantine.SIEVE_WORDS, 0.95), (16, 0), (1 << 12, 0.95)):
+            monkeypatch.setattr(quarantine, "SIEVE_WORDS", most)
+            for hot_rows in (50, 100_000):
+                dealt = quarantine.tagged("equipment", df, parents, hot_rows=hot_rows, broadcast_keys=0)
+                assert rows(dealt) == plain
+                found = dealt.select("display_name", F.spark_partition_id(), "_broken").collect()
+                clean = [where[r[0]] == r[1] for r in found if not any("foreign" in b or "repeated" in b for b in r[2])]
+                assert len(clean) > 1000 and sum(clean) >= unmoved * len(clean)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_key_index_reads_the_buckets_of_the_batch(spark, tmp_path):
     root = str(tmp_path)
     models = spark.createDataFrame([(i, "m", f"n{i}", "t", None) for i in range(300)], "id long, manufacturer string, model_name string, equipment_type string, description string")
